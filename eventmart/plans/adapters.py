@@ -7,241 +7,188 @@ filters and columns of a query still reach the scans.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmart.functions import EPOCH, hour_text, to_second, wall_clock
+from eventmart.functions import wall_clock
 from eventmart.operators import standardize, union_events
-from eventmart.schemas import (
-    ANDROID,
-    CART,
-    INSTALL,
-    IOS,
-    OPEN,
-    OTHER_EVENT,
-    OTHER_OS,
-    PURCHASE,
-    PURCHASE_BY_USER,
-    RAW_FIELDS,
-    SEARCH_ALT,
-    SIGN_UP,
-    VENDORS,
-    VIEW,
-    raw_schema,
-)
+from eventmart.schemas import RAW_FIELDS, VENDORS, raw_schema
+
+_TIMES = ("logTimeStamp", "eventTimeStamp")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _pick(number: Column, *choices: str) -> Column:
-    """The choice at a number; the last one also beyond."""
-    picked = F.lit(choices[-1])
-    for position, choice in enumerate(choices[:-1]):
-        picked = F.when(number == position, choice).otherwise(picked)
-    return picked
-
-
-def _by_type(**choices: Column | str) -> Column:
-    picked = F.lit(None).cast("string")
-    for event_type, choice in choices.items():
-        chosen = choice if isinstance(choice, Column) else F.lit(choice)
-        picked = F.when(F.col("event_type") == event_type, chosen).otherwise(picked)
-    return picked
-
-
-def _k() -> Column:
-    return F.get_json_object("props", "$.k").cast("int")
+def _keyed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` with the number ``k`` from its JSON properties."""
+    return _table(spark, sf_dir, "events").selectExpr(
+        "*", "CAST(get_json_object(props, '$.k') AS INT) AS k"
+    )
 
 
-def _quantity() -> Column:
-    return (_k() % 5 + 1).cast("int")
+def _by_os(android: str, ios: str, other: str) -> str:
+    return (
+        f"CASE WHEN user_id % 10 < 5 THEN '{android}' WHEN user_id % 10 < 9 THEN '{ios}' "
+        f"ELSE '{other}' END"
+    )
 
 
-def _by_os(android: str, ios: str, other: str) -> Column:
-    tenth = F.col("user_id") % 10
-    return F.when(tenth < 5, android).when(tenth < 9, ios).otherwise(other)
+_SECOND = "timestampadd(SECOND, unix_timestamp(ts), TIMESTAMP_NTZ '1970-01-01 00:00:00')"
+
+_STANDARD = {
+    "tracking": "elt(CAST(event_id % 3 AS INT) + 1, 'ADBRIX', 'BRANCH', 'SINGULAR')",
+    "trackingId": "concat('app_', user_id % 5)",
+    "trackingEventCode": """
+        CASE event_type WHEN 'view' THEN 'TPD002' WHEN 'click' THEN 'TPD003'
+          WHEN 'purchase' THEN 'TPD004' WHEN 'signup' THEN 'TPD012'
+          WHEN 'error' THEN elt(k % 3 + 1, 'TPD007', 'TPD008', 'TPD009') END""",
+    "cid": "CAST(user_id AS STRING)",
+    "osTypeCode": _by_os("ATC001", "ATC002", "ATC999"),
+    "logTimeStamp": _SECOND,
+    "eventTimeStamp": _SECOND,
+    "eventDate": "CAST(ts AS DATE)",
+    "eventHour": "lpad(CAST(hour(ts) AS STRING), 2, '0')",
+    "campaign": "''",
+    "contentId": "CAST(k AS STRING)",
+    "contentName": "''",
+    "value": "CAST(floor(value) AS INT)",
+    "quantity": "k % 5 + 1",
+    "amount": "CAST(floor(value) AS INT) * (k % 5 + 1)",
+    "currency": "'KRW'",
+    "activityParam": "props",
+    "attributed": "''",
+    "latdAdvertisingPartnerName": "''",
+}
 
 
 def standard_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as standard events, times without time zone."""
-    value = F.floor("value").cast("int")
-    k, quantity = _k(), _quantity()
-    second = to_second(F.col("ts"))
-    return _table(spark, sf_dir, "events").select(
-        _pick(F.col("event_id") % 3, *VENDORS).alias("tracking"),
-        F.concat(F.lit("app_"), F.col("user_id") % 5).alias("trackingId"),
-        _by_type(
-            view=VIEW,
-            click=CART,
-            purchase=PURCHASE,
-            signup=SIGN_UP,
-            error=_pick(k % 3, SEARCH_ALT, INSTALL, OPEN),
-        ).alias("trackingEventCode"),
-        F.col("user_id").cast("string").alias("cid"),
-        _by_os(ANDROID, IOS, OTHER_OS).alias("osTypeCode"),
-        second.alias("logTimeStamp"),
-        second.alias("eventTimeStamp"),
-        F.to_date("ts").alias("eventDate"),
-        hour_text(F.col("ts")).alias("eventHour"),
-        F.lit("").alias("campaign"),
-        k.cast("string").alias("contentId"),
-        F.lit("").alias("contentName"),
-        value.alias("value"),
-        quantity.alias("quantity"),
-        (value * quantity).alias("amount"),
-        F.lit("KRW").alias("currency"),
-        F.col("props").alias("activityParam"),
-        F.lit("").alias("attributed"),
-        F.lit("").alias("latdAdvertisingPartnerName"),
+    return _keyed_events(spark, sf_dir).selectExpr(
+        *(f"{expression} AS {name}" for name, expression in _STANDARD.items())
     )
 
 
 def with_instants(events: DataFrame) -> DataFrame:
     """Times as instants, reading those without time zone as UTC, as the event table stores them."""
-    return events.withColumns({
-        c: F.timestamp_seconds(F.unix_timestamp(c)) for c in ("logTimeStamp", "eventTimeStamp")
-    })
+    return events.withColumns({c: F.timestamp_seconds(F.unix_timestamp(c)) for c in _TIMES})
 
 
 def with_wall_clocks(events: DataFrame) -> DataFrame:
     """Times as UTC wall clocks, which look the same in every session."""
-    return events.withColumns({
-        c: wall_clock(F.col(c), "UTC") for c in ("logTimeStamp", "eventTimeStamp")
-    })
+    return events.withColumns({c: wall_clock(F.col(c), "UTC") for c in _TIMES})
 
 
 def purchase_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as a purchase mart; large sides meet on their keys, without hints."""
-    orders = _table(spark, sf_dir, "orders")
-    day = F.to_date("o_orderdate")
     return (
         _table(spark, sf_dir, "lineitem")
-        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(_table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-        .select(
-            F.col("c_mktsegment").alias("app_name"),
-            F.when(F.col("o_orderstatus") == "F", ANDROID)
-            .when(F.col("o_orderstatus") == "O", IOS)
-            .otherwise(OTHER_OS)
-            .alias("os_typecode"),
-            F.col("o_custkey").cast("string").alias("c_id"),
-            F.col("l_partkey").cast("string").alias("content_id"),
-            F.floor("l_quantity").alias("quantity_total"),
-            F.floor("l_extendedprice").alias("amount_total"),
-            day.alias("event_date"),
-            F.year(day).alias("event_year"),
-            F.month(day).alias("event_month"),
-            F.dayofmonth(day).alias("event_day"),
+        .join(_table(spark, sf_dir, "orders"), F.expr("l_orderkey = o_orderkey"))
+        .join(_table(spark, sf_dir, "customer"), F.expr("o_custkey = c_custkey"))
+        .selectExpr(
+            "c_mktsegment AS app_name",
+            "CASE o_orderstatus WHEN 'F' THEN 'ATC001' WHEN 'O' THEN 'ATC002' ELSE 'ATC999' END "
+            "AS os_typecode",
+            "CAST(o_custkey AS STRING) AS c_id",
+            "CAST(l_partkey AS STRING) AS content_id",
+            "CAST(floor(l_quantity) AS BIGINT) AS quantity_total",
+            "CAST(floor(l_extendedprice) AS BIGINT) AS amount_total",
+            "CAST(o_orderdate AS DATE) AS event_date",
+            "year(o_orderdate) AS event_year",
+            "month(o_orderdate) AS event_month",
+            "day(o_orderdate) AS event_day",
         )
-        .select(*PURCHASE_BY_USER.names)
     )
 
 
-def _raw_fields() -> dict[str, dict[str, Column]]:
-    """Per vendor the value of each raw field; one event in ten names no application."""
-    k, quantity = _k(), _quantity()
-    app = F.when(k % 10 != 9, F.concat(F.lit("app_"), F.col("user_id") % 5))
-    google_id = F.concat(F.lit("g-"), F.col("user_id"))
-    apple_id = F.concat(F.lit("i-"), F.col("user_id"))
-    second = F.unix_timestamp("ts")
-    milli = F.timestamp_diff("MILLISECOND", F.lit(EPOCH).cast("timestamp_ntz"), "ts")
-    product, product_name = F.concat(F.lit("p"), k), F.concat(F.lit("item "), k)
-    campaign = F.concat(F.lit("c"), k % 7)
-    currency = F.when(k % 2 == 0, "KRW").otherwise("USD")
-    sales = F.col("value") * quantity
-    even = F.col("user_id") % 2 == 0
-
-    attributes = F.to_json(F.array(F.struct(
-        product.alias("id"),
-        F.concat(F.lit("x"), k).alias("prd_code"),
-        product_name.alias("product"),
-        F.col("value").alias("price"),
-        quantity.alias("quantity"),
-    )))
-    return {
-        "ADBRIX": {
-            "package_name": app,
-            "activity": _by_type(
-                view="product_view",
-                click="add_to_cart",
-                purchase=F.when(k % 4 == 3, "refund").otherwise("purchase"),
-                signup="sign_up",
-                error=_pick(k % 4, "search", "login", "add_to_wishlist", "crash"),
-            ),
-            "platform": _by_os("android", "ios", "web"),
-            "gaid": google_id,
-            "ifa": apple_id,
-            "event_time": second,
-            "product_id": product,
-            "product_name": product_name,
-            "price": F.col("value").cast("string"),
-            "quantity": quantity,
-            "sales": sales,
-            "currency": currency,
-            "activity_param": F.col("props"),
-        },
-        "BRANCH": {
-            "organization_name": app,
-            "name": _by_type(
-                view="VIEW_ITEM",
-                click="ADD_TO_CART",
-                purchase="PURCHASE",
-                signup="INSTALL",
-                error=_pick(k % 3, "SEARCH", "OPEN", "CRASH"),
-            ),
-            "ud_os": _by_os("ANDROID", "IOS", "WEB"),
-            "ud_aaid": google_id,
-            "ud_idfa": apple_id,
-            "event_timestamp": milli,
-            "latd_campaign": campaign,
-            "ci0_product_name": product,
-            "ci0_price": F.col("value").cast("string"),
-            "ci0_quantity": quantity.cast("string"),
-            "ci0_currency": currency,
-            "attributed": F.when(even, "true").otherwise("false"),
-            "latd_advertising_partner_name": F.concat(F.lit("partner"), F.col("user_id") % 4),
-        },
-        "SINGULAR": {
-            "app_name": app,
-            "evtname": _by_type(
-                view="ViewItem",
-                click="AddToCart",
-                purchase=_pick(k % 3, "Purchase", "FirstPurchase", "__iap__"),
-                signup="__START__",
-                error=_pick(k % 2, "__SESSION__", "Crash"),
-            ),
-            "platform": _by_os("Android", "iOS", "Web"),
-            "aifa": google_id,
-            "idfa": apple_id,
-            "utc": second,
-            "cid": campaign,
-            "evtattr": attributes,
-            "amount": sales.cast("string"),
-            "currency": currency,
-            "is_re_eng": F.when(even, "1").otherwise("0"),
-        },
-    }
+# --- raw vendor logs -------------------------------------------------------------------------------
+
+_APP = "CASE WHEN k % 10 <> 9 THEN concat('app_', user_id % 5) END"  # one in ten names none
+_GOOGLE_ID, _APPLE_ID = "concat('g-', user_id)", "concat('i-', user_id)"
+_PRODUCT, _PRODUCT_NAME = "concat('p', k)", "concat('item ', k)"
+_CAMPAIGN = "concat('c', k % 7)"
+_CURRENCY = "if(k % 2 = 0, 'KRW', 'USD')"
+_EPOCH_SECOND = "unix_timestamp(ts)"
+_EPOCH_MILLI = (
+    "unix_timestamp(ts) * 1000 + CAST(floor(extract(SECOND FROM ts) * 1000) AS BIGINT) % 1000"
+)
+
+_RAW = {
+    "ADBRIX": {
+        "package_name": _APP,
+        "activity": """
+            CASE event_type WHEN 'view' THEN 'product_view' WHEN 'click' THEN 'add_to_cart'
+              WHEN 'purchase' THEN if(k % 4 = 3, 'refund', 'purchase') WHEN 'signup' THEN 'sign_up'
+              WHEN 'error' THEN elt(k % 4 + 1, 'search', 'login', 'add_to_wishlist', 'crash') END""",
+        "platform": _by_os("android", "ios", "web"),
+        "gaid": _GOOGLE_ID,
+        "ifa": _APPLE_ID,
+        "event_time": _EPOCH_SECOND,
+        "product_id": _PRODUCT,
+        "product_name": _PRODUCT_NAME,
+        "price": "CAST(value AS STRING)",
+        "quantity": "k % 5 + 1",
+        "sales": "value * (k % 5 + 1)",
+        "currency": _CURRENCY,
+        "activity_param": "props",
+    },
+    "BRANCH": {
+        "organization_name": _APP,
+        "name": """
+            CASE event_type WHEN 'view' THEN 'VIEW_ITEM' WHEN 'click' THEN 'ADD_TO_CART'
+              WHEN 'purchase' THEN 'PURCHASE' WHEN 'signup' THEN 'INSTALL'
+              WHEN 'error' THEN elt(k % 3 + 1, 'SEARCH', 'OPEN', 'CRASH') END""",
+        "ud_os": _by_os("ANDROID", "IOS", "WEB"),
+        "ud_aaid": _GOOGLE_ID,
+        "ud_idfa": _APPLE_ID,
+        "event_timestamp": _EPOCH_MILLI,
+        "latd_campaign": _CAMPAIGN,
+        "ci0_product_name": _PRODUCT,
+        "ci0_price": "CAST(value AS STRING)",
+        "ci0_quantity": "CAST(k % 5 + 1 AS STRING)",
+        "ci0_currency": _CURRENCY,
+        "attributed": "if(user_id % 2 = 0, 'true', 'false')",
+        "latd_advertising_partner_name": "concat('partner', user_id % 4)",
+    },
+    "SINGULAR": {
+        "app_name": _APP,
+        "evtname": """
+            CASE event_type WHEN 'view' THEN 'ViewItem' WHEN 'click' THEN 'AddToCart'
+              WHEN 'purchase' THEN elt(k % 3 + 1, 'Purchase', 'FirstPurchase', '__iap__')
+              WHEN 'signup' THEN '__START__'
+              WHEN 'error' THEN if(k % 2 = 0, '__SESSION__', 'Crash') END""",
+        "platform": _by_os("Android", "iOS", "Web"),
+        "aifa": _GOOGLE_ID,
+        "idfa": _APPLE_ID,
+        "utc": _EPOCH_SECOND,
+        "cid": _CAMPAIGN,
+        "evtattr": f"""
+            to_json(array(named_struct('id', {_PRODUCT}, 'prd_code', concat('x', k),
+              'product', {_PRODUCT_NAME}, 'price', value, 'quantity', k % 5 + 1)))""",
+        "amount": "CAST(value * (k % 5 + 1) AS STRING)",
+        "currency": _CURRENCY,
+        "is_re_eng": "if(user_id % 2 = 0, '1', '0')",
+    },
+}
 
 
 def raw_lines(spark: SparkSession, sf_dir: str, vendor: str) -> DataFrame:
     """All of ``events`` as the JSON lines one vendor would deliver."""
-    fields = _raw_fields()[vendor]
-    tracked = [
-        F.when(fields[name].isNotNull(), F.array(fields[name])).alias(name)
-        for name in RAW_FIELDS[vendor]
-    ]
-    milli = F.timestamp_diff("MILLISECOND", F.lit(EPOCH).cast("timestamp_ntz"), "ts")
-    log = F.struct((milli + 5999).alias("logTimeStamp"), F.struct(*tracked).alias("trackingObject"))
-    return _table(spark, sf_dir, "events").select(F.to_json(log).alias("value"))
+    fields = ", ".join(
+        f"'{name}', nvl2({value}, array({value}), NULL)"
+        for name, value in ((name, _RAW[vendor][name]) for name in RAW_FIELDS[vendor])
+    )
+    return _keyed_events(spark, sf_dir).selectExpr(f"""
+        to_json(named_struct('logTimeStamp', {_EPOCH_MILLI} + 5999,
+          'trackingObject', named_struct({fields}))) AS value""")
 
 
 def raw_logs(spark: SparkSession, sf_dir: str, vendor: str) -> DataFrame:
     """The same lines parsed by the raw schema.
 
-    The parsed struct goes through a generator, so that it is parsed once per line; as a plain
-    projection the optimiser would copy the parsing into every column taken from it.
+    The parsed struct goes through a generator, so that a line is parsed once; filters on a plain
+    projection would be pushed below it and parse again.
     """
     parsed = F.from_json(
         "value", raw_schema(vendor), {"columnNameOfCorruptRecord": "_corrupt_record"}
