@@ -305,7 +305,7 @@ SELECT *, amount_total - pre_amount AS diff_amount FROM (
             _histogram("""SELECT value AS price FROM e WHERE "trackingEventCode" = 'TPD004'""", 40, 10, 400)
         ),
         "price_histogram_items": _p(
-            _histogram("SELECT amount_total AS price FROM p", 1_000_000, 100, 10_000_000)
+            _histogram("SELECT amount_total AS price FROM p", 10_000, 100, 100_000)
         ),
         "event_slice": _e(f"""
 SELECT * FROM e

@@ -318,13 +318,13 @@ def price_histogram(spark, sf_dir):
 
 @query("price_histogram_items")
 def price_histogram_items(spark, sf_dir):
-    """Line item prices with the default limits: every item is a purchase."""
+    """Line item prices: every item is a purchase."""
     items = purchase_mart(spark, sf_dir).select(
         F.col("amount_total").alias("value"),
         F.col("event_date").alias("eventDate"),
         F.lit("TPD004").alias("trackingEventCode"),
     )
-    return ops.price_histogram(items)
+    return ops.price_histogram(items, lo=0, hi=100_000)
 
 
 @query("event_slice")

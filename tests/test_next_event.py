@@ -1,0 +1,70 @@
+"""Next event times against a plain sort."""
+
+from __future__ import annotations
+
+import random
+from collections import Counter, defaultdict
+
+import pytest
+
+import eventmart.operators.sequence as sequence
+from eventmart.operators import with_next_event
+from eventmart.operators.sequence import USER_KEYS
+from tests.tables import at, events
+
+KEYS = (*USER_KEYS, "eventTimeStamp")
+
+
+def plain(rows: list[tuple]) -> Counter:
+    """Key, time and next time as a window over each user would give them (NULL times first)."""
+    times = defaultdict(list)
+    for *user, moment in rows:
+        times[tuple(user)].append(moment)
+    result = Counter()
+    for user, moments in times.items():
+        moments.sort(key=lambda m: (m is not None, m))
+        for moment, following in zip(moments, [*moments[1:], None]):
+            result[(*user, moment, following)] += 1
+    return result
+
+
+def found(frame) -> Counter:
+    return Counter(tuple(r) for r in with_next_event(frame).select(*KEYS, "nextEventTimeStamp").collect())
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_random_events_with_ties_copies_and_nulls(spark, ansi, seed):
+    rng = random.Random(seed)
+    rows = [
+        {
+            "when": f"2021-01-01 00:00:{rng.randrange(12):02d}",
+            "cid": rng.choice(["a", "b", None]),
+            "osTypeCode": rng.choice(["ATC001", None]),
+            "contentId": rng.choice(["x", None]),
+            "contentName": rng.choice(["x", None]),
+        }
+        for _ in range(150)
+    ]
+    frame = events(spark, rows).withColumn("eventTimeStamp", _null_some())
+    source = [tuple(r) for r in frame.select(*KEYS).collect()]
+    assert found(frame) == plain(source)
+    # Every other column comes through.
+    kept = with_next_event(frame).select(*frame.columns).collect()
+    assert Counter(map(tuple, kept)) == Counter(map(tuple, frame.collect()))
+
+
+def _null_some():
+    from pyspark.sql import functions as F
+
+    return F.when(F.second("eventTimeStamp") != 3, F.col("eventTimeStamp"))
+
+
+def test_many_copies_are_written_back_in_portions(spark, monkeypatch):
+    monkeypatch.setattr(sequence, "_PORTION", 4)
+    frame = events(spark, [{"when": "2021-01-01 00:00:00"}] * 23 + [{"when": "2021-01-01 00:00:09"}])
+    nine = at("2021-01-01 00:00:09")
+    user = ("ADBRIX", "app", "u1", "ATC001")
+    zero = at("2021-01-01 00:00:00")
+    assert found(frame) == {
+        (*user, zero, zero): 22, (*user, zero, nine): 1, (*user, nine, None): 1,
+    }

@@ -1,0 +1,157 @@
+"""Raw vendor rows to standard events, with ANSI mode on and off."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from eventmart.operators import (
+    empty_events,
+    raw_quality,
+    standardize,
+    union_events,
+    with_partition_columns,
+)
+from eventmart.plans.adapters import with_wall_clocks
+from eventmart.schemas import EVENT_CODES, OS_CODES, TIER1, VENDORS
+from tests.tables import at, day, raw_frame, raw_line
+
+
+def one(spark, folder, vendor, tz="UTC", log_time=1609459205999, **changes):
+    raw = raw_frame(spark, folder, vendor, [raw_line(vendor, log_time, **changes)])
+    return with_wall_clocks(standardize(raw, vendor, tz)).collect()[0]
+
+
+@pytest.mark.parametrize(
+    ("vendor", "expected"),
+    [
+        ("ADBRIX", ("shop.a", "TPD004", "g-1", "ATC001", "", "p1", "Mug", 10, 2, 21, "{}", "", "")),
+        ("BRANCH", ("shop-b", "TPD003", "i-2", "ATC002", "c1", "Hat", "", 10, 2, 21, "", "true", None)),
+        (
+            "SINGULAR",
+            ("shop-c", "TPD011", "i-3", "ATC002", "c2", "p9", "Pen", 7, 3, 21,
+             '[{"id":"p9","prd_code":"x","product":"Pen","price":7,"quantity":3}]', "0", ""),
+        ),
+    ],
+)
+def test_typical_row(spark, ansi, tmp_path, vendor, expected):
+    row = one(spark, tmp_path, vendor)
+    names = (
+        "trackingId", "trackingEventCode", "cid", "osTypeCode", "campaign", "contentId", "contentName",
+        "value", "quantity", "amount", "activityParam", "attributed", "latdAdvertisingPartnerName",
+    )
+    assert tuple(row[n] for n in names) == expected
+    assert row.tracking == vendor
+    assert row.currency == "KRW"
+    assert row.eventTimeStamp == at("2021-01-01 00:00:00")
+    assert row.logTimeStamp == at("2021-01-01 00:00:05")
+    assert (row.eventDate, row.eventHour) == (day("2021-01-01"), "00")
+
+
+@pytest.mark.parametrize("vendor", VENDORS)
+def test_schema(spark, tmp_path, vendor):
+    frame = standardize(raw_frame(spark, tmp_path, vendor, [raw_line(vendor)]), vendor)
+    assert [(f.name, f.dataType) for f in frame.schema] == [(f.name, f.dataType) for f in TIER1]
+
+
+def test_time_zone_is_a_parameter(spark, tmp_path):
+    row = one(spark, tmp_path, "ADBRIX", tz="Asia/Seoul", event_time=[1609459200 - 3600])
+    assert (row.eventDate, row.eventHour) == (day("2021-01-01"), "08")
+    assert row.eventTimeStamp == at("2020-12-31 23:00:00")
+    row = one(spark, tmp_path, "ADBRIX", tz="America/New_York", event_time=[1625140800])
+    assert (row.eventDate, row.eventHour) == (day("2021-07-01"), "08")
+
+
+@pytest.mark.parametrize(
+    ("vendor", "changes", "expected"),
+    [
+        ("ADBRIX", {"activity": ["dance"]}, {"trackingEventCode": "TPD999"}),
+        ("ADBRIX", {"activity": ["PURCHASE"]}, {"trackingEventCode": "TPD999"}),
+        ("ADBRIX", {"activity": None}, {"trackingEventCode": "TPD999"}),
+        ("ADBRIX", {"platform": ["web"]}, {"osTypeCode": "ATC999", "cid": "i-1"}),
+        ("ADBRIX", {"platform": None}, {"osTypeCode": "ATC999", "cid": "i-1"}),
+        ("BRANCH", {"ud_os": ["WEB"]}, {"osTypeCode": "ATC999", "cid": None}),
+        ("BRANCH", {"ud_os": ["Android"]}, {"osTypeCode": "ATC999", "cid": None}),
+        ("BRANCH", {"ud_os": ["ANDROID"]}, {"osTypeCode": "ATC001", "cid": "g-2"}),
+        ("SINGULAR", {"platform": ["android"]}, {"osTypeCode": "ATC999", "cid": "i-3"}),
+        ("SINGULAR", {"evtname": ["Purchase"]},
+         {"trackingEventCode": "TPD004", "value": 0, "quantity": 0, "contentId": "x", "amount": 21}),
+        ("SINGULAR", {"evtname": None}, {"value": 0, "quantity": 0, "contentId": "x"}),
+        ("SINGULAR", {"evtattr": ["not json"]}, {"value": None, "contentId": None, "activityParam": "not json"}),
+        ("SINGULAR", {"evtattr": [[]]}, {"value": None, "quantity": None, "contentName": None}),
+        ("SINGULAR", {"amount": ["21.9"]}, {"amount": 21}),
+        ("ADBRIX", {"price": []}, {"value": None}),
+        ("ADBRIX", {"price": None}, {"value": None}),
+        ("ADBRIX", {"price": ["abc"]}, {"value": None}),
+        ("ADBRIX", {"price": [10.9]}, {"value": 10}),
+        ("ADBRIX", {"price": ["-10.9"]}, {"value": -10}),
+        ("ADBRIX", {"price": ["3000000000"]}, {"value": None}),
+        ("ADBRIX", {"price": [None]}, {"value": None}),
+        ("BRANCH", {"ci0_price": ["abc"]}, {"value": None, "amount": None, "quantity": 2}),
+        ("BRANCH", {"ci0_price": [1.5], "ci0_quantity": [3]}, {"value": 1, "amount": 4}),
+        ("ADBRIX", {"event_time": ["soon"]}, {"eventTimeStamp": None, "eventDate": None, "eventHour": None}),
+        ("ADBRIX", {"event_time": ["99999999999999999"]}, {"eventTimeStamp": None, "eventDate": None}),
+        ("ADBRIX", {"event_time": ["1609459200.9"]}, {"eventTimeStamp": at("2021-01-01 00:00:00")}),
+        ("ADBRIX", {"event_time": []}, {"eventTimeStamp": None}),
+        ("ADBRIX", {"package_name": None}, {"trackingId": None}),
+    ],
+)
+def test_edges(spark, ansi, tmp_path, vendor, changes, expected):
+    row = one(spark, tmp_path, vendor, **changes)
+    assert {name: row[name] for name in expected} == expected
+
+
+@pytest.mark.parametrize("vendor", VENDORS)
+def test_code_tables(spark, ansi, tmp_path, vendor):
+    name, platform = {
+        "ADBRIX": ("activity", "platform"),
+        "BRANCH": ("name", "ud_os"),
+        "SINGULAR": ("evtname", "platform"),
+    }[vendor]
+    lines = [raw_line(vendor, **{name: [n]}) for n in EVENT_CODES[vendor]]
+    lines += [raw_line(vendor, **{platform: [p]}) for p in OS_CODES[vendor]]
+    found = standardize(raw_frame(spark, tmp_path, vendor, lines), vendor).collect()
+    codes = EVENT_CODES[vendor]
+    assert [r.trackingEventCode for r in found[: len(codes)]] == list(codes.values())
+    assert [r.osTypeCode for r in found[len(codes) :]] == list(OS_CODES[vendor].values())
+
+
+def test_null_struct_and_bad_lines_are_kept_and_counted(spark, ansi, tmp_path):
+    lines = [
+        raw_line("ADBRIX"),
+        '{"logTimeStamp": 1609459205999}',
+        raw_line("ADBRIX", price=7),
+        "{broken",
+        raw_line("ADBRIX", package_name=None),
+    ]
+    raw = raw_frame(spark, tmp_path, "ADBRIX", lines)
+    assert standardize(raw, "ADBRIX").count() == 5
+    scalar_price = standardize(raw, "ADBRIX").collect()[2]
+    assert (scalar_price.value, scalar_price.trackingId) == (None, "shop.a")
+    assert tuple(raw_quality(raw, "ADBRIX").collect()[0]) == ("ADBRIX", 5, 2, 3)
+    assert union_events(spark, standardize(raw, "ADBRIX")).count() == 2
+
+
+def test_union_of_none_is_typed_and_empty(spark):
+    nothing = union_events(spark)
+    assert nothing.schema == empty_events(spark).schema == TIER1
+    assert nothing.count() == 0
+
+
+def test_union_is_by_name_and_passes_other_columns(spark, tmp_path):
+    frames = [
+        standardize(
+            raw_frame(spark, tmp_path / v, v, [raw_line(v)]).withColumn("run_date", F.lit("r")), v
+        )
+        for v in VENDORS
+    ]
+    rows = union_events(spark, *frames).collect()
+    assert sorted((r.tracking, r.trackingId, r.run_date) for r in rows) == [
+        ("ADBRIX", "shop.a", "r"), ("BRANCH", "shop-b", "r"), ("SINGULAR", "shop-c", "r"),
+    ]
+
+
+def test_partition_columns_are_copies(spark, tmp_path):
+    frame = standardize(raw_frame(spark, tmp_path, "ADBRIX", [raw_line("ADBRIX")]), "ADBRIX")
+    row = with_partition_columns(frame).collect()[0]
+    assert (row.date, row.hour) == (row.eventDate, row.eventHour)
