@@ -49,7 +49,8 @@ def with_next_event(events: DataFrame) -> DataFrame:
     same_second = F.lit(True)
     for c in key:
         same_second = same_second & F.col(c).eqNullSafe(F.col(f"_{c}"))
-    is_last = F.col("_content") == F.col("_last_content")
+    # Written so that it does not become a join key: both joins below then read one shuffle of events.
+    is_last = F.col("_content").bitwiseXOR(F.col("_last_content")) == 0
     next_or_same = F.when(is_last, F.col("nextEventTimeStamp")).otherwise(F.col(MOMENT))
 
     single = (

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from eventmart.functions.ranges import Day
+from eventmart.functions.ranges import Day, as_date
 from eventmart.operators import event_by_user, purchase_by_user, standardize, union_events
 from eventmart.schemas import EVENT_BY_USER, PURCHASE_BY_USER, TIER1_STORED, VENDORS, stored
 from eventmart.sources import missing_days, read_raw, read_tier, write_tier1, write_tier2
@@ -54,27 +54,53 @@ def build_purchase_by_user(
     write_tier2(purchase_by_user(events), lake.purchase_by_user)
 
 
+def _dates_of_runs(spark: SparkSession, lake: Lake, runs: Sequence[Day]) -> set[Day]:
+    """Event dates of which the event table holds rows from some runs."""
+    events = read_tier(spark, lake.events, schema=TIER1_STORED)
+    dates = events.where(F.col("run_date").isin(runs)).select("date").distinct()
+    return {row["date"] for row in dates.collect() if row["date"]}
+
+
+def process_runs(
+    spark: SparkSession, lake: Lake, runs: Sequence[Day], tz: str = "UTC", also: Sequence[Day] = ()
+) -> None:
+    """Standardise run days, then rebuild both marts for every event date these runs touch.
+
+    So late events reach dates whose mart exists already, and a date that a repeated run no longer
+    touches loses its rows. ``also`` names further dates to rebuild. What comes to the driver is a list
+    of days.
+    """
+    runs = [as_date(run) for run in runs]
+    before = _dates_of_runs(spark, lake, runs)
+    standardize_days(spark, lake, runs, tz)
+    touched = before | _dates_of_runs(spark, lake, runs) | {as_date(day) for day in also}
+    if touched:
+        days = sorted(touched)
+        events = read_tier(spark, lake.events, schema=TIER1_STORED).where(F.col("date").isin(days))
+        write_tier2(event_by_user(events), lake.event_by_user, days)
+        write_tier2(purchase_by_user(events), lake.purchase_by_user, days)
+
+
 def catch_up(spark: SparkSession, lake: Lake, start: str, end: str, tz: str = "UTC") -> None:
     """Do whatever days of a range are not done yet, in all three tables.
 
-    A run day counts as standardised if the event table holds rows of that run. What is collected is
-    a list of days. Marts are rebuilt for every event date the new runs touched, so late events reach
-    dates whose mart exists already.
+    A run day counts as standardised if the event table holds rows of that run, an event date as
+    aggregated if both marts hold rows of it; a day without any is cheap to try again.
     """
     events = read_tier(spark, lake.events, schema=TIER1_STORED)
-    runs = missing_days(spark, events, start, end, day_column="run_date").collect()
-    new_runs = sorted(row["date"] for row in runs)
-    standardize_days(spark, lake, new_runs, tz)
-
-    events = read_tier(spark, lake.events, schema=TIER1_STORED)
-    touched = events.where(F.col("run_date").isin(new_runs)).select("date").distinct()
-    jobs = (
-        (event_by_user, lake.event_by_user, EVENT_BY_USER),
-        (purchase_by_user, lake.purchase_by_user, PURCHASE_BY_USER),
+    new_runs = missing_days(spark, events, start, end, day_column="run_date")
+    absent = [
+        missing_days(spark, read_tier(spark, root, schema=stored(shape)), start, end)
+        for root, shape in (
+            (lake.event_by_user, EVENT_BY_USER),
+            (lake.purchase_by_user, PURCHASE_BY_USER),
+        )
+    ]
+    to_rebuild = absent[0].union(absent[1]).distinct().collect()
+    process_runs(
+        spark,
+        lake,
+        sorted(row["date"] for row in new_runs.collect()),
+        tz,
+        also=[row["date"] for row in to_rebuild],
     )
-    for mart, root, shape in jobs:
-        have = read_tier(spark, root, schema=stored(shape))
-        absent = missing_days(spark, have, start, end)
-        days = [row["date"] for row in touched.union(absent).distinct().collect() if row["date"]]
-        if days:
-            write_tier2(mart(events.where(F.col("date").isin(days))), root)

@@ -55,29 +55,41 @@ def write_tier1(
         .observe(written, F.collect_set(F.struct("date", "run_date")).alias("partitions"))
     )
     _write_by(stored, ["date", "run_date"], ["trackingId", "eventTimeStamp"], root, compression)
-    _drop_stale(events.sparkSession, root, written.get["partitions"])
 
-
-def _drop_stale(spark: SparkSession, root: str, written: list) -> None:
-    """Remove the folders of the runs just written that these runs no longer fill."""
-    filled = {(str(p["date"] or _NULL_FOLDER), str(p["run_date"])) for p in written}
-    for run in sorted({run for _, run in filled}):
-        for folder in matching(spark, f"{root.rstrip('/')}/date=*/run_date={run}"):
+    filled = {(_folder(p["date"]), _folder(p["run_date"])) for p in written.get["partitions"]}
+    runs = {run for _, run in filled} | ({_folder(as_date(run_date))} if run_date else set())
+    for run in sorted(runs):
+        for folder in matching(events.sparkSession, f"{root.rstrip('/')}/date=*/run_date={run}"):
             date = folder.rstrip("/").split("/")[-2].removeprefix("date=")
             if (date, run) not in filled:
-                delete(spark, folder)
+                delete(events.sparkSession, folder)
+
 
+def _folder(value: object) -> str:
+    """How Spark names the partition of a value."""
+    return _NULL_FOLDER if value is None else str(value)
 
-def write_tier2(mart: DataFrame, root: str, compression: str = "zstd") -> None:
+
+def write_tier2(
+    mart: DataFrame, root: str, days: Sequence[Day] = (), compression: str = "zstd"
+) -> None:
     """Store a mart below ``root/date=<event date>``, replacing the dates it holds.
 
-    Rows are sorted within files, which keeps repeated applications and users together and lets a scan
-    skip row groups. Missing sort columns (the daily mart has no hour) are left out.
+    ``days`` are the dates it was computed for; those on which it has no rows are removed from the
+    store. Rows are sorted within files, which keeps repeated applications and users together and lets
+    a scan skip row groups. Missing sort columns (the daily mart has no hour) are left out.
     """
     order = ["app_name", "os_typecode", "event_hour", "c_id"]
-    dated = mart.withColumn("date", F.col("event_date"))
+    written = Observation()
+    dated = mart.withColumn("date", F.col("event_date")).observe(
+        written, F.collect_set("date").alias("dates")
+    )
     _write_by(dated, ["date"], [c for c in order if c in mart.columns], root, compression)
 
+    for day in sorted({as_date(day) for day in days} - set(written.get["dates"])):
+        for folder in matching(mart.sparkSession, f"{root.rstrip('/')}/date={day}"):
+            delete(mart.sparkSession, folder)
+
 
 def write_sorted(
     table: DataFrame,

@@ -15,6 +15,7 @@ from eventmart.plans.jobs import (
     build_event_by_user,
     build_purchase_by_user,
     catch_up,
+    process_runs,
     standardize_days,
 )
 from eventmart.plans.reports import REPORTS, report
@@ -196,6 +197,28 @@ def test_relayout(spark, tmp_path, times_as_text):
     ]
 
 
+def test_tier2_removes_days_without_rows(spark, tmp_path):
+    root = str(tmp_path / "mart")
+    days = ["2021-01-01", "2021-01-02", "2021-01-03"]
+    write_tier2(user_mart(spark, [{}, {"event_date": "2021-01-02"}, {"event_date": "2021-01-05"}]), root)
+    write_tier2(user_mart(spark, [{"event_date": "2021-01-02"}]), root, days)
+    assert rows_of(read_tier(spark, root, schema=stored(EVENT_BY_USER)), "date") == [
+        (day("2021-01-02"),), (day("2021-01-05"),),
+    ]
+
+
+def test_a_repeated_run_takes_back_what_it_no_longer_holds(spark, tmp_path):
+    lake = Lake(str(tmp_path / "raw"), str(tmp_path / "warehouse"))
+    folder = tmp_path / "raw/thirdparty-adbrix/2021-01/02"
+    whens = ["2021-01-01 23:00:00", "2021-01-02 01:00:00"]
+    write_lines(folder, [raw_line("ADBRIX", event_time=[seconds(w)]) for w in whens])
+    process_runs(spark, lake, ["2021-01-02"])
+    write_lines(folder, [raw_line("ADBRIX", event_time=[seconds(whens[1])])])
+    process_runs(spark, lake, ["2021-01-02"])
+    for root, shape in ((lake.event_by_user, EVENT_BY_USER), (lake.purchase_by_user, PURCHASE_BY_USER)):
+        assert rows_of(read_tier(spark, root, schema=stored(shape)), "date") == [(day("2021-01-02"),)]
+
+
 # --- days ------------------------------------------------------------------------------------------
 
 

@@ -68,3 +68,41 @@ def test_many_copies_are_written_back_in_portions(spark, monkeypatch):
     assert found(frame) == {
         (*user, zero, zero): 22, (*user, zero, nine): 1, (*user, nine, None): 1,
     }
+
+
+def test_a_hot_user_and_second_is_split_over_tasks(spark):
+    """A third of all events share one id and one second; the join splits them by skew handling."""
+    from pyspark.sql import functions as F
+
+    rows = spark.range(0, 30_000, 1, 8)
+    hot = F.col("id") % 3 == 0
+    frame = rows.select(
+        F.lit("ADBRIX").alias("tracking"),
+        F.lit("app").alias("trackingId"),
+        F.when(hot, "00000000").otherwise(F.col("id").cast("string")).alias("cid"),
+        F.lit("ATC001").alias("osTypeCode"),
+        F.when(hot, at("2021-01-01 00:00:00")).otherwise(at("2021-01-01 00:00:05")).alias("eventTimeStamp"),
+        F.sha2(F.col("id").cast("string"), 512).alias("contentName"),
+    )
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        result = with_next_event(frame)
+        rows = result.select("eventTimeStamp", "nextEventTimeStamp").collect()
+        executed = result.select("eventTimeStamp", "nextEventTimeStamp")
+        executed.collect()
+        text = executed._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert "skew=true" in text
+    same = sum(r.eventTimeStamp == r.nextEventTimeStamp for r in rows)
+    last = sum(r.nextEventTimeStamp is None for r in rows)
+    assert (same, last) == (9_999, 20_001)
