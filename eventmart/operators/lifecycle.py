@@ -11,7 +11,6 @@ from eventmart.functions import between_dates, second_diff
 from eventmart.functions.ranges import Day
 from eventmart.schemas import (
     CART,
-    IN_APP_PURCHASE,
     OTHER_OS,
     PURCHASE,
     PURCHASE_CODE_BY_APP,
@@ -49,7 +48,6 @@ def cart_lead_time(
     code = F.col("trackingEventCode")
     in_cart = code.isin(*cart_codes)
     scanned = [*cart_codes, PURCHASE, *purchase_code_by_app.values()]
-    bought = code.isin(PURCHASE, IN_APP_PURCHASE)
     pairs = (
         events.where(
             between_dates("eventDate", start, end)
@@ -64,10 +62,10 @@ def cart_lead_time(
             F.col("contentId").alias("content_id"),
         )
         .agg(
-            F.min(F.when(~bought, F.col("eventDate"))).alias("add_cart_date"),
-            F.min(F.when(bought, F.col("eventDate"))).alias("purchase_date"),
-            F.min(F.when(~bought, F.col("eventTimeStamp"))).alias("cart_time"),
-            F.min(F.when(bought, F.col("eventTimeStamp"))).alias("purchase_time"),
+            F.min(F.when(in_cart, F.col("eventDate"))).alias("add_cart_date"),
+            F.min(F.when(~in_cart, F.col("eventDate"))).alias("purchase_date"),
+            F.min(F.when(in_cart, F.col("eventTimeStamp"))).alias("cart_time"),
+            F.min(F.when(~in_cart, F.col("eventTimeStamp"))).alias("purchase_time"),
         )
         .withColumn("lead_time", second_diff(F.col("purchase_time"), F.col("cart_time")))
     )
@@ -102,18 +100,35 @@ def post_signup_events(
 ) -> DataFrame:
     """Sign-up rows with the same user's mart rows on and after the sign-up date.
 
-    The mart holds one row per hour, so a user with sign-ups in two hours is listed twice. Rows of
-    one user are bounded by the hours covered, whatever the number of events behind them.
+    The mart holds one row per hour, so a user with sign-ups in two hours is listed twice. Rows that
+    would look the same are counted on both sides first and written out last: what is joined of one
+    user is bounded by the days covered, and the counting uses the join's own shuffle.
     """
     seen = _known_devices(events_by_user, start, end)
-    signups = seen.where(F.col("event_typecode") == signup_code).select(
-        "app_name", "c_id", F.col("event_date").alias("register_date")
+    signups = (
+        seen.where(F.col("event_typecode") == signup_code)
+        .groupBy("app_name", "c_id", F.col("event_date").alias("register_date"))
+        .agg(F.count(F.lit(1)).alias("signup_rows"))
     )
-    user_rows = seen.select("app_name", "c_id", "event_typecode", "event_date")
+    user_days = (
+        seen.select("app_name", "c_id", "event_typecode", "event_date")
+        .repartition("app_name", "c_id")
+        .groupBy("app_name", "c_id", "event_typecode", "event_date")
+        .agg(F.count(F.lit(1)).alias("event_rows"))
+    )
+    times = (F.col("signup_rows") * F.col("event_rows")).cast("int")
     return (
-        signups.join(user_rows, ["app_name", "c_id"])
+        signups.join(user_days, ["app_name", "c_id"])
         .where(F.col("event_date") >= F.col("register_date"))
-        .select("app_name", "c_id", "register_date", "event_typecode", "event_date")
+        .select(
+            "app_name",
+            "c_id",
+            "register_date",
+            "event_typecode",
+            "event_date",
+            F.explode(F.array_repeat(F.lit(True), times)).alias("listed"),
+        )
+        .drop("listed")
     )
 
 

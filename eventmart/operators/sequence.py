@@ -76,6 +76,6 @@ def _other_copies(copied: DataFrame, columns: list[str]) -> DataFrame:
         copied.where(others > 0)
         .withColumn("_portion", F.explode(portions))
         .repartition(F.xxhash64(*columns), "_portion")
-        .select(F.col(MOMENT).alias("nextEventTimeStamp"), *columns, F.explode(F.array_repeat(F.lit(0), size)))
-        .drop("col")
+        .withColumn("_written", F.explode(F.array_repeat(F.lit(True), size)))
+        .select(F.col(MOMENT).alias("nextEventTimeStamp"), *columns)
     )

@@ -18,7 +18,7 @@ from eventmart.sources import missing_days, read_raw, read_tier, write_tier1, wr
 
 
 class Lake:
-    """Where the tables lie below one warehouse root."""
+    """Where the raw logs and, below one warehouse root, the tables lie (fixed folder names)."""
 
     def __init__(self, raw: str, warehouse: str):
         self.raw = raw.rstrip("/")
