@@ -4,18 +4,17 @@ from eventmart.functions.codes import device_id, event_code, os_code
 from eventmart.functions.numbers import first_item, json_item, ratio, to_int, to_long
 from eventmart.functions.ranges import between_dates
 from eventmart.functions.times import (
-    EPOCH,
     epoch_cols,
     epoch_seconds,
-    hour_text,
     instant,
+    local_date,
+    local_hour,
     second_diff,
-    to_second,
     wall_clock,
 )
 
 __all__ = [
-    "EPOCH", "between_dates", "device_id", "epoch_cols", "epoch_seconds", "event_code", "first_item",
-    "hour_text", "instant", "json_item", "os_code", "ratio", "second_diff", "to_int", "to_long", "to_second",
+    "between_dates", "device_id", "epoch_cols", "epoch_seconds", "event_code", "first_item", "instant",
+    "json_item", "local_date", "local_hour", "os_code", "ratio", "second_diff", "to_int", "to_long",
     "wall_clock",
 ]

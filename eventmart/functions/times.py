@@ -7,13 +7,12 @@ from pyspark.sql import functions as F
 
 from eventmart.functions.numbers import to_long
 
-EPOCH = "1970-01-01 00:00:00"
-
 # Years 1 to 9999; outside of it a number is a broken clock and Spark's constructors would raise.
 _FIRST_SECOND = -62_135_596_800
 _LAST_SECOND = 253_402_300_799
 
 _PER_SECOND = {"s": 1, "ms": 1000}
+_DAY = 86_400
 
 
 def epoch_seconds(number: Column, unit: str) -> Column:
@@ -22,36 +21,37 @@ def epoch_seconds(number: Column, unit: str) -> Column:
     return F.when(seconds.between(_FIRST_SECOND, _LAST_SECOND), seconds)
 
 
-def _at_utc(seconds: Column) -> Column:
-    return F.timestamp_add("SECOND", seconds, F.lit(EPOCH).cast("timestamp_ntz"))
+def _local_seconds(moment: Column, tz: str) -> Column:
+    """Seconds since 1970 that a clock in ``tz`` shows; plain number arithmetic from here on."""
+    return F.unix_seconds(F.from_utc_timestamp(moment, tz))
 
 
-def wall_clock(moment: Column, tz: str) -> Column:
-    """Local time of an instant in ``tz``, to the second, as a timestamp without time zone."""
-    return F.convert_timezone(F.lit("UTC"), F.lit(tz), _at_utc(F.unix_timestamp(moment)))
+def local_date(moment: Column, tz: str) -> Column:
+    """Date of an instant in ``tz``."""
+    return F.date_from_unix_date(F.floor(_local_seconds(moment, tz) / _DAY).cast("int"))
 
 
-def instant(local: Column, tz: str) -> Column:
-    """The instant of a local time in ``tz``, to the second."""
-    utc = F.convert_timezone(F.lit(tz), F.lit("UTC"), local)
-    return F.timestamp_seconds(F.unix_timestamp(utc))
+def local_hour(moment: Column, tz: str) -> Column:
+    """Hour of day of an instant in ``tz``, as two digits."""
+    hour = F.floor(F.pmod(_local_seconds(moment, tz), F.lit(_DAY)) / 3600)
+    return F.lpad(hour.cast("string"), 2, "0")
 
 
-def to_second(moment: Column) -> Column:
-    """A timestamp without time zone, cut to whole seconds."""
-    return _at_utc(F.unix_timestamp(moment))
+def epoch_cols(number: Column, unit: str, tz: str) -> tuple[Column, Column, Column]:
+    """Instant, local date and local two-digit hour of an epoch number."""
+    moment = F.timestamp_seconds(epoch_seconds(number, unit))
+    return moment, local_date(moment, tz), local_hour(moment, tz)
 
 
-def hour_text(moment: Column) -> Column:
-    """Hour of day as two digits."""
-    return F.lpad(F.hour(moment).cast("string"), 2, "0")
+def wall_clock(moment: Column, tz: str) -> Column:
+    """Local time of an instant in ``tz``, to the second, as a timestamp without time zone."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_add("SECOND", _local_seconds(moment, tz), epoch)
 
 
-def epoch_cols(number: Column, unit: str, tz: str) -> tuple[Column, Column, Column]:
-    """Instant, local date and local two-digit hour of an epoch number."""
-    seconds = epoch_seconds(number, unit)
-    local = F.convert_timezone(F.lit("UTC"), F.lit(tz), _at_utc(seconds))
-    return F.timestamp_seconds(seconds), F.to_date(local), hour_text(local)
+def instant(local: Column, tz: str) -> Column:
+    """The instant of a timestamp without time zone that a clock in ``tz`` showed, to the second."""
+    return F.to_utc_timestamp(F.timestamp_seconds(F.unix_timestamp(local)), tz)
 
 
 def second_diff(later: Column, earlier: Column) -> Column:

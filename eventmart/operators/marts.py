@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType
 
-from eventmart.functions import between_dates, wall_clock
+from eventmart.functions import between_dates, local_date
 from eventmart.functions.ranges import Day
 from eventmart.schemas import EVENT_BY_USER, EXCLUDED_APPS, PURCHASE, PURCHASE_BY_USER
 
@@ -110,7 +110,7 @@ def purchase_by_user_from_ts(
 ) -> DataFrame:
     """The same with the date taken from the event timestamp (local to ``tz``)."""
     moment = F.col("eventTimeStamp")
-    if not isinstance(events.schema["eventTimeStamp"].dataType, TimestampNTZType):
-        moment = wall_clock(moment, tz)
-    dated = events.withColumn("purchase_day", F.to_date(moment))
+    without_zone = isinstance(events.schema["eventTimeStamp"].dataType, TimestampNTZType)
+    purchase_day = F.to_date(moment) if without_zone else local_date(moment, tz)
+    dated = events.withColumn("purchase_day", purchase_day)
     return _sum_purchases(dated.where(between_dates("purchase_day", start, end)), codes)
