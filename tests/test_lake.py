@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import pathlib
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -171,6 +172,24 @@ def test_sorted_write_is_in_order_and_spreads_a_hot_value(spark, tmp_path):
     assert sum(any(row.k == 50 for row in piece) for piece in pieces) >= 2
 
 
+def test_sorted_write_passes_parquet_settings(spark, tmp_path):
+    frame = spark.range(0, 50_000, 1, 2).select((F.col("id") % 7).alias("k"), "id")
+    for name, settings in {
+        "default": {},
+        "plain": {"compression": "zstd", "dictionary": False, "row_group_bytes": 64 * 1024},
+    }.items():
+        write_sorted(frame, str(tmp_path / name), "id", files=1, **settings)
+    default, plain = (
+        pq.ParquetFile(next((tmp_path / name).glob("*.parquet"))).metadata for name in ("default", "plain")
+    )
+    assert (default.row_group(0).column(0).compression, plain.row_group(0).column(0).compression) == (
+        "GZIP", "ZSTD",
+    )
+    assert default.row_group(0).column(0).has_dictionary_page
+    assert not plain.row_group(0).column(0).has_dictionary_page
+    assert default.num_row_groups == 1 < plain.num_row_groups
+
+
 @pytest.mark.parametrize("times_as_text", [False, True])
 def test_relayout(spark, tmp_path, times_as_text):
     src, dst = tmp_path / "old", str(tmp_path / "new")
