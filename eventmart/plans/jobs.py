@@ -14,7 +14,14 @@ from pyspark.sql import functions as F
 from eventmart.functions.ranges import Day, as_date
 from eventmart.operators import event_by_user, purchase_by_user, standardize, union_events
 from eventmart.schemas import EVENT_BY_USER, PURCHASE_BY_USER, TIER1_STORED, VENDORS, stored
-from eventmart.sources import missing_days, read_raw, read_tier, write_tier1, write_tier2
+from eventmart.sources import (
+    delivered_days,
+    missing_days,
+    read_raw,
+    read_tier,
+    write_tier1,
+    write_tier2,
+)
 
 
 class Lake:
@@ -31,11 +38,19 @@ class Lake:
 def standardize_days(
     spark: SparkSession, lake: Lake, days: Sequence[Day], tz: str = "UTC"
 ) -> None:
-    """Raw logs of some run days, of whichever vendors have any, into the event table."""
-    logs = {vendor: read_raw(spark, vendor, lake.raw, days) for vendor in VENDORS}
-    events = [standardize(raw, vendor, tz) for vendor, raw in logs.items() if raw is not None]
+    """Raw logs of some run days, of whichever vendors have any, into the event table.
+
+    A day without any raw folder is left as it is stored.
+    """
+    events, runs = [], set()
+    for vendor in VENDORS:
+        delivered = delivered_days(spark, vendor, lake.raw, days)
+        if delivered:
+            raw = read_raw(spark, vendor, lake.raw, delivered)
+            events.append(standardize(raw, vendor, tz))
+            runs.update(delivered)
     if events:
-        write_tier1(union_events(spark, *events), lake.events)
+        write_tier1(union_events(spark, *events), lake.events, runs=sorted(map(as_date, runs)))
 
 
 def build_event_by_user(

@@ -7,10 +7,10 @@ from eventmart.sources.lake import (
     write_tier1,
     write_tier2,
 )
-from eventmart.sources.raw import read_raw
+from eventmart.sources.raw import delivered_days, read_raw
 from eventmart.sources.tiers import calendar, missing_days, read_tier
 
 __all__ = [
-    "calendar", "exists", "missing_days", "read_raw", "read_tier", "relayout", "shared_folder",
+    "calendar", "delivered_days", "exists", "missing_days", "read_raw", "read_tier", "relayout", "shared_folder",
     "write_sorted", "write_tier1", "write_tier2",
 ]

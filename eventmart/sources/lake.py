@@ -38,13 +38,18 @@ def _write_by(
 
 
 def write_tier1(
-    events: DataFrame, root: str, run_date: Day = None, compression: str = "zstd"
+    events: DataFrame,
+    root: str,
+    run_date: Day = None,
+    runs: Sequence[Day] = (),
+    compression: str = "zstd",
 ) -> None:
     """Store standard events below ``root/date=<event date>/run_date=<run>``.
 
     A run also carries late events of earlier dates. Writing a run again replaces exactly its own rows
-    and leaves those of other runs. ``run_date`` is a column of ``events`` if not given. Partitions an
-    earlier attempt of the same run filled and this one does not are removed afterwards.
+    and leaves those of other runs. ``run_date`` is a column of ``events`` if not given; ``runs`` then
+    names all runs that ``events`` stands for, also those without rows. Partitions an earlier attempt
+    of these runs filled and this one does not are removed afterwards.
     """
     if run_date is not None:
         events = events.withColumn("run_date", F.lit(as_date(run_date)))
@@ -57,8 +62,8 @@ def write_tier1(
     _write_by(stored, ["date", "run_date"], ["trackingId", "eventTimeStamp"], root, compression)
 
     filled = {(_folder(p["date"]), _folder(p["run_date"])) for p in written.get["partitions"]}
-    runs = {run for _, run in filled} | ({_folder(as_date(run_date))} if run_date else set())
-    for run in sorted(runs):
+    replaced = [run for run in (run_date, *runs) if run is not None]
+    for run in sorted({run for _, run in filled} | {_folder(as_date(run)) for run in replaced}):
         for folder in matching(events.sparkSession, f"{root.rstrip('/')}/date=*/run_date={run}"):
             date = folder.rstrip("/").split("/")[-2].removeprefix("date=")
             if (date, run) not in filled:

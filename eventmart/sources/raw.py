@@ -12,6 +12,15 @@ from eventmart.schemas import RAW_DAY_IN_PATH, RAW_FOLDER, raw_schema
 from eventmart.sources.files import exists
 
 
+def _folder(vendor: str, root: str, day: Day) -> str:
+    return f"{root.rstrip('/')}/{RAW_FOLDER.format(vendor=vendor.lower(), day=as_date(day))}"
+
+
+def delivered_days(spark: SparkSession, vendor: str, root: str, days: Sequence[Day]) -> list[Day]:
+    """Those of some days for which the vendor has a folder."""
+    return [day for day in days if exists(spark, _folder(vendor, root, day))]
+
+
 def read_raw(
     spark: SparkSession, vendor: str, root: str, days: Sequence[Day]
 ) -> DataFrame | None:
@@ -21,11 +30,7 @@ def read_raw(
     inference pass and a field of an unexpected type is NULL instead of changing the column; such
     lines are kept in ``_corrupt_record``. ``run_date`` is the day of the folder.
     """
-    folders = [
-        f"{root.rstrip('/')}/{RAW_FOLDER.format(vendor=vendor.lower(), day=as_date(day))}"
-        for day in days
-    ]
-    present = [folder for folder in folders if exists(spark, folder)]
+    present = [_folder(vendor, root, d) for d in delivered_days(spark, vendor, root, days)]
     if not present:
         return None
     path = F.col("_metadata.file_path")

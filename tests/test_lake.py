@@ -238,6 +238,23 @@ def test_a_repeated_run_takes_back_what_it_no_longer_holds(spark, tmp_path):
         assert rows_of(read_tier(spark, root, schema=stored(shape)), "date") == [(day("2021-01-02"),)]
 
 
+def test_a_run_that_lost_all_rows_is_emptied_and_one_without_raw_stays(spark, tmp_path):
+    lake = Lake(str(tmp_path / "raw"), str(tmp_path / "warehouse"))
+    days = [f"2021-01-0{d}" for d in (1, 2, 3)]
+    for d in days[:2]:
+        write_lines(
+            tmp_path / f"raw/thirdparty-adbrix/2021-01/{d[-2:]}",
+            [raw_line("ADBRIX", event_time=[seconds(f"{d} 10:00:00")])],
+        )
+    write_tier1(stored_events(spark, "2021-01-03 10:00:00"), lake.events, days[2])
+    process_runs(spark, lake, days)
+    write_lines(tmp_path / "raw/thirdparty-adbrix/2021-01/01", [raw_line("ADBRIX", package_name=None)])
+    process_runs(spark, lake, days)
+    left = [(day(days[1]),), (day(days[2]),)]
+    assert tier1(spark, lake.events, "run_date") == left
+    assert rows_of(read_tier(spark, lake.event_by_user, schema=stored(EVENT_BY_USER)), "date") == left
+
+
 # --- days ------------------------------------------------------------------------------------------
 
 
