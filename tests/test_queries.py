@@ -7,6 +7,7 @@ import os
 import pytest
 
 import __spark_entry__ as driver
+from eventmart.plans import oracle, queries
 from tests.comparison import difference, oracle_connection
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -18,10 +19,12 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(queries.queries()) == set(oracle.oracle_sql())
+    assert set(queries.queries()) <= set(driver.queries())
+    assert set(oracle.oracle_sql()) <= set(driver.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(queries.queries()))
 def test_matches_sql(spark, duck, name):
     query, sql = driver.queries()[name], driver.oracle_sql()[name]
     rows, differs = difference(spark, duck, query, sql, SF_DIR)
