@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from eventmart.llm.common import table
+from eventmart.llm.packing import pack_documents
 from eventmart.llm.sharding import shard_documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +18,11 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), shards=40)
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    return pack_documents(table(spark, sf_dir, "documents"), tokenizer, capacity=4096, end_id=1)
+
+
 def queries() -> dict[str, Query]:
     """All of these queries by name."""
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
