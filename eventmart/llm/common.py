@@ -9,6 +9,8 @@ from eventmart.sources.files import shared_folder
 
 #: A word: letters, digits and everything beyond ASCII, in lower case.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: The same before A-Z become a-z.
+_ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,12 +27,19 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
 
 def lower_ascii(text: Column) -> Column:
     """A-Z to a-z and nothing else; null stays null."""
-    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    slow = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(slow)
 
 
 def words(text: Column) -> Column:
     """The words of a text in order; none for null."""
-    return F.coalesce(F.regexp_extract_all(lower_ascii(text), F.lit(f"({WORD})"), 1), F.array().cast("array<string>"))
+    found = F.regexp_extract_all(lower_ascii(text), F.lit(f"({WORD})"), 1)
+    return F.coalesce(found, F.array().cast("array<string>"))
+
+
+def n_words(text: Column) -> Column:
+    """Number of words; 0 for null."""
+    return F.coalesce(F.regexp_count(text, F.lit(_ANY_CASE)), F.lit(0)).cast("long")
 
 
 def buckets(spark: SparkSession) -> int:

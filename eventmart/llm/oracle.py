@@ -2,7 +2,63 @@
 
 from __future__ import annotations
 
+_WORDS = r"""
+regexp_extract_all(
+    translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')
+"""
+
+_DECONTAMINATION = f"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id, coalesce({_WORDS.format(text='text')}, []) AS w FROM documents
+), items AS (
+    SELECT coalesce(item_id::VARCHAR, 'null') AS item, coalesce({_WORDS.format(text='text')}, []) AS w FROM benchmark
+), item_windows AS (
+    SELECT DISTINCT item, w[i:i + 12] AS ww FROM items, unnest(range(1, greatest(len(w) - 12, 1) + 1)) t(i)
+    WHERE len(w) > 0
+), sizes AS (
+    SELECT DISTINCT len(ww) AS n FROM item_windows
+), doc_windows AS (
+    SELECT r, i, n, w[i:i + n - 1] AS ww FROM docs, sizes, unnest(range(1, len(w) - n + 2)) t(i)
+), found AS (
+    SELECT r, i, n, item FROM doc_windows JOIN item_windows USING (ww)
+), hit AS (
+    SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM found) GROUP BY r
+), which AS (
+    SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+    FROM (SELECT DISTINCT r, item FROM found) GROUP BY r
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM docs LEFT JOIN hit USING (r) LEFT JOIN which USING (r)
+"""
+
+_LINE_DEDUP = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id, text, coalesce('=' || source, 'null') AS site,
+           string_split(text, chr(10)) AS lines FROM documents
+), pages AS (
+    SELECT site, count(*) AS pages FROM docs GROUP BY site
+), counted AS (
+    SELECT site, line, count(*) AS n FROM (SELECT site, unnest(list_distinct(lines)) AS line FROM docs)
+    WHERE trim(line, ' ') <> '' GROUP BY ALL
+), bad AS (
+    SELECT site, list(line) AS bad FROM counted JOIN pages USING (site)
+    WHERE n >= 3 AND n > 0.05::DOUBLE * pages GROUP BY site
+), cleaned AS (
+    SELECT doc_id, lines, list_filter(lines, lambda x: NOT list_contains(coalesce(bad, []), x)) AS kept
+    FROM docs LEFT JOIN bad USING (site)
+)
+SELECT doc_id, array_to_string(kept, chr(10)) AS text, coalesce(len(lines), 0)::BIGINT AS n_lines,
+       (coalesce(len(lines), 0) - coalesce(len(kept), 0))::BIGINT AS n_dropped
+FROM cleaned
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     """SQL by query name."""
-    return {}
+    return {
+        "op1_decontamination": _DECONTAMINATION,
+        "op5_line_dedup": _LINE_DEDUP,
+    }

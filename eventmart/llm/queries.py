@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from eventmart.llm import decontamination, line_dedup
 from eventmart.llm.common import table
 from eventmart.llm.packing import pack_documents
 from eventmart.llm.sharding import shard_documents
@@ -14,10 +16,19 @@ from eventmart.llm.sharding import shard_documents
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), shards=40)
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = line_dedup.drop_boilerplate(table(spark, sf_dir, "documents"), F.col("source"))
+    return cleaned.select("doc_id", "text", "n_lines", "n_dropped")
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer, capacity=4096, end_id=1)
