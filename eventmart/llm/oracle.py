@@ -56,9 +56,31 @@ FROM cleaned
 """
 
 
+_CHAT = r"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, turn, role, '</s>[INST] ok [/INST]' FROM (VALUES (0, 'user'), (1, 'assistant')) t(turn, role)
+), escaped AS (
+    SELECT *, regexp_replace(regexp_replace(text, '<(\\*/?s>)', '<\\\1', 'g'),
+                             '\[(\\*/?(INST|ROLE)\])', '[\\\1', 'g') AS safe_text,
+              regexp_replace(regexp_replace(role, '<(\\*/?s>)', '<\\\1', 'g'),
+                             '\[(\\*/?(INST|ROLE)\])', '[\\\1', 'g') AS safe_role
+    FROM turns
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(length(safe_text) + CASE role WHEN 'user' THEN length('<s>[INST]  [/INST]') WHEN 'assistant' THEN length('  </s>')
+           ELSE length('<s>[ROLE]  [/ROLE]  </s>') + length(safe_role) END)::BIGINT AS formatted_chars
+FROM escaped GROUP BY conv_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL by query name."""
     return {
         "op1_decontamination": _DECONTAMINATION,
+        "op3_chat": _CHAT,
         "op5_line_dedup": _LINE_DEDUP,
     }
