@@ -255,7 +255,7 @@ class Field:
 
         for i in range(1, rounds + 1):
             e = np.zeros((n, T, k))
-            e[real] = x @ self.weights
+            e[real] = x @ self.weights.astype(np.float32)
             step = self.steps + self.allowed
             ahead, behind = np.zeros((n, T, k)), np.zeros((n, T, k))
             ahead[:, 0] = e[:, 0] + self.first
@@ -269,7 +269,7 @@ class Field:
             expected = np.exp(ahead + behind - z) * real[:, :, None]
             both = ahead[:, :-1, :, None] + step + (e[:, 1:] + behind[:, 1:])[:, :, None, :] - z[..., None]
             pairs = (np.exp(np.minimum(both, 0)) * real[:, 1:, None, None]).sum(axis=(0, 1))
-            slopes = (x.T @ (gold - expected)[real] / n - decay * self.weights, (gold_steps - pairs) / n - decay * self.steps)
+            slopes = (x.T @ (gold - expected)[real].astype(np.float32) / n - decay * self.weights, (gold_steps - pairs) / n - decay * self.steps)
             for p, g, m in zip((self.weights, self.steps), slopes, moments, strict=True):
                 m[0] = 0.9 * m[0] + 0.1 * g
                 m[1] = 0.99 * m[1] + 0.01 * g * g
@@ -382,11 +382,9 @@ def report(documents: DataFrame, field: Field) -> DataFrame:
     def joined(spans: str):
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
-    found = find(documents, field)
-    counts = [
-        F.size(F.filter("base_spans", lambda s, kind=kind: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
-        for kind in KINDS
-    ]
-    return found.select(
-        "doc_id", *counts, F.sha2(joined("base_spans"), 256).alias("base_sha256"), joined("spans").alias("spans")
+    def count(kind: str):
+        return F.size(F.filter("base_spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return find(documents, field).select(
+        "doc_id", *map(count, KINDS), F.sha2(joined("base_spans"), 256).alias("base_sha256"), joined("spans").alias("spans")
     )
