@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmart.llm import chat, decontamination, language_id, line_dedup, personal_data
+from eventmart.llm import chat, decontamination, language_id, line_dedup, nearest, personal_data
 from eventmart.llm.common import table
 from eventmart.llm.packing import pack_documents
 from eventmart.llm.sharding import shard_documents
@@ -41,6 +41,11 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer, capacity=4096, end_id=1)
 
 
+def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    embeddings = table(spark, sf_dir, "embeddings")
+    return nearest.search(embeddings, embeddings.where("vec_id % 20 = 0"), k=20)
+
+
 def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return personal_data.report(documents, personal_data.learn(documents))
