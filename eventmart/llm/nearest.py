@@ -30,7 +30,7 @@ from eventmart.llm.common import stored
 
 LISTS = 1024  # at most
 PROBES = 0.7  # share of the lists that a query visits; vectors without clusters need many
-_LEAST_PROBES = 8
+_LEAST_PROBES = 24
 SAMPLE_BYTES = 32 << 20  # of the vectors that the centres are fitted on
 _PART, _QUERIES = 4096, 2048
 _BLOCK = 16  # columns
