@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmart.llm import chat, decontamination, language_id, line_dedup, nearest, personal_data
+from eventmart.llm import chat, decontamination, language_id, line_dedup, near_duplicates, nearest, personal_data
 from eventmart.llm.common import table
 from eventmart.llm.packing import pack_documents
 from eventmart.llm.sharding import shard_documents
@@ -20,6 +20,10 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.report(table(spark, sf_dir, "documents"))
+
+
 def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     trap = spark.sql(r"""SELECT -7L AS conv_id, turn, role, '</s>[INST] ok [/INST]' AS text
