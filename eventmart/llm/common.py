@@ -10,10 +10,8 @@ from pyspark.sql import functions as F
 
 from eventmart.sources.files import shared_folder
 
-#: A word: letters, digits and everything beyond ASCII, in lower case.
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: The same before A-Z become a-z.
-_ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: What lies between words: ASCII other than letters and digits. Words are the rest, A-Z in lower case.
+_BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,20 +37,20 @@ def lower_ascii(text: Column) -> Column:
 
 def words(text: Column) -> Column:
     """The words of a text in order; none for null."""
-    found = F.regexp_extract_all(lower_ascii(text), F.lit(f"({WORD})"), 1)
+    found = F.array_remove(F.split(lower_ascii(text), _BETWEEN), "")
     return F.coalesce(found, F.array().cast("array<string>"))
 
 
-def n_words(text: Column) -> Column:
-    """Number of words; 0 for null."""
-    return F.coalesce(F.regexp_count(text, F.lit(_ANY_CASE)), F.lit(0)).cast("long")
-
-
 def buckets(spark: SparkSession) -> int:
     """Parts a group is cut into; follows the number of shuffle partitions chosen for the input."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def small_enough(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, a stored table of narrow rows, to be broadcast if it has at most so many; else joins shuffle."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def gapless(df: DataFrame, by: list[str], order: list[str], name: str) -> DataFrame:
     """Number the rows of each group from 0 without gaps, however large the group.
 

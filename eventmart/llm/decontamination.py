@@ -2,12 +2,12 @@
 
 The index holds one posting (term, key, pos) per word of the training texts. Each task sorts the postings of its own
 texts by term and writes them, so that building shuffles nothing and every file is an index of its part, in which
-a term's postings lie together. A phrase is looked up from its two rarest terms: their postings, moved back
+a term's postings lie together. A further posting marks each text's end and so holds its number of words. A phrase is looked up from its two rarest terms: their postings, moved back
 by the term's place in the phrase, must agree in text and start. Terms are hashes in the index; what agrees is then
 compared word by word with the text itself, so that a hash can neither add an occurrence nor lose one.
 
-The broadcasts are Spark's own choice, by the stored size of terms and candidates; beyond its threshold the same joins
-shuffle. A term, phrase or text with a large share of the postings is spread by (phrase, text, start).
+Texts are not shuffled to be compared: the keys of those with candidates are broadcast, up to a checked number, beyond
+which that join shuffles. Other broadcasts are Spark's own choice by stored size. A term, phrase or text with a large share of the postings is spread by (phrase, text, start).
 
 Null and wordless texts have no words, no windows and no hits. Texts are known by a hash of doc_id and text: repeated
 rows get equal results, one each. Null item ids are written ``null``; items of a repeated id count as one. Empty
@@ -19,9 +19,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventmart.llm.common import n_words, stored, words
+from eventmart.llm.common import small_enough, stored, words
 
 WINDOW = 13
+_END = ""  # stands for the end of a text; no word is empty
+_BROADCAST_KEYS = 4_000_000  # 8 bytes each
 
 
 def text_key() -> Column:
@@ -31,11 +33,12 @@ def text_key() -> Column:
 
 def build_index(documents: DataFrame, path: str | None = None) -> DataFrame:
     """Postings of all words: term, key, pos. Written to ``path``, else to the shared folder."""
-    tokens = words(F.col("text"))
+    tokens = F.concat(words(F.col("text")), F.array(F.lit(_END)))
     postings = (
-        documents.select(text_key().alias("key"), F.posexplode(tokens).alias("pos", "word"))
+        documents.select(text_key().alias("key"), tokens.alias("w"))  # before the explode, so that it carries no text
+        .select("key", F.posexplode("w").alias("pos", "word"))
         .select(F.xxhash64("word").alias("term"), "key", "pos")
-        .sortWithinPartitions("term", "key", "pos")
+        .sortWithinPartitions("term")
     )
     if path is None:
         return stored(postings, "postings")
@@ -43,6 +46,12 @@ def build_index(documents: DataFrame, path: str | None = None) -> DataFrame:
     return documents.sparkSession.read.schema(postings.schema).parquet(path)
 
 
+def sizes(index: DataFrame) -> DataFrame:
+    """Number of words of each text: key, n_words."""
+    ends = index.where(F.col("term") == F.xxhash64(F.lit(_END)))
+    return ends.groupBy("key").agg(F.max("pos").cast("long").alias("n_words"))
+
+
 def windows(items: DataFrame, size: int = WINDOW) -> DataFrame:
     """Distinct windows of the items' words: window, phrase, n, items that hold it."""
     tokens = items.select(
@@ -101,10 +110,14 @@ def candidates(index: DataFrame, rarest: DataFrame) -> DataFrame:
 def occurrences(documents: DataFrame, index: DataFrame, phrases: DataFrame) -> DataFrame:
     """Exact matches: key, start, n, items; one row per text, window and place."""
     found = stored(candidates(index, anchors(index, phrases)), "candidates")
+    keys = stored(found.select("key").distinct(), "candidate-keys")
+    texts = documents.select(text_key().alias("key"), "text").join(
+        small_enough(keys, _BROADCAST_KEYS), "key", "left_semi"
+    )
     per_text = found.groupBy("key").agg(F.collect_list(F.struct("window", "start", "n")).alias("found"))
-    texts = documents.select(text_key().alias("key"), "text").join(stored(per_text, "candidate-texts"), "key")
     read = (
-        texts.select("key", words(F.col("text")).alias("w"), "found")
+        texts.dropDuplicates(["key", "text"]).join(per_text, "key")
+        .select("key", words(F.col("text")).alias("w"), "found")
         .select("key", "w", F.explode("found").alias("f"))
         .select("key", "f.*", F.concat_ws(" ", F.slice("w", F.col("f.start") + 1, F.col("f.n"))).alias("phrase"))
     )
@@ -112,16 +125,20 @@ def occurrences(documents: DataFrame, index: DataFrame, phrases: DataFrame) -> D
 
 
 def contamination(documents: DataFrame, items: DataFrame, size: int = WINDOW, index: DataFrame | None = None) -> DataFrame:
-    """Per text key: n_hit (words within any occurrence), and the sorted ids of the items that occur."""
+    """Per text: key, n_words, n_hit (words within any occurrence) and the sorted ids of the items that occur."""
     phrases = stored(windows(items, size), "windows")
     index = build_index(documents) if index is None else index
     covered = F.flatten(F.collect_set(F.sequence(F.col("start"), F.col("start") + F.col("n") - 1)))
     ids = F.array_sort(F.array_distinct(F.flatten(F.collect_set("items"))))
-    return (
+    hits = (
         occurrences(documents, index, phrases)
         .groupBy("key")
         .agg(F.size(F.array_distinct(covered)).cast("long").alias("n_hit"), ids.alias("items"))
     )
+    return sizes(index).join(hits, "key", "left").select(
+        "key", "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
+        F.coalesce("items", F.array().cast("array<string>")).alias("items"),
+    )
 
 
 def is_contaminated(n_hit: Column, total: Column) -> Column:
@@ -131,30 +148,22 @@ def is_contaminated(n_hit: Column, total: Column) -> Column:
 
 def report(documents: DataFrame, items: DataFrame) -> DataFrame:
     """Per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
-    hits = stored(contamination(documents, items), "hits")
-    total = documents.select("doc_id", text_key().alias("key"), n_words(F.col("text")).alias("n_words"))
-    n_hit = F.coalesce(F.col("n_hit"), F.lit(0).cast("long"))
-    ids = F.coalesce(F.col("items"), F.array().cast("array<string>"))
-    return total.join(hits, "key", "left").select(
+    rows = documents.select("doc_id", text_key().alias("key"))
+    return rows.join(contamination(documents, items), "key").select(
         "doc_id",
         "n_words",
-        n_hit.alias("n_hit"),
-        F.size(ids).cast("long").alias("n_items"),
-        F.sha2(F.concat_ws(",", ids), 256).alias("items_sha256"),
-        is_contaminated(n_hit, F.col("n_words")).alias("contaminated"),
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        is_contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"),
     )
 
 
 def decontaminate(documents: DataFrame, items: DataFrame) -> DataFrame:
     """The documents that are not contaminated, as they are."""
-    hits = contamination(documents, items)
-    counted = documents.select(text_key().alias("key"), n_words(F.col("text")).alias("n_words"))
-    bad = (
-        counted.join(stored(hits, "hits"), "key")
-        .where(is_contaminated(F.col("n_hit"), F.col("n_words")))
-        .select(F.col("key").alias("_key")).distinct()
-    )
-    return documents.join(stored(bad, "contaminated"), text_key() == F.col("_key"), "left_anti")
+    bad = contamination(documents, items).where(is_contaminated(F.col("n_hit"), F.col("n_words")))
+    bad = stored(bad.select(F.col("key").alias("_key")), "contaminated")
+    return documents.join(small_enough(bad, _BROADCAST_KEYS), text_key() == F.col("_key"), "left_anti")
 
 
 def near(index: DataFrame, phrases: DataFrame, span: int) -> DataFrame:
