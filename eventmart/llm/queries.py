@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmart.llm import chat, decontamination, language_id, line_dedup, near_duplicates, nearest, personal_data
+from eventmart.llm import chat, decontamination, language_id, line_dedup, near_duplicates, nearest, personal_data, quality
 from eventmart.llm.common import table
 from eventmart.llm.packing import pack_documents
 from eventmart.llm.sharding import shard_documents
@@ -40,6 +40,10 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "text", "n_lines", "n_dropped")
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer, capacity=4096, end_id=1)
