@@ -1,13 +1,61 @@
-"""A pipeline over ``documents``: each stage's rows are written and read again as the next stage's documents."""
+"""A pipeline over ``documents``: each stage's rows are written and read again as the next stage's documents.
+
+A stage works on all that the one before kept. The first four return the columns of ``documents``; the last returns the
+packed pieces of what is left. Nulls, blank texts and repeated rows are treated as the operators' modules say; a stage of
+an empty table is empty.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from eventmart.llm import decontamination, language_id, line_dedup, near_duplicates, packing
 from eventmart.llm.common import stored, table
 
-STAGES: list = []
+#: Below even odds for both the family and the language within it, a document has no language.
+LEAST_SCORE = 0.25
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of a language that was learned; those without letters and those too uncertain go."""
+    found = language_id.identify(docs, language_id.learn(docs))
+    sure = (F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_SCORE)
+    return found.where(sure).select(docs.columns)
+
+
+def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The same documents without the lines that are boilerplate of their source; n_chars follows the text."""
+    cleaned = line_dedup.drop_boilerplate(docs, F.col("source"))
+    return cleaned.withColumn("n_chars", F.char_length("text").cast("long")).select(docs.columns)
+
+
+def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates."""
+    return near_duplicates.keep_one(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which less than a twentieth of the words are within passages of the benchmark."""
+    return decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark")).select(docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents, packed into sequences of 4096 tokens."""
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack_documents(docs, tokenizer, capacity=4096, end_id=1)
+
+
+STAGES = [
+    ("language", identify_language),
+    ("lines", drop_boilerplate),
+    ("near_duplicates", keep_one_of_near_duplicates),
+    ("benchmark", decontaminate),
+    ("packing", pack),
+]
 
+#: Support vector machines and token ids can't be had in SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
