@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventmart.llm import decontamination, language_id, line_dedup, near_duplicates, packing
-from eventmart.llm.common import stored, table
+from eventmart.llm.common import fresh, stored, table
 
 #: Below even odds for both the family and the language within it, a document has no language.
 LEAST_SCORE = 0.25
@@ -20,14 +20,15 @@ LEAST_SCORE = 0.25
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of a language that was learned; those without letters and those too uncertain go."""
-    found = language_id.identify(docs, language_id.learn(docs))
-    sure = (F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_SCORE)
+    lang, score = fresh(docs, "lang_pred", "score")
+    found = language_id.identify(docs, language_id.learn(docs), (lang, score))
+    sure = (F.col(lang) != language_id.UNKNOWN) & (F.col(score) >= LEAST_SCORE)
     return found.where(sure).select(docs.columns)
 
 
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The same documents without the lines that are boilerplate of their source; n_chars follows the text."""
-    cleaned = line_dedup.drop_boilerplate(docs, F.col("source"))
+    cleaned = line_dedup.drop_boilerplate(docs, F.col("source"), counts=None)
     return cleaned.withColumn("n_chars", F.char_length("text").cast("long")).select(docs.columns)
 
 

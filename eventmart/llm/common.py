@@ -29,6 +29,12 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores before it as it takes not to be a column's."""
+    taken = {c.lower() for c in df.columns}
+    return ["_" * next(i for i in range(len(taken) + 1) if "_" * i + n not in taken) + n for n in names]
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z to a-z and nothing else; null stays null."""
     slow = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

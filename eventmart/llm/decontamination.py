@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventmart.llm.common import small_enough, stored, words
+from eventmart.llm.common import fresh, small_enough, stored, words
 
 WINDOW = 13
 _END = ""  # stands for the end of a text; no word is empty
@@ -162,8 +162,9 @@ def report(documents: DataFrame, items: DataFrame) -> DataFrame:
 def decontaminate(documents: DataFrame, items: DataFrame) -> DataFrame:
     """The documents that are not contaminated, as they are."""
     bad = contamination(documents, items).where(is_contaminated(F.col("n_hit"), F.col("n_words")))
-    bad = stored(bad.select(F.col("key").alias("_key")), "contaminated")
-    return documents.join(small_enough(bad, _BROADCAST_KEYS), text_key() == F.col("_key"), "left_anti")
+    key = fresh(documents, "key")[0]
+    bad = stored(bad.select(F.col("key").alias(key)), "contaminated")
+    return documents.join(small_enough(bad, _BROADCAST_KEYS), text_key() == F.col(key), "left_anti")
 
 
 def near(index: DataFrame, phrases: DataFrame, span: int) -> DataFrame:

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventmart.llm.common import stored
+from eventmart.llm.common import fresh, stored
 
 FAMILIES = {
     "germanic": ["af", "da", "de", "en", "is", "nb", "nl", "no", "sv"],
@@ -175,8 +175,9 @@ def learn(documents: DataFrame, sample: int = SAMPLE) -> Model:
     return Model(x, rows["lang"].to_numpy(dtype=object))
 
 
-def identify(documents: DataFrame, model: Model) -> DataFrame:
-    """``documents`` with ``lang_pred`` and ``score``; the prediction reads nothing but the text."""
+def identify(documents: DataFrame, model: Model, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """``documents`` with language and score under these names; the prediction reads nothing but the text."""
+    found = fresh(documents, "found")[0]
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("struct<lang_pred string, score double>")
@@ -188,8 +189,8 @@ def identify(documents: DataFrame, model: Model) -> DataFrame:
         })
 
     return (
-        documents.withColumn("_language", predict("text"))
-        .withColumn("lang_pred", F.col("_language.lang_pred"))
-        .withColumn("score", F.col("_language.score"))
-        .drop("_language")
+        documents.withColumn(found, predict("text"))
+        .withColumn(names[0], F.col(found)["lang_pred"])
+        .withColumn(names[1], F.col(found)["score"])
+        .drop(found)
     )

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventmart.llm.common import stored
+from eventmart.llm.common import fresh, stored
 
 RATIO = 0.05
 MIN_PAGES = 3
@@ -63,18 +63,21 @@ def _site(site: Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), site.cast("string")), F.lit("null"))
 
 
-def drop_boilerplate(docs: DataFrame, site: Column, ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
-    """``docs`` with cleaned ``text``, and ``n_lines`` and ``n_dropped`` of each."""
+def drop_boilerplate(
+    docs: DataFrame, site: Column, ratio: float = RATIO, min_pages: int = MIN_PAGES,
+    counts: tuple[str, str] | None = ("n_lines", "n_dropped"),
+) -> DataFrame:
+    """``docs`` with cleaned ``text``, and under the names of ``counts`` the lines of each and those dropped."""
+    own, drop, kept = fresh(docs, "site", "drop", "kept")
     marked = stored(boilerplate(docs, site, ratio, min_pages), "boilerplate")
-    joined = docs.withColumn("_site", _site(site)).join(marked, "_site", "left")
-    kept = F.filter(_lines(F.col("text")), lambda line: ~F.array_contains(F.col("_drop"), line))
-    n_lines = F.coalesce(F.size(_lines(F.col("text"))), F.lit(0))
-    cleaned = joined.withColumn("_kept", F.when(F.col("_drop").isNull(), _lines(F.col("text"))).otherwise(kept))
-    n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(_lines(F.col("text"))))
-    n_kept = F.when(F.col("text").isNull(), 0).otherwise(F.size("_kept"))
-    return (
-        cleaned.withColumn("n_lines", n_lines.cast("long"))
-        .withColumn("n_dropped", (n_lines - n_kept).cast("long"))
-        .withColumn("text", F.array_join("_kept", _SEPARATOR))
-        .drop("_site", "_drop", "_kept")
+    marked = marked.select(F.col("_site").alias(own), F.col("_drop").alias(drop))
+    lines = _lines(F.col("text"))
+    stays = F.filter(lines, lambda line: ~F.array_contains(F.col(drop), line))
+    cleaned = docs.withColumn(own, _site(site)).join(marked, own, "left").withColumn(
+        kept, F.when(F.col(drop).isNull(), lines).otherwise(stays)
     )
+    if counts:
+        n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long")
+        n_kept = F.when(F.col("text").isNull(), 0).otherwise(F.size(kept))
+        cleaned = cleaned.withColumns({counts[0]: n_lines, counts[1]: n_lines - n_kept})
+    return cleaned.withColumn("text", F.array_join(kept, _SEPARATOR)).drop(own, drop, kept)

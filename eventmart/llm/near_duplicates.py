@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventmart.llm.common import small_enough, stored, words
+from eventmart.llm.common import fresh, small_enough, stored, words
 from eventmart.llm.components import components
 
 SHINGLE = 5
@@ -170,9 +170,8 @@ def _elements(documents: DataFrame, nodes: DataFrame) -> DataFrame:
                     ["node", "elements", "weights"],
                 )
 
-    texts = documents.where(F.col("text").isNotNull()).withColumn("_node", node_of(F.col("text")))
-    asked = small_enough(nodes.withColumnRenamed("node", "_node"), _BROADCAST_NODES)
-    found = _hashed(texts.join(asked, "_node", "left_semi").select("text"))
+    texts = documents.where(F.col("text").isNotNull()).select("text", node_of(F.col("text")).alias("node"))
+    found = _hashed(texts.join(small_enough(nodes, _BROADCAST_NODES), "node", "left_semi").select("text"))
     return found.mapInArrow(run, "node string, elements binary, weights binary").dropDuplicates(["node"])
 
 
@@ -277,13 +276,14 @@ def keep_one(documents: DataFrame) -> DataFrame:
     first = placed.groupBy("class").agg(F.min(F.struct("doc_id", "h")).alias("first"), F.sum("n").alias("size")).where("size > 1")
     shared = placed.join(first, "class").withColumn("is_first", F.struct("doc_id", "h").eqNullSafe(F.col("first")))
     # Rows to drop, and rows of which one copy is to stay.
+    own_id, own_hash, repeated = fresh(documents, "own_id", "own_hash", "repeated")
     marked = shared.where("NOT is_first OR n > 1").select(
-        F.col("doc_id").alias("_doc_id"), F.col("h").alias("_h"), F.col("is_first").alias("_repeated")
+        F.col("doc_id").alias(own_id), F.col("h").alias(own_hash), F.col("is_first").alias(repeated)
     )
     marked = stored(marked.distinct(), "marked")
     joined = documents.join(
-        small_enough(marked, _BROADCAST_NODES), F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (text_hash == F.col("_h")), "left"
+        small_enough(marked, _BROADCAST_NODES), F.col("doc_id").eqNullSafe(F.col(own_id)) & (text_hash == F.col(own_hash)), "left"
     )
     names = documents.columns
-    once = joined.where("_repeated").dropDuplicates(["_doc_id", "_h"]).select(names)
-    return joined.where(F.col("_repeated").isNull()).select(names).unionByName(once)
+    once = joined.where(F.col(repeated)).dropDuplicates([own_id, own_hash]).select(names)
+    return joined.where(F.col(repeated).isNull()).select(names).unionByName(once)

@@ -23,6 +23,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from eventmart.llm.common import fresh
+
 KINDS = ["email", "ip", "card", "phone"]
 SAMPLE = 1500  # lines of documents in the labelled table, at most
 
@@ -347,6 +349,7 @@ def learn(documents: DataFrame, sample: int = SAMPLE) -> Field:
 def find(documents: DataFrame, field: Field) -> DataFrame:
     """``documents`` with ``base_spans`` and ``spans`` (base and added), arrays of (kind, start, end) in code points."""
     shared = documents.sparkSession.sparkContext.broadcast(field)
+    found = fresh(documents, "found")[0]
     span = "array<struct<kind: string, start: int, end: int>>"
 
     @F.pandas_udf(f"struct<base: {span}, spans: {span}>")
@@ -359,10 +362,10 @@ def find(documents: DataFrame, field: Field) -> DataFrame:
         return pd.DataFrame({"base": list(map(as_rows, base)), "spans": list(map(as_rows, every))})
 
     return (
-        documents.withColumn("_found", run("text"))
-        .withColumn("base_spans", F.col("_found.base"))
-        .withColumn("spans", F.col("_found.spans"))
-        .drop("_found")
+        documents.withColumn(found, run("text"))
+        .withColumn("base_spans", F.col(found)["base"])
+        .withColumn("spans", F.col(found)["spans"])
+        .drop(found)
     )
 
 
