@@ -8,8 +8,9 @@ the predicted one, so that all that a place needs is in one shard; a shard of at
 the tasks, which join it with the grams of whole texts by sorted keys, one pass over the texts per shard. (Joining
 by a shuffle would move a row per character.) Everything grows with the trusted text; nothing is sampled or cut.
 
-A document is kept if its perplexity lies between two quantiles of its language's trusted documents: noise is above,
-endless repetition below. Languages without trusted text have no quantiles, and their documents are kept.
+A document is kept if its perplexity is at most a quantile of that of its language's trusted documents. One trusted document in five, by hash, is kept from training, and the quantile is that
+of these documents, which the model knows no better than any other. Languages without them have no quantile, and
+their documents are kept.
 
 Null and empty texts have no perplexity and are not kept. A null lang is a language. Repeated rows get a row each. Empty tables
 give empty results; without labels everything with a text is kept.
@@ -22,15 +23,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventmart.llm.common import small_enough, stored
 
 ORDER = 5
-LOW, HIGH = 0.001, 0.995
+QUANTILE = 0.99
+_PARTS = 5  # of the trusted documents; one of them sets the threshold
 _START = "\x02"  # before a text
-_SHARD_ROWS = 3_000_000
+_SHARD_ROWS = 1_500_000  # 24 bytes each
 _BROADCAST_IDS = 4_000_000
 _PLACES = 1 << 20  # characters scored together
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -59,10 +62,6 @@ def _keys(codes: np.ndarray, n: int) -> np.ndarray:
     return key
 
 
-def _salted(key: np.ndarray, salt: int) -> np.ndarray:
-    return _mixed(key ^ np.uint64(salt))
-
-
 # --- training ------------------------------------------------------------------------------------
 
 
@@ -174,130 +173,135 @@ class _Sorted:
         return np.where(self.keys[at] == wanted, self.values[at], np.nan)
 
 
+def _gram_codes(grams: list[str], n: int) -> np.ndarray:
+    return np.frombuffer("".join(grams).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64).reshape(-1, n)
+
+
+def _gram_keys(codes: np.ndarray) -> np.ndarray:
+    """As ``_keys``, of grams given a row each."""
+    key = np.full(len(codes), codes.shape[1], np.uint64)
+    for i in range(codes.shape[1]):
+        key = (key + codes[:, i]) * _ODD
+        key ^= key >> np.uint64(32)
+    return key
+
+
+def numbered(model: DataFrame, shards: int) -> DataFrame:
+    """The model as numbers: shard (-1: in all), weight (of a context) or not, n, key, value."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for (n, weight), rows in batch.groupby(["n", "weight"]):
+                codes = _gram_codes(rows["gram"].tolist(), n) if n else np.zeros((len(rows), 0), np.uint64)
+                pair = codes[:, -2:] if weight else codes[:, -3:-1]
+                shard = _pair_shard(pair[:, 0], pair[:, 1], shards) if pair.shape[1] == 2 else -1
+                key = _mixed(_gram_keys(codes) ^ rows["salt"].to_numpy(np.int64).view(np.uint64)).view(np.int64)
+                yield pd.DataFrame({"shard": shard, "weight": weight, "n": n, "key": key, "value": rows["value"].to_numpy()})
+
+    rows = model.select(
+        F.col("logw").isNotNull().alias("weight"), "n", "gram", F.xxhash64("lang").alias("salt"),
+        F.coalesce("logp", "logw").alias("value"),
+    )
+    return rows.mapInPandas(run, "shard int, weight boolean, n int, key long, value double")
+
+
+def _pair_shard(a: np.ndarray, b: np.ndarray, shards: int) -> np.ndarray:
+    return (_mixed(a * _ODD + b) % np.uint64(shards)).astype(np.int64)
+
+
 class Shard:
     """A part of the model, to be joined with the grams of texts."""
 
-    def __init__(self, rows: pd.DataFrame, number: int, shards: int):
+    def __init__(self, rows: pa.Table, number: int, shards: int):
         self.number, self.shards = number, shards
-        self.salts = {lang: i + 1 for i, lang in enumerate(sorted(rows["lang"].unique()))}
+        weight, n, key, value = (rows.column(c).to_numpy() for c in ("weight", "n", "key", "value"))
         self.grams, self.weights = {}, {}
-        for column, out in (("logp", self.grams), ("logw", self.weights)):
-            for n, part in rows[rows[column].notna()].groupby("n"):
-                raw = np.array([self._key(g) for g in part["gram"]], np.uint64)
-                salts = part["lang"].map(self.salts).to_numpy(np.uint64)
-                out[n] = _Sorted(_salted(raw, salts), part[column].to_numpy(np.float64))
-
-    @staticmethod
-    def _key(gram: str) -> int:
-        codes = _codes(gram)[-ORDER:] if gram else np.zeros(ORDER, np.uint64)
-        return _keys(codes, len(gram))[0]
-
-    def score(self, text: str, lang: str) -> tuple[float, int]:
+        for is_weight, out in ((False, self.grams), (True, self.weights)):
+            for size in np.unique(n[weight == is_weight]):
+                mine = (weight == is_weight) & (n == size)
+                out[int(size)] = _Sorted(key[mine].view(np.uint64), value[mine])
+
+    def score(self, text: str, salt: int) -> tuple[float, int]:
         """Sum of the logarithms of the probabilities of this shard's places of a text, and their number."""
-        if lang not in self.salts:
-            return 0.0, 0
         total, places = 0.0, 0
         for at in range(0, len(text), _PLACES):
             begin = max(0, at - ORDER + 1)
-            codes = _codes(text[begin : at + _PLACES])
-            if begin:
-                codes = codes[ORDER - 1 :]  # the characters before are the chunk's own
-            elif at:
-                codes = codes[at:]
+            codes = _codes(text[begin : at + _PLACES])[at - begin :]  # the chunk's places, and what is before them
             if self.shards > 1:
-                mine = np.flatnonzero(shard_of(codes, self.shards) == self.number)
+                before = codes[ORDER - 3 : -2], codes[ORDER - 2 : -1]
+                mine = np.flatnonzero(_pair_shard(*before, self.shards) == self.number)
             else:
                 mine = np.arange(len(codes) - ORDER + 1)
-            total += self._sum(codes, mine, self.salts[lang])
-            places += len(mine)
+            some, left = self._sum(codes, mine, np.uint64(salt & 0xFFFFFFFFFFFFFFFF))
+            total += some
+            places += len(mine) - left
         return total, places
 
-    def _sum(self, codes: np.ndarray, open_: np.ndarray, salt: int) -> float:
+    def _sum(self, codes: np.ndarray, places: np.ndarray, salt: np.uint64) -> tuple[float, int]:
+        """The sum, and the number of places without any probability (of an unknown language)."""
         total = 0.0
+        before = np.concatenate([codes[:1], codes[:-1]])
         for n in range(ORDER, -1, -1):
-            if not len(open_):
-                break
-            if n in self.grams:
-                logp = self.grams[n](_salted(_keys(codes, n)[open_], salt))
+            if len(places) and n in self.grams:
+                logp = self.grams[n](_mixed(_keys(codes, n)[places] ^ salt))
                 known = ~np.isnan(logp)
                 total += logp[known].sum()
-                open_ = open_[~known]
-            if n and len(open_) and n - 1 in self.weights:
+                places = places[~known]
+            if len(places) and n and n - 1 in self.weights:
                 # The context is the gram's first n - 1 characters: those that end one place earlier.
-                before = np.concatenate([codes[:1], codes[:-1]])
-                weight = self.weights[n - 1](_salted(_keys(before, n - 1)[open_], salt))
-                total += np.nansum(weight)
-        return float(total)
-
-
-def shard_of(codes: np.ndarray, shards: int) -> np.ndarray:
-    """Of each place, by the two characters before it."""
-    a, b = codes[ORDER - 3 : len(codes) - 2], codes[ORDER - 2 : len(codes) - 1]
-    return (_mixed(a * _ODD + b) % np.uint64(shards)).astype(np.int64)
+                total += np.nansum(self.weights[n - 1](_mixed(_keys(before, n - 1)[places] ^ salt)))
+        return float(total), len(places)
 
 
 def _shards(model: DataFrame) -> Iterator[Shard]:
     shards = max(1, math.ceil(model.count() / _SHARD_ROWS))
-
-    @F.pandas_udf("int")
-    def number(gram: pd.Series, context: pd.Series) -> pd.Series:
-        """Of grams and contexts that hold the two characters; -1 for shorter ones, which all shards have."""
-        def of(g: str, is_context: bool) -> int:
-            pair = g[-2:] if is_context else g[-3:-1]
-            if len(pair) < 2:
-                return -1
-            return int(_mixed(np.array([ord(pair[0])], np.uint64) * _ODD + np.uint64(ord(pair[1])))[0] % np.uint64(shards))
-        return pd.Series([of(g, c) for g, c in zip(gram, context, strict=True)], dtype="int32")
-
-    cut = model if shards == 1 else stored(model.withColumn("shard", number("gram", F.col("logw").isNotNull())), "shards")
+    cut = stored(numbered(model, shards), "shards")
     for i in range(shards):
-        rows = cut if shards == 1 else cut.where(F.col("shard").isin(i, -1))
-        yield Shard(rows.select("lang", "n", "gram", "logp", "logw").toPandas(), i, shards)
+        yield Shard(cut.where(F.col("shard").isin(i, -1)).drop("shard").toArrow(), i, shards)
 
 
 def perplexities(documents: DataFrame, model: DataFrame) -> DataFrame:
     """Per document with a text: doc_id, lang (marked), perplexity (null without a model of its language)."""
     texts = _lang(documents.where("length(text) > 0").select("doc_id", "lang", "text"))
-    parts, spark = [], documents.sparkSession
+    rows = texts.select("doc_id", "lang", F.xxhash64("text").alias("h"), F.xxhash64("lang").alias("salt"), "text")
+    parts = []
     for shard in _shards(model):
-        shared = spark.sparkContext.broadcast(shard)
+        shared = documents.sparkSession.sparkContext.broadcast(shard)
 
         def run(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
             for batch in batches:
-                scored = [shared.value.score(t, lang) for t, lang in zip(batch["text"], batch["lang"], strict=True)]
+                scored = [shared.value.score(t, salt) for t, salt in zip(batch["text"], batch["salt"], strict=True)]
                 out = batch[["doc_id", "lang", "h"]].copy()
                 out["total"], out["places"] = [s for s, _ in scored], [n for _, n in scored]
                 yield out
 
-        schema = "doc_id long, lang string, h long, total double, places long"
-        rows = texts.select("doc_id", "lang", F.xxhash64("text").alias("h"), "text")
-        parts.append(stored(rows.mapInPandas(run, schema), "scores"))
-    if len(parts) == 1:
-        scored = parts[0]
-    else:  # a text's places are shared out among the shards; equal rows have equal sums
-        scored = parts[0]
+        parts.append(stored(rows.mapInPandas(run, "doc_id long, lang string, h long, total double, places long"), "scores"))
+        shared.unpersist()
+    scored = parts[0]
+    if len(parts) > 1:  # a text's places are shared out among the shards; equal rows have equal sums
         for part in parts[1:]:
             scored = scored.unionByName(part)
-        scored = (
-            scored.groupBy("doc_id", "lang", "h")
-            .agg(F.sum("total").alias("total"), F.sum("places").alias("places"), (F.count(F.lit(1)) / len(parts)).cast("int").alias("rows"))
-            .withColumn("row", F.explode(F.sequence(F.lit(1), F.col("rows"))))
-        )
-    return scored.select("doc_id", "lang", F.exp(F.when(F.col("places") > 0, -F.col("total") / F.col("places"))).alias("perplexity"))
+        n_rows = (F.count(F.lit(1)) / len(parts)).cast("int").alias("rows")
+        sums = F.sum("total").alias("total"), F.sum("places").alias("places")
+        scored = scored.groupBy("doc_id", "lang", "h").agg(*sums, n_rows)
+        scored = scored.withColumn("row", F.explode(F.sequence(F.lit(1), F.col("rows"))))
+    per_place = F.when(F.col("places") > 0, F.col("total") / F.col("places"))
+    return scored.select("doc_id", "lang", F.exp(-per_place).alias("perplexity"))
 
 
-def classify(documents: DataFrame, labels: DataFrame, low: float = LOW, high: float = HIGH) -> DataFrame:
+def classify(documents: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:
     """Per document: doc_id, perplexity, kept."""
     sure = trusted(documents, labels)
-    scored = stored(perplexities(documents, stored(train(sure), "model")), "perplexities")
-    ids = stored(sure.select("doc_id").distinct(), "trusted-ids")
+    apart = F.pmod(F.xxhash64("doc_id"), F.lit(_PARTS)) == 0
+    model = stored(train(sure.where(~apart)), "model")
+    scored = stored(perplexities(documents, model), "perplexities")
     cuts = (
-        scored.join(ids, "doc_id", "left_semi").groupBy("lang")
-        .agg(F.percentile_approx("perplexity", F.array(F.lit(low), F.lit(high)), 100_000).alias("cut"))
+        trusted(scored.where(apart), labels).groupBy("lang")
+        .agg(F.percentile_approx("perplexity", quantile, 100_000).alias("most"))
     )
     judged = scored.join(cuts, "lang", "left").select(
         "doc_id", "perplexity",
-        F.coalesce(F.col("perplexity").between(F.col("cut")[0], F.col("cut")[1]), F.lit(True)).alias("kept"),
+        F.coalesce(F.col("perplexity") <= F.col("most"), F.lit(True)).alias("kept"),
     )
     blank = documents.where("text IS NULL OR text = ''").select(
         "doc_id", F.lit(None).cast("double").alias("perplexity"), F.lit(False).alias("kept")
