@@ -31,6 +31,7 @@ from eventmart.operators.standardize import (
     standardize,
     union_events,
     with_partition_columns,
+    with_process_time,
 )
 
 __all__ = [
@@ -39,5 +40,5 @@ __all__ = [
     "moving_avg", "post_signup_events", "price_histogram", "purchase_by_user",
     "purchase_by_user_from_ts", "raw_quality", "running_total", "sales_by_event_time",
     "signup_retention", "slice_count", "standardize", "union_events", "weekday_by_hour",
-    "with_next_event", "with_partition_columns",
+    "with_next_event", "with_partition_columns", "with_process_time",
 ]

@@ -85,6 +85,10 @@ def cart_lead_time(
     )
 
 
+# Equal rows are written out in portions of this many.
+_PORTION = 10_000
+
+
 def _known_devices(events_by_user: DataFrame, start: Day, end: Day) -> DataFrame:
     """Mart rows in range without the id that all devices with tracking switched off share."""
     return events_by_user.where(
@@ -101,8 +105,8 @@ def post_signup_events(
     """Sign-up rows with the same user's mart rows on and after the sign-up date.
 
     The mart holds one row per hour, so a user with sign-ups in two hours is listed twice. Rows that
-    would look the same are counted on both sides first and written out last: what is joined of one
-    user is bounded by the days covered, and the counting uses the join's own shuffle.
+    would look the same are counted on both sides first and written out last, in portions: what is joined
+    of one user is bounded by the days covered. Rows of users who never sign up are removed before anything else.
     """
     seen = _known_devices(events_by_user, start, end)
     signups = (
@@ -112,11 +116,13 @@ def post_signup_events(
     )
     user_days = (
         seen.select("app_name", "c_id", "event_typecode", "event_date")
-        .repartition("app_name", "c_id")
+        .join(signups.select("app_name", "c_id").distinct(), ["app_name", "c_id"], "left_semi")
         .groupBy("app_name", "c_id", "event_typecode", "event_date")
         .agg(F.count(F.lit(1)).alias("event_rows"))
     )
-    times = (F.col("signup_rows") * F.col("event_rows")).cast("int")
+    times = F.col("signup_rows") * F.col("event_rows")
+    portions = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("times") - 1) / _PORTION))
+    size = F.least(F.col("times") - F.col("portion") * _PORTION, F.lit(_PORTION)).cast("int")
     return (
         signups.join(user_days, ["app_name", "c_id"])
         .where(F.col("event_date") >= F.col("register_date"))
@@ -126,9 +132,11 @@ def post_signup_events(
             "register_date",
             "event_typecode",
             "event_date",
-            F.explode(F.array_repeat(F.lit(True), times)).alias("listed"),
+            times.alias("times"),
         )
-        .drop("listed")
+        .withColumn("portion", F.explode(portions))
+        .withColumn("listed", F.explode(F.array_repeat(F.lit(True), size)))
+        .drop("times", "portion", "listed")
     )
 
 

@@ -6,6 +6,7 @@ day that holds a large share of all events arrives as at most one row per scan t
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType
 
 from eventmart.functions import between_dates, local_date
-from eventmart.functions.ranges import Day
+from eventmart.functions.ranges import Day, as_date
 from eventmart.schemas import EVENT_BY_USER, EXCLUDED_APPS, PURCHASE, PURCHASE_BY_USER
 
 
@@ -107,10 +108,22 @@ def purchase_by_user_from_ts(
     end: Day = None,
     codes: Sequence[str] = (PURCHASE,),
     tz: str = "UTC",
+    prune: bool = False,
 ) -> DataFrame:
-    """The same with the date taken from the event timestamp (local to ``tz``)."""
+    """The same with the date taken from the event timestamp (local to ``tz``).
+
+    With ``prune`` a range also reaches the scan, by the stored date: for tables, such as those of this
+    library, whose stored date is that of the event timestamp in some time zone.
+    """
     moment = F.col("eventTimeStamp")
     without_zone = isinstance(events.schema["eventTimeStamp"].dataType, TimestampNTZType)
     purchase_day = F.to_date(moment) if without_zone else local_date(moment, tz)
-    dated = events.withColumn("purchase_day", purchase_day)
+    # Dates of one instant in two time zones lie within two days of each other.
+    first, last = as_date(start), as_date(end)
+    stored_range = between_dates(
+        "eventDate",
+        first and first - dt.timedelta(days=2) if first and first.year > 1 else None,
+        last and last + dt.timedelta(days=2) if last and last.year < 9999 else None,
+    )
+    dated = (events.where(stored_range) if prune else events).withColumn("purchase_day", purchase_day)
     return _sum_purchases(dated.where(between_dates("purchase_day", start, end)), codes)

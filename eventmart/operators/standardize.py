@@ -16,6 +16,7 @@ from eventmart.functions import (
     event_code,
     first_item,
     json_item,
+    local_hour,
     os_code,
     to_int,
 )
@@ -131,6 +132,13 @@ def with_partition_columns(events: DataFrame) -> DataFrame:
     return events.withColumns({"date": F.col("eventDate"), "hour": F.col("eventHour")})
 
 
+def with_process_time(events: DataFrame, moment: Column | None = None, tz: str = "UTC") -> DataFrame:
+    """When the events were processed: ``processDate``, an instant, and ``processHour``, its hour in ``tz``."""
+    moment = F.current_timestamp() if moment is None else moment
+    hour = local_hour(moment, tz).cast("int")
+    return events.withColumns({"processDate": moment, "processHour": hour})
+
+
 def raw_quality(raw: DataFrame, vendor: str) -> DataFrame:
     """One row: raw lines, lines that did not fit the schema, lines that name no application."""
     app = _IDENTITY[vendor][0]

@@ -16,12 +16,14 @@ from eventmart.operators import event_by_user, purchase_by_user, standardize, un
 from eventmart.schemas import EVENT_BY_USER, PURCHASE_BY_USER, TIER1_STORED, VENDORS, stored
 from eventmart.sources import (
     delivered_days,
+    exists,
     missing_days,
     read_raw,
     read_tier,
     write_tier1,
     write_tier2,
 )
+from eventmart.sources.files import delete
 
 
 class Lake:
@@ -33,6 +35,7 @@ class Lake:
         self.events = f"{root}/tier1/event"
         self.event_by_user = f"{root}/tier2/eventByUser"
         self.purchase_by_user = f"{root}/tier2/purchaseByUser"
+        self.due = f"{root}/due"
 
 
 def standardize_days(
@@ -53,12 +56,19 @@ def standardize_days(
         write_tier1(union_events(spark, *events), lake.events, runs=sorted(map(as_date, runs)))
 
 
+def _dates_in_range(spark: SparkSession, root: str, shape, start: Day, end: Day) -> list[Day]:
+    """Dates that a build of a range stands for: the stored ones in it, all of them without a range."""
+    held = read_tier(spark, root, start, end, stored(shape)).select("date").distinct()
+    return [row["date"] for row in held.collect()]
+
+
 def build_event_by_user(
     spark: SparkSession, lake: Lake, start: Day = None, end: Day = None
 ) -> None:
     """Event mart of all event dates in range."""
     events = read_tier(spark, lake.events, start, end, TIER1_STORED)
-    write_tier2(event_by_user(events), lake.event_by_user)
+    days = _dates_in_range(spark, lake.event_by_user, EVENT_BY_USER, start, end)
+    write_tier2(event_by_user(events), lake.event_by_user, days)
 
 
 def build_purchase_by_user(
@@ -66,14 +76,27 @@ def build_purchase_by_user(
 ) -> None:
     """Purchase mart of all event dates in range."""
     events = read_tier(spark, lake.events, start, end, TIER1_STORED)
-    write_tier2(purchase_by_user(events), lake.purchase_by_user)
+    days = _dates_in_range(spark, lake.purchase_by_user, PURCHASE_BY_USER, start, end)
+    write_tier2(purchase_by_user(events), lake.purchase_by_user, days)
 
 
 def _dates_of_runs(spark: SparkSession, lake: Lake, runs: Sequence[Day]) -> set[Day]:
-    """Event dates of which the event table holds rows from some runs."""
+    """Event dates of which the event table holds rows from some runs; None for rows without a date."""
     events = read_tier(spark, lake.events, schema=TIER1_STORED)
     dates = events.where(F.col("run_date").isin(runs)).select("date").distinct()
-    return {row["date"] for row in dates.collect() if row["date"]}
+    return {row["date"] for row in dates.collect()}
+
+
+_DUE = "run_date DATE, date DATE, undated BOOLEAN"
+
+
+def _due(spark: SparkSession, lake: Lake) -> tuple[set[Day], set[Day]]:
+    """Run days and event dates that an attempt before has begun with and not ended."""
+    if not exists(spark, lake.due):
+        return set(), set()
+    rows = spark.read.schema(_DUE).parquet(lake.due).collect()
+    dates = {row["date"] for row in rows if row["date"] or row["undated"]}
+    return {row["run_date"] for row in rows if row["run_date"]}, dates
 
 
 def process_runs(
@@ -82,28 +105,47 @@ def process_runs(
     """Standardise run days, then rebuild both marts for every event date these runs touch.
 
     So late events reach dates whose mart exists already, and a date that a repeated run no longer
-    touches loses its rows. ``also`` names further dates to rebuild. What comes to the driver is a list
-    of days.
+    touches loses its rows. ``also`` names further dates to rebuild. What is to be done is stored before
+    any table changes and removed when both marts are written: an attempt that was cut short is made up
+    for by the next one, whichever days that is for. What comes to the driver is a list of days.
     """
-    runs = [as_date(run) for run in runs]
-    before = _dates_of_runs(spark, lake, runs)
+    due_runs, due_dates = _due(spark, lake)
+    runs = sorted({as_date(run) for run in runs} | due_runs)
+    before = _dates_of_runs(spark, lake, runs) | due_dates | {as_date(day) for day in also}
+    if not runs and not before:
+        return
+    begun = [(run, None, False) for run in runs] + [(None, day, day is None) for day in before]
+    spark.createDataFrame(begun, _DUE).coalesce(1).write.mode("append").parquet(lake.due)
     standardize_days(spark, lake, runs, tz)
-    touched = before | _dates_of_runs(spark, lake, runs) | {as_date(day) for day in also}
+    touched = before | _dates_of_runs(spark, lake, runs)
     if touched:
-        days = sorted(touched)
-        events = read_tier(spark, lake.events, schema=TIER1_STORED).where(F.col("date").isin(days))
-        write_tier2(event_by_user(events), lake.event_by_user, days)
-        write_tier2(purchase_by_user(events), lake.purchase_by_user, days)
+        dated = sorted(day for day in touched if day)
+        wanted = F.col("date").isin(dated)
+        if None in touched:
+            wanted = wanted | F.col("date").isNull()
+        events = read_tier(spark, lake.events, schema=TIER1_STORED).where(wanted)
+        write_tier2(event_by_user(events), lake.event_by_user, list(touched))
+        write_tier2(purchase_by_user(events), lake.purchase_by_user, list(touched))
+    delete(spark, lake.due)
+
+
+def _new_runs(spark: SparkSession, lake: Lake, start: str, end: str) -> set[Day]:
+    """Run days for which a vendor has delivered and the event table holds nothing of that vendor."""
+    events = read_tier(spark, lake.events, schema=TIER1_STORED)
+    new = set()
+    for vendor in VENDORS:
+        absent = missing_days(spark, events.where(F.col("tracking") == vendor), start, end, day_column="run_date")
+        new.update(delivered_days(spark, vendor, lake.raw, [row["date"] for row in absent.collect()]))
+    return new
 
 
 def catch_up(spark: SparkSession, lake: Lake, start: str, end: str, tz: str = "UTC") -> None:
     """Do whatever days of a range are not done yet, in all three tables.
 
-    A run day counts as standardised if the event table holds rows of that run, an event date as
-    aggregated if both marts hold rows of it; a day without any is cheap to try again.
+    A run day counts as standardised if the event table holds rows of that run from every vendor that
+    delivered it, an event date as aggregated if both marts hold rows of it; a day without any is cheap to
+    try again. What an attempt before left undone is done as well.
     """
-    events = read_tier(spark, lake.events, schema=TIER1_STORED)
-    new_runs = missing_days(spark, events, start, end, day_column="run_date")
     absent = [
         missing_days(spark, read_tier(spark, root, schema=stored(shape)), start, end)
         for root, shape in (
@@ -115,7 +157,7 @@ def catch_up(spark: SparkSession, lake: Lake, start: str, end: str, tz: str = "U
     process_runs(
         spark,
         lake,
-        sorted(row["date"] for row in new_runs.collect()),
+        sorted(_new_runs(spark, lake, start, end)),
         tz,
         also=[row["date"] for row in to_rebuild],
     )

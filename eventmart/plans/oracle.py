@@ -175,12 +175,12 @@ d AS (
 )"""
 
 
-def _purchase_mart(day: str) -> str:
+def _purchase_mart(day: str, also: str = "") -> str:
     return _e(f"""
 SELECT "trackingId" AS app_name, "osTypeCode" AS os_typecode, cid AS c_id, "contentId" AS content_id,
   CAST(sum(quantity) AS BIGINT) AS quantity_total, CAST(sum(amount) AS BIGINT) AS amount_total,
   {day} AS event_date, {_parts(day)}
-FROM e WHERE amount > 0 AND "trackingEventCode" = 'TPD004'
+FROM e WHERE amount > 0 AND "trackingEventCode" = 'TPD004' {also}
 GROUP BY "trackingId", "osTypeCode", cid, "contentId", {day}""")
 
 
@@ -275,6 +275,10 @@ SELECT "trackingId" AS app_name, cid AS c_id, "osTypeCode" AS os_typecode, count
 FROM e GROUP BY "trackingId", cid, "osTypeCode", "trackingEventCode", "eventDate" """),
         "purchase_by_user": _purchase_mart('"eventDate"'),
         "purchase_by_user_from_ts": _purchase_mart('CAST("eventTimeStamp" AS DATE)'),
+        "purchase_by_user_from_ts_in_range": _purchase_mart(
+            'CAST("eventTimeStamp" AS DATE)',
+            """AND CAST("eventTimeStamp" AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'""",
+        ),
         "sales_by_event_time": _e(f"""
 SELECT "trackingId", "osTypeCode", "eventTimeStamp", count(amount) AS purchased_count,
   CAST(sum(value) AS BIGINT) AS total_value, CAST(sum(amount) AS BIGINT) AS total_amount,

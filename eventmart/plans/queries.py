@@ -279,6 +279,12 @@ def purchase_by_user_from_ts(spark, sf_dir):
     return ops.purchase_by_user_from_ts(standard_events(spark, sf_dir))
 
 
+@query("purchase_by_user_from_ts_in_range")
+def purchase_by_user_from_ts_in_range(spark, sf_dir):
+    events = standard_events(spark, sf_dir)
+    return ops.purchase_by_user_from_ts(events, "2024-01-05", "2024-01-20", prune=True)
+
+
 def _user_mart(spark, sf_dir) -> DataFrame:
     return ops.event_by_user(standard_events(spark, sf_dir))
 

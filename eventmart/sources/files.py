@@ -32,9 +32,13 @@ def delete(spark: SparkSession, path: str) -> None:
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder all executors can reach, below ``spark.checkpoint.dir``.
+    """A fresh folder all executors can reach, below ``spark.checkpoint.dir``; whoever owns that folder clears it.
 
-    Only where the session names none, as on a developer's machine, a local folder is taken.
+    Only where the session names none and its master is local, a folder of this machine is taken.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not root:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = tempfile.gettempdir()
     return f"{root.rstrip('/')}/eventmart-{purpose}-{uuid.uuid4().hex}"

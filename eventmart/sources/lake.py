@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, TimestampType
 
@@ -53,21 +53,23 @@ def write_tier1(
     """
     if run_date is not None:
         events = events.withColumn("run_date", F.lit(as_date(run_date)))
-    written = Observation()
-    stored = (
-        with_partition_columns(events.where(F.col("trackingId").isNotNull()))
-        .select(*TIER1_STORED.names)
-        .observe(written, F.collect_set(F.struct("date", "run_date")).alias("partitions"))
-    )
+    named = [run for run in (run_date, *runs) if run is not None]
+    stored = with_partition_columns(events.where(F.col("trackingId").isNotNull())).select(*TIER1_STORED.names)
+    files = f"{root.rstrip('/')}/date=*/run_date=*/*"
+    before = set(matching(events.sparkSession, files))
     _write_by(stored, ["date", "run_date"], ["trackingId", "eventTimeStamp"], root, compression)
 
-    filled = {(_folder(p["date"]), _folder(p["run_date"])) for p in written.get["partitions"]}
-    replaced = [run for run in (run_date, *runs) if run is not None]
-    for run in sorted({run for _, run in filled} | {_folder(as_date(run)) for run in replaced}):
-        for folder in matching(events.sparkSession, f"{root.rstrip('/')}/date=*/run_date={run}"):
-            date = folder.rstrip("/").split("/")[-2].removeprefix("date=")
-            if (date, run) not in filled:
-                delete(events.sparkSession, folder)
+    filled, old = _by_folder(matching(events.sparkSession, files), before)
+    replaced = {folder.rsplit("/", 1)[-1] for folder in filled} | {f"run_date={_folder(as_date(run))}" for run in named}
+    for folder in sorted(old):
+        if folder.rsplit("/", 1)[-1] in replaced:
+            delete(events.sparkSession, folder)
+
+
+def _by_folder(after: list[str], before: set[str]) -> tuple[set[str], set[str]]:
+    """Folders that a write has put files into, and those whose files are all from before."""
+    filled = {file.rsplit("/", 1)[0] for file in after if file not in before}
+    return filled, {file.rsplit("/", 1)[0] for file in after} - filled
 
 
 def _folder(value: object) -> str:
@@ -80,19 +82,19 @@ def write_tier2(
 ) -> None:
     """Store a mart below ``root/date=<event date>``, replacing the dates it holds.
 
-    ``days`` are the dates it was computed for; those on which it has no rows are removed from the
-    store. Rows are sorted within files, which keeps repeated applications and users together and lets
+    ``days`` are the dates it was computed for (None: rows without a date); those on which it has no
+    rows are removed from the store. Rows are sorted within files, which keeps repeated applications and users together and lets
     a scan skip row groups. Missing sort columns (the daily mart has no hour) are left out.
     """
     order = ["app_name", "os_typecode", "event_hour", "c_id"]
-    written = Observation()
-    dated = mart.withColumn("date", F.col("event_date")).observe(
-        written, F.collect_set("date").alias("dates")
-    )
+    dated = mart.withColumn("date", F.col("event_date"))
+    files = f"{root.rstrip('/')}/date=*/*"
+    before = set(matching(mart.sparkSession, files)) if days else set()
     _write_by(dated, ["date"], [c for c in order if c in mart.columns], root, compression)
 
-    for day in sorted({as_date(day) for day in days} - set(written.get["dates"])):
-        for folder in matching(mart.sparkSession, f"{root.rstrip('/')}/date={day}"):
+    computed = {f"date={_folder(as_date(day))}" for day in days}
+    for folder in sorted(_by_folder(matching(mart.sparkSession, files), before)[1]) if days else []:
+        if folder.rsplit("/", 1)[-1] in computed:
             delete(mart.sparkSession, folder)
 
 
@@ -142,7 +144,7 @@ def relayout(
     def typed(column: StructField) -> Column:
         if isinstance(column.dataType, TimestampType) and types[column.name] == "string":
             return instant(F.col(column.name).try_cast("timestamp_ntz"), tz)
-        return F.col(column.name).cast(column.dataType)
+        return F.col(column.name).try_cast(column.dataType)
 
-    events = old.select(*(typed(c).alias(c.name) for c in TIER1), run.cast("date").alias("run_date"))
+    events = old.select(*(typed(c).alias(c.name) for c in TIER1), run.try_cast("date").alias("run_date"))
     write_tier1(events, dst, compression=compression)

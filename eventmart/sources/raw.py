@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from eventmart.functions.ranges import Day, as_date
 from eventmart.schemas import RAW_DAY_IN_PATH, RAW_FOLDER, raw_schema
-from eventmart.sources.files import exists
+from eventmart.sources.files import matching
 
 
 def _folder(vendor: str, root: str, day: Day) -> str:
@@ -18,7 +18,9 @@ def _folder(vendor: str, root: str, day: Day) -> str:
 
 def delivered_days(spark: SparkSession, vendor: str, root: str, days: Sequence[Day]) -> list[Day]:
     """Those of some days for which the vendor has a folder."""
-    return [day for day in days if exists(spark, _folder(vendor, root, day))]
+    anywhere = f"{root.rstrip('/')}/{RAW_FOLDER.split('/', 1)[0].format(vendor=vendor.lower())}/*/*"
+    there = {"/".join(folder.rstrip("/").split("/")[-3:]) for folder in matching(spark, anywhere)}
+    return [day for day in days if RAW_FOLDER.format(vendor=vendor.lower(), day=as_date(day)) in there]
 
 
 def read_raw(

@@ -4,10 +4,15 @@ Vendors add hour folders to a day, and late ones to days before. The stream only
 days got new files, one small row per file; each of these days is then processed again as a whole by
 the batch jobs, which replace exactly its rows. A micro-batch repeated after a failure therefore
 changes nothing, and no event is kept in streaming state.
+
+Each trigger lists the raw root; a file's age plays no role. Files that lie under no run day are logged
+with their number. A file replaced under its old name is not noticed: process its day again then.
 """
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -15,6 +20,9 @@ from pyspark.sql.streaming import StreamingQuery
 from eventmart.plans.jobs import Lake, process_runs
 from eventmart.schemas import RAW_DAY_IN_PATH
 
+_LOG = logging.getLogger(__name__)
+_ANY_AGE = "36500d"  # Spark's default ignores files a week older than the newest one
+
 # Columns of Spark's binary file source; the content is not selected and so never read.
 _FILE = "path STRING, modificationTime TIMESTAMP, length LONG, content BINARY"
 
@@ -36,21 +44,27 @@ def follow_raw_logs(
         spark.readStream.format("binaryFile")
         .schema(_FILE)
         .option("recursiveFileLookup", "true")
+        .option("maxFileAge", _ANY_AGE)
         .option("maxFilesPerTrigger", files_per_batch)
         .load(lake.raw)
         .select(
+            "path",
             F.concat_ws(
                 "-",
                 F.regexp_extract("path", RAW_DAY_IN_PATH, 1),
                 F.regexp_extract("path", RAW_DAY_IN_PATH, 2),
-            ).try_cast("date").alias("run_date")
+            ).try_cast("date").alias("run_date"),
         )
     )
 
     def process(batch: DataFrame, _: int) -> None:
-        runs = [row["run_date"] for row in batch.distinct().collect() if row["run_date"]]
+        days = batch.groupBy("run_date").agg(F.count(F.lit(1)).alias("files"), F.min("path").alias("first")).collect()
+        for row in days:
+            if row["run_date"] is None:
+                _LOG.warning("%d files lie under no run day, such as %s", row["files"], row["first"])
+        runs = sorted(row["run_date"] for row in days if row["run_date"])
         if runs:
-            process_runs(batch.sparkSession, lake, sorted(runs), tz)
+            process_runs(batch.sparkSession, lake, runs, tz)
 
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
     return (

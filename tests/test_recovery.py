@@ -1,0 +1,142 @@
+"""Jobs that were cut short, deliveries that come late, and the stream of files of any age."""
+
+from __future__ import annotations
+
+import logging
+import os
+import time
+
+import pytest
+
+from eventmart.operators import empty_events, with_process_time
+from eventmart.plans import jobs
+from eventmart.plans.jobs import Lake, build_event_by_user, catch_up, process_runs
+from eventmart.schemas import EVENT_BY_USER, TIER1_STORED, stored
+from eventmart.sources import read_tier, write_tier1
+from eventmart.sources import files as files_module
+from eventmart.streaming import follow_raw_logs
+from tests.tables import day, events, raw_line, rows_of, write_lines
+from tests.test_lake import seconds
+
+RANGE = ("2021-01-01", "2021-01-03")
+
+
+@pytest.fixture
+def lake(tmp_path):
+    return Lake(str(tmp_path / "raw"), str(tmp_path / "warehouse"))
+
+
+def deliver(tmp_path, run: str, *times: str, vendor: str = "ADBRIX") -> None:
+    moment = {"ADBRIX": "event_time", "SINGULAR": "utc"}[vendor]
+    lines = [raw_line(vendor, **{moment: [seconds(t)] if t else ["?"]}) for t in times]
+    write_lines(tmp_path / f"raw/thirdparty-{vendor.lower()}/{run[:7]}/{run[8:]}", lines)
+
+
+def mart(spark, lake) -> list[tuple]:
+    return rows_of(read_tier(spark, lake.event_by_user, schema=stored(EVENT_BY_USER)), "date", "event_hour", "event_count")
+
+
+def fails(*_args, **_kwargs):
+    raise RuntimeError("stopped")
+
+
+def test_a_late_event_reaches_its_mart_after_a_stop(spark, tmp_path, lake, monkeypatch):
+    deliver(tmp_path, "2021-01-01", "2021-01-01 10:00:00")
+    catch_up(spark, lake, *RANGE)
+    deliver(tmp_path, "2021-01-02", "2021-01-01 11:00:00", "2021-01-02 09:00:00")
+    with monkeypatch.context() as stopped:
+        stopped.setattr(jobs, "write_tier2", fails)
+        with pytest.raises(RuntimeError):
+            catch_up(spark, lake, *RANGE)
+    catch_up(spark, lake, *RANGE)
+    assert mart(spark, lake) == [
+        (day("2021-01-01"), "10", 1), (day("2021-01-01"), "11", 1), (day("2021-01-02"), "09", 1),
+    ]
+    assert not os.path.exists(lake.due)
+
+
+def test_a_lost_date_leaves_its_mart_after_a_stop(spark, tmp_path, lake, monkeypatch):
+    deliver(tmp_path, "2021-01-02", "2021-01-01 10:00:00", "2021-01-02 10:00:00")
+    process_runs(spark, lake, ["2021-01-02"])
+    deliver(tmp_path, "2021-01-02", "2021-01-02 10:00:00")
+    with monkeypatch.context() as stopped:
+        stopped.setattr(jobs, "write_tier2", fails)
+        with pytest.raises(RuntimeError):
+            process_runs(spark, lake, ["2021-01-02"])
+    process_runs(spark, lake, ["2021-01-03"])  # any later attempt makes up for it
+    assert mart(spark, lake) == [(day("2021-01-02"), "10", 1)]
+
+
+def test_a_vendor_that_delivers_later_is_read(spark, tmp_path, lake):
+    deliver(tmp_path, "2021-01-01", "2021-01-01 10:00:00")
+    catch_up(spark, lake, *RANGE)
+    deliver(tmp_path, "2021-01-01", "2021-01-01 12:00:00", vendor="SINGULAR")
+    catch_up(spark, lake, *RANGE)
+    assert [row[1] for row in mart(spark, lake)] == ["10", "12"]
+
+
+def test_rows_without_a_date_are_in_the_mart_whichever_job_built_it(spark, tmp_path, lake):
+    deliver(tmp_path, "2021-01-01", "2021-01-01 10:00:00", "")
+    process_runs(spark, lake, ["2021-01-01"])
+    first = mart(spark, lake)
+    assert len(first) == 2 and any(row[0] is None for row in first)
+    build_event_by_user(spark, lake)
+    assert mart(spark, lake) == first
+
+
+def test_a_ranged_build_removes_emptied_dates(spark, tmp_path, lake):
+    deliver(tmp_path, "2021-01-02", "2021-01-01 10:00:00", "2021-01-02 10:00:00")
+    process_runs(spark, lake, ["2021-01-02"])
+    deliver(tmp_path, "2021-01-02", "2021-01-02 10:00:00")
+    jobs.standardize_days(spark, lake, ["2021-01-02"])
+    build_event_by_user(spark, lake, *RANGE)
+    assert mart(spark, lake) == [(day("2021-01-02"), "10", 1)]
+
+
+def test_no_events_can_be_stored(spark, lake):
+    write_tier1(empty_events(spark), lake.events, "2021-01-01")
+    assert read_tier(spark, lake.events, schema=TIER1_STORED).count() == 0
+
+
+def test_old_files_and_unknown_paths_of_the_stream(spark, tmp_path, lake, caplog):
+    def follow():
+        follow_raw_logs(spark, lake, str(tmp_path / "checkpoint")).awaitTermination()
+
+    deliver(tmp_path, "2021-01-01", "2021-01-01 10:00:00")
+    follow()
+    deliver(tmp_path, "2021-01-02", "2021-01-02 10:00:00")
+    month_ago = time.time() - 30 * 86_400
+    os.utime(tmp_path / "raw/thirdparty-adbrix/2021-01/02/part.json", (month_ago, month_ago))
+    write_lines(tmp_path / "raw/elsewhere", [raw_line("ADBRIX")])
+    with caplog.at_level(logging.WARNING):
+        follow()
+    assert [row[0] for row in mart(spark, lake)] == [day("2021-01-01"), day("2021-01-02")]
+    assert any("1 files lie under no run day" in message for message in caplog.messages)
+
+
+def test_process_time(spark):
+    frame = events(spark, [{"when": "2021-01-01 20:00:00"}])
+    moment = spark.sql("SELECT timestamp'2021-05-01 23:30:00 UTC' AS m")
+    out = with_process_time(frame.crossJoin(moment), moment["m"], "Asia/Seoul")
+    assert out.select("processHour").head()[0] == 8
+    assert {"processDate", "processHour"} <= set(with_process_time(frame).columns)
+
+
+def test_a_cluster_needs_a_shared_folder(monkeypatch):
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError):
+        files_module.shared_folder(Session(), "x")
+    Session.sparkContext.master = "local[2]"
+    assert "eventmart-x-" in files_module.shared_folder(Session(), "x")
