@@ -1,0 +1,88 @@
+from __future__ import annotations
+
+import hashlib
+import re
+from collections import Counter
+
+from eventmart.llm import decontamination as dc
+from tests.llm.rows import ITEM, documents, documents_df, prose
+
+_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+_LOWER = {i: i + 32 for i in range(65, 91)}
+
+
+def _words(text):
+    return _WORD.findall((text or "").translate(_LOWER))
+
+
+def _brute(docs, items):
+    windows = {}
+    for item, text in items:
+        w = _words(text)
+        for i in range(max(len(w) - 12, 1) if w else 0):
+            windows.setdefault(tuple(w[i : i + 13]), set()).add("null" if item is None else str(item))
+    out = Counter()
+    for doc_id, text, *_ in docs:
+        w, hit, found = _words(text), set(), set()
+        for n in {len(k) for k in windows}:
+            for i in range(len(w) - n + 1):
+                if tuple(w[i : i + n]) in windows:
+                    hit.update(range(i, i + n))
+                    found |= windows[tuple(w[i : i + n])]
+        digest = hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
+        out[(doc_id, len(w), len(hit), len(found), digest, bool(hit) and 20 * len(hit) >= len(w))] += 1
+    return out
+
+
+_PASSAGE = prose(900, 40)
+ITEMS = [
+    (1, _PASSAGE), (1, prose(901, 20)), (2, "two words"), (10, _PASSAGE), (None, "naïve 漢字"), (3, None), (4, ""), (5, "... !"),
+    (6, "of of of of of of of of of of of of of of of"), (7, prose(902, 30)),
+]
+DOCS = documents() + [
+    (200, prose(903, 100) + " " + _PASSAGE + " " + prose(904, 100), "en", "s", 1),
+    (200, prose(903, 100) + " " + _PASSAGE + " " + prose(904, 100), "en", "s", 1),
+    (201, prose(905, 3000) + " " + _PASSAGE.upper().replace(" ", ", "), "en", "s", 1),
+    (202, " ".join(_PASSAGE.split()[5:17]), "en", "s", 1),
+    (203, "of " * 50, "en", "s", 1),
+    (200, "another text of the same id", "en", "s", 1),
+]
+
+
+def test_report_against_brute_force(spark):
+    items = spark.createDataFrame(ITEMS, ITEM).selectExpr("*", "item_id AS key", "text AS w")
+    rows = dc.report(documents_df(spark, DOCS, clashing=True), items).collect()
+    names = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
+    assert Counter(tuple(r[n] for n in names) for r in rows) == _brute(DOCS, ITEMS)
+
+
+def test_clean_documents_stay_as_they_are(spark):
+    df = documents_df(spark, DOCS, clashing=True)
+    kept = dc.decontaminate(df, spark.createDataFrame(ITEMS, ITEM))
+    bad = {(k[0], k[1]) for k in _brute(DOCS, ITEMS) if k[-1]}
+    expected = Counter((i, t) for i, t, *_ in DOCS if (i, len(_words(t))) not in bad)
+    assert Counter((r["doc_id"], r["text"]) for r in kept.collect()) == expected
+    assert kept.columns == df.columns
+
+
+def test_joins_beyond_the_broadcast_bound(spark, monkeypatch):
+    monkeypatch.setattr(dc, "_BROADCAST_KEYS", 0)
+    rows = dc.report(documents_df(spark, DOCS), spark.createDataFrame(ITEMS, ITEM)).collect()
+    assert sum(r["contaminated"] for r in rows) == sum(n for k, n in _brute(DOCS, ITEMS).items() if k[-1])
+
+
+def test_proximity(spark):
+    docs = [(1, "x alpha y beta z gamma q", "en", "s", 1), (2, "gamma beta alpha", "en", "s", 1),
+            (3, "alpha beta " + "x " * 20 + "gamma", "en", "s", 1), (4, "alpha beta", "en", "s", 1)]
+    df = documents_df(spark, docs)
+    phrases = dc.windows(spark.createDataFrame([(1, "alpha beta gamma")], ITEM))
+    keys = {r["key"]: r["doc_id"] for r in df.select("doc_id", dc.text_key().alias("key")).collect()}
+    found = dc.near(dc.build_index(df), phrases, 5).collect()
+    assert {keys[r["key"]] for r in found} == {1, 2}
+
+
+def test_empty(spark):
+    none, items = documents_df(spark, []), spark.createDataFrame(ITEMS, ITEM)
+    assert dc.report(none, items).collect() == []
+    rows = dc.report(documents_df(spark), spark.createDataFrame([], ITEM)).collect()
+    assert len(rows) == len(documents()) and not any(r["contaminated"] or r["n_hit"] for r in rows)
