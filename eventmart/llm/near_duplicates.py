@@ -1,8 +1,9 @@
 """Near-duplicate documents by DartMinHash: weighted signatures, banded join, exact similarity, components.
 
-A text's elements are its distinct shingles of five words (fewer words: one shingle of them all); an element's weight is
-how often it occurs. Two texts are linked if their weighted Jaccard similarity, the sum of the smaller weights over the
-sum of the larger, is 0.8 or more; classes are the connected components of the links.
+A text's elements are its distinct shingles of five words (fewer words: one shingle of them all). Two texts are linked if
+their weighted Jaccard similarity, the sum of the smaller weights over the sum of the larger, is 0.8 or more; classes are the
+connected components of the links. Weights are 1 each, or with ``weights="count"`` the number of occurrences; the latter
+links unlike texts that repeat the same line very often, and is therefore not the default.
 
 Signature. An element's weight axis is cut into strips [0,1), [1,2), [2,4), ...; into each strip hashed darts are thrown
 in order of rank, a Poisson process of the strip's width, the same for every text. A dart hits if it lies below the
@@ -11,10 +12,12 @@ coordinate keeps its earliest dart. Two texts agree in a coordinate with a proba
 one hash per element and one per dart.
 
 Join. Equal texts are one node. Nodes that agree in a band of coordinates share a bucket; with 20 bands of 4 a pair of
-similarity 0.8 meets with probability 0.99997. Within a bucket every node is compared with the smallest one, exactly. Only
-where a bucket then still holds several components, its other pairs are compared as well: those of unlike components
-that the distances to the smallest node leave possible (a metric, so by the triangle inequality). So
-no pair that meets in a bucket is missed, and a group of thousands of copies takes a comparison per node and bucket.
+similarity 0.8 meets with probability 0.99997. Within a bucket every node is compared with the smallest one, exactly. Where a
+bucket then holds several components, its nodes are three times more compared with another of its nodes, drawn by hash. The
+nodes of buckets that still do are joined exactly: two linked sets share an element of both their prefixes, the rarest
+elements (a ninth of the lighter set's weight, a fifth of the heavier's), so only pairs of unlike components that do so are compared. No pair
+that meets in a bucket is missed, a group of thousands of copies takes a few comparisons per node and bucket, and a text with
+many words of its own, whose prefix nobody shares, takes none.
 Nothing is sampled or capped. Signatures and comparisons run in numpy per task; hot buckets and nodes are partial minima
 before the shuffle, and the joins back to them are left to adaptive execution to split.
 
@@ -30,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventmart.llm.common import fresh, small_enough, stored, words
@@ -39,6 +42,7 @@ from eventmart.llm.components import components
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 20, 4
+ROUNDS = 3  # further comparisons of each node with one other per bucket
 _TEXTS = 128  # texts whose darts are thrown together
 _BROADCAST_NODES = 1_000_000  # about 50 bytes each
 
@@ -53,7 +57,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def shingles(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def shingles(hashes: np.ndarray, weights: str = "one") -> tuple[np.ndarray, np.ndarray]:
     """Elements of a text from the hashes of its words, in ascending order, and their weights."""
     size = min(SHINGLE, len(hashes))
     if not size:
@@ -61,7 +65,8 @@ def shingles(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     total = np.full(len(hashes) - size + 1, size, np.uint64)
     for i in range(size):
         total = total * np.uint64(0x9E3779B97F4A7C15) + hashes[i : len(hashes) - size + 1 + i]
-    return np.unique(_mix(total), return_counts=True)
+    elements, counts = np.unique(_mix(total), return_counts=True)
+    return elements, counts if weights == "count" else np.ones(len(elements), np.int64)
 
 
 def signatures(elements: list[np.ndarray], weights: list[np.ndarray], k: int) -> np.ndarray:
@@ -137,18 +142,18 @@ def _lists(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
     return (values[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True))
 
 
-def _buckets(documents: DataFrame) -> DataFrame:
+def _buckets(documents: DataFrame, weights: str) -> DataFrame:
     """Bands of every node with words: node, bands."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, _TEXTS):
                 part = batch.slice(at, _TEXTS)
-                made = [shingles(h) for h in _lists(part)]
+                made = [shingles(h, weights) for h in _lists(part)]
                 with_words = [i for i, (e, _) in enumerate(made) if len(e)]
                 if with_words:
-                    elements, weights = zip(*(made[i] for i in with_words), strict=True)
-                    keys = bands(signatures(list(elements), list(weights), BANDS * ROWS), BANDS, ROWS)
+                    sets = [made[i] for i in with_words]
+                    keys = bands(signatures([e for e, _ in sets], [w for _, w in sets], BANDS * ROWS), BANDS, ROWS)
                     nodes = part.column("node").take(pa.array(with_words))
                     flat = pa.ListArray.from_arrays(np.arange(len(keys) + 1, dtype=np.int32) * BANDS, pa.array(keys.ravel()))
                     yield pa.RecordBatch.from_arrays([nodes, flat], ["node", "bands"])
@@ -156,14 +161,14 @@ def _buckets(documents: DataFrame) -> DataFrame:
     return _hashed(documents).mapInArrow(run, "node string, bands array<long>").dropDuplicates(["node"])
 
 
-def _elements(documents: DataFrame, nodes: DataFrame) -> DataFrame:
+def _elements(documents: DataFrame, nodes: DataFrame, weights: str) -> DataFrame:
     """Elements and weights of the given nodes, as bytes; no weights if all are 1."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, _TEXTS):
                 part = batch.slice(at, _TEXTS)
-                made = [shingles(h) for h in _lists(part)]
+                made = [shingles(h, weights) for h in _lists(part)]
                 plain = [b"" if (w == 1).all() else w.astype("<i4").tobytes() for _, w in made]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("node"), pa.array([e.tobytes() for e, _ in made], pa.binary()), pa.array(plain, pa.binary())],
@@ -200,60 +205,88 @@ def _compared(pairs: DataFrame, elements: DataFrame) -> DataFrame:
     return read.withColumn("similarity", compare("ea", "wa", "eb", "wb")).drop("ea", "wa", "eb", "wb")
 
 
-def links(documents: DataFrame) -> DataFrame:
+def links(documents: DataFrame, weights: str = "one") -> DataFrame:
     """Links (a, b) between nodes that suffice for the components, each of the required similarity."""
-    banded = stored(_buckets(documents), "bands")
+    banded = stored(_buckets(documents, weights), "bands")
     members = banded.select("node", F.explode("bands").alias("bucket"))
     heads = members.groupBy("bucket").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1")
     shared = stored(members.join(heads.drop("n"), "bucket"), "shared-buckets")  # heads are members too
     nodes = stored(shared.select("node").distinct(), "candidates")
-    elements = stored(_elements(documents, nodes), "elements")
+    elements = stored(_elements(documents, nodes, weights), "elements")
     starred = shared.where("node != head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct()
     starred = stored(_compared(starred, elements), "compared")
     linked = starred.where(F.col("similarity") >= SIMILARITY).select("a", "b")
-    rest = _rest(shared, starred, components(linked), elements)
-    return linked.unionByName(rest)
-
-
-def _rest(shared: DataFrame, starred: DataFrame, found: DataFrame, elements: DataFrame) -> DataFrame:
-    """Links between nodes that share a bucket but no component."""
-    placed = (
-        shared.join(starred.select(F.col("a").alias("node"), F.col("b").alias("head"), "similarity"), ["node", "head"], "left")
-        .join(found, "node", "left")
-        .select(
-            "bucket", "node", F.coalesce("component", "node").alias("component"),
-            (1 - F.coalesce("similarity", F.lit(1.0))).alias("away"),  # the head itself is at 0
+    mixed = _mixed(shared, components(linked))
+    for seed in range(ROUNDS):
+        if not mixed.head(1):
+            break
+        order = F.struct(F.xxhash64(F.lit(seed), "bucket", "node").alias("h"), "node", "component")
+        chosen = mixed.groupBy("bucket").agg(F.min(order).alias("to"))
+        pairs = mixed.join(chosen, "bucket").where(F.col("component") != F.col("to.component")).select(
+            F.greatest("node", "to.node").alias("a"), F.least("node", "to.node").alias("b")
         )
+        more = stored(_compared(pairs.distinct(), elements), "compared-again").where(F.col("similarity") >= SIMILARITY)
+        linked = linked.unionByName(more.select("a", "b"))
+        mixed = _mixed(mixed.drop("component"), components(linked))
+    return linked.unionByName(_rest(mixed, elements)) if mixed.head(1) else linked
+
+
+def _mixed(shared: DataFrame, found: DataFrame) -> DataFrame:
+    """Members of the buckets that hold several components: bucket, node, head, component."""
+    placed = shared.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    several = placed.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y")
+    return stored(placed.join(several.select("bucket"), "bucket", "left_semi"), "mixed-buckets")
+
+
+def _rest(mixed: DataFrame, elements: DataFrame) -> DataFrame:
+    """All links between nodes of unlike components, among the nodes of the given buckets."""
+    nodes = stored(mixed.select("node", "component").distinct(), "open-nodes")
+    rows = stored(_exploded(elements.join(nodes, "node")), "open-elements")
+    rarity = rows.groupBy("element").agg(
+        F.count(F.lit(1)).alias("df"), F.min("component").alias("x"), F.max("component").alias("y")
     )
-    mixed = (
-        placed.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-        .where("x != y").select("bucket")
-    )
-    placed = stored(placed.join(mixed, "bucket", "left_semi"), "mixed-buckets")
-    reach = 1 - SIMILARITY
-    cell = F.floor(F.col("away") / reach + 1e-9)
-    left = placed.withColumn("cell", cell)
-    right = placed.select(
-        "bucket", F.col("node").alias("b"), F.col("component").alias("other"), F.col("away").alias("also"),
-        F.explode(F.array(cell - 1, cell, cell + 1)).alias("cell"),
+    # Weight before each element, from the rarest on. What is left after a prefix is less than a link has to share:
+    # 0.8 of the heavier set's weight, and 0.8 / 1.8 of both, which is 1.6 / 1.8 of the lighter one's at least.
+    rarest_first = Window.partitionBy("node").orderBy("df", "element").rowsBetween(Window.unboundedPreceding, -1)
+    prefix = (
+        rows.join(rarity, "element")
+        .withColumn("before", F.coalesce(F.sum("weight").over(rarest_first), F.lit(0)))
+        .withColumn("left", (F.col("total") - F.col("before")) / F.col("total") + 1e-9)
+        .where((F.col("left") >= SIMILARITY) & (F.col("x") != F.col("y")))
+        .select("element", "node", "component", "total", (F.col("left") >= 2 * SIMILARITY / (1 + SIMILARITY)).alias("short"))
     )
-    pairs = (
-        left.withColumnRenamed("node", "a").join(right, ["bucket", "cell"])
-        .where((F.col("component") < F.col("other")) & (F.abs(F.col("away") - F.col("also")) <= reach + 1e-9))
-        .select("a", "b").distinct()
+    prefix = stored(prefix, "prefixes")
+    other = prefix.select("element", F.col("node").alias("b"), F.col("component").alias("other"), F.col("total").alias("also"))
+    pairs = prefix.where("short").withColumnRenamed("node", "a").join(other, "element").where(
+        (F.col("component") != F.col("other")) & (F.col("total") <= F.col("also"))
+        & (F.col("total") >= F.lit(SIMILARITY - 1e-9) * F.col("also"))
     )
-    return _compared(pairs, elements).where(F.col("similarity") >= SIMILARITY).select("a", "b")
+    pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    return _compared(pairs.distinct(), elements).where(F.col("similarity") >= SIMILARITY).select("a", "b")
+
+
+def _exploded(elements: DataFrame) -> DataFrame:
+    """A row per node and element: element, weight, and the node's component and total weight."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for node, component, e, w in zip(*(batch[c] for c in ("node", "component", "elements", "weights")), strict=True):
+                ids = np.frombuffer(e, np.int64)
+                weight = np.frombuffer(w, "<i4").astype(np.int64) if w else np.ones(len(ids), np.int64)
+                yield pd.DataFrame({"node": node, "component": component, "element": ids, "weight": weight, "total": weight.sum()})
+
+    return elements.mapInPandas(run, "node string, component string, element long, weight long, total long")
 
 
-def classes(documents: DataFrame) -> DataFrame:
+def classes(documents: DataFrame, weights: str = "one") -> DataFrame:
     """Per node that is linked to another: node, component."""
-    return stored(components(links(documents)), "classes")
+    return stored(components(links(documents, weights)), "classes")
 
 
-def report(documents: DataFrame) -> DataFrame:
+def report(documents: DataFrame, weights: str = "one") -> DataFrame:
     """Per document: doc_id, class_id (the smallest doc_id of its class), class_size, kept (one document of each class)."""
     rows = documents.select("doc_id", node_of(F.col("text")).alias("node"))
-    placed = rows.join(classes(documents), "node", "left").withColumn("class", F.coalesce("component", "node"))
+    placed = rows.join(classes(documents, weights), "node", "left").withColumn("class", F.coalesce("component", "node"))
     placed = stored(placed.select("doc_id", "node", "class"), "placed")
     whole = placed.where("class IS NOT NULL")
     sized = whole.groupBy("class").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
@@ -266,11 +299,11 @@ def report(documents: DataFrame) -> DataFrame:
     return out.unionByName(alone)
 
 
-def keep_one(documents: DataFrame) -> DataFrame:
+def keep_one(documents: DataFrame, weights: str = "one") -> DataFrame:
     """``documents`` with one of each class, the one of the smallest doc_id (null first), as it is; null texts stay."""
     text_hash = F.xxhash64("text")
     rows = documents.where(F.col("text").isNotNull()).select("doc_id", text_hash.alias("h"), node_of(F.col("text")).alias("node"))
-    placed = rows.join(classes(documents), "node", "left").select("doc_id", "h", F.coalesce("component", "node").alias("class"))
+    placed = rows.join(classes(documents, weights), "node", "left").select("doc_id", "h", F.coalesce("component", "node").alias("class"))
     placed = placed.groupBy("class", "doc_id", "h").agg(F.count(F.lit(1)).alias("n"))
     placed = stored(placed, "placed")
     first = placed.groupBy("class").agg(F.min(F.struct("doc_id", "h")).alias("first"), F.sum("n").alias("size")).where("size > 1")
