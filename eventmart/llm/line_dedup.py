@@ -7,8 +7,12 @@ are counted once more as text, so that equal hashes of unlike lines drop nothing
 of a page / ratio) such lines: the list joined to its pages is bounded by what its pages hold on average, and Spark
 broadcasts the lists by their stored size, else shuffles and splits a large site.
 
-Blank lines are kept and not counted. Null texts stay null; null sites are one site; repeated rows are pages each. A
-text of boilerplate alone becomes empty. Empty tables give empty results; further columns are kept.
+With ``distinct_texts`` the pages of a site are its distinct texts (told apart by 64-bit hash, null being one of them)
+instead of its rows: copies of one document are one page, so their number makes no line of theirs boilerplate. Copies that
+differ in a few words are pages each, and a line that ``ratio`` of a site's pages share through them still goes, from all of them.
+
+Blank lines are kept and not counted. Null texts stay null; null sites are one site; repeated rows are pages each, unless
+``distinct_texts``. A text of boilerplate alone becomes empty. Empty tables give empty results; further columns are kept.
 """
 
 from __future__ import annotations
@@ -38,21 +42,30 @@ def _frequent(counted: DataFrame, pages: DataFrame, ratio: float, min_pages: int
     )
 
 
-def boilerplate(docs: DataFrame, site: Column, ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+def _pages(rows: DataFrame, by: list[str], name: str, distinct_texts: bool) -> DataFrame:
+    """Pages of each group, from a row per page; both steps sum up before they shuffle."""
+    if distinct_texts:
+        rows = rows.select(*by, "_copy").distinct()
+    return rows.groupBy(*by).agg(F.count(F.lit(1)).alias(name))
+
+
+def boilerplate(
+    docs: DataFrame, site: Column, ratio: float = RATIO, min_pages: int = MIN_PAGES, distinct_texts: bool = False
+) -> DataFrame:
     """Per site (as a string, null as such marked): the lines to drop."""
     sited = docs.select(_site(site).alias("_site"), F.col("text").alias("_text"))
-    pages = stored(sited.groupBy("_site").agg(F.count(F.lit(1)).alias("_pages")), "site-pages")
-    lines = sited.select("_site", F.explode(F.array_distinct(_lines(F.col("_text")))).alias("_line")).where(
+    if distinct_texts:
+        sited = sited.withColumn("_copy", F.xxhash64("_text"))
+    kept = [c for c in sited.columns if c != "_text"]
+    pages = stored(_pages(sited, ["_site"], "_pages", distinct_texts), "site-pages")
+    lines = sited.select(*kept, F.explode(F.array_distinct(_lines(F.col("_text")))).alias("_line")).where(
         F.trim("_line") != ""
     )
-    hashed = lines.select("_site", F.xxhash64("_line").alias("_hash"))
-    likely = _frequent(hashed.groupBy("_site", "_hash").agg(F.count(F.lit(1)).alias("_on")), pages, ratio, min_pages)
+    hashed = lines.select(*kept, F.xxhash64("_line").alias("_hash"))
+    likely = _frequent(_pages(hashed, ["_site", "_hash"], "_on", distinct_texts), pages, ratio, min_pages)
     likely = stored(likely.select("_site", "_hash"), "likely-lines")
-    exact = (
-        lines.withColumn("_hash", F.xxhash64("_line"))
-        .join(likely, ["_site", "_hash"], "left_semi")
-        .groupBy("_site", "_line").agg(F.count(F.lit(1)).alias("_on"))
-    )
+    found = lines.withColumn("_hash", F.xxhash64("_line")).join(likely, ["_site", "_hash"], "left_semi")
+    exact = _pages(found, ["_site", "_line"], "_on", distinct_texts)
     return (
         _frequent(exact, pages, ratio, min_pages)
         .groupBy("_site").agg(F.array_sort(F.collect_list("_line")).alias("_drop"))
@@ -65,11 +78,11 @@ def _site(site: Column) -> Column:
 
 def drop_boilerplate(
     docs: DataFrame, site: Column, ratio: float = RATIO, min_pages: int = MIN_PAGES,
-    counts: tuple[str, str] | None = ("n_lines", "n_dropped"),
+    counts: tuple[str, str] | None = ("n_lines", "n_dropped"), distinct_texts: bool = False,
 ) -> DataFrame:
     """``docs`` with cleaned ``text``, and under the names of ``counts`` the lines of each and those dropped."""
     own, drop, kept = fresh(docs, "site", "drop", "kept")
-    marked = stored(boilerplate(docs, site, ratio, min_pages), "boilerplate")
+    marked = stored(boilerplate(docs, site, ratio, min_pages, distinct_texts), "boilerplate")
     marked = marked.select(F.col("_site").alias(own), F.col("_drop").alias(drop))
     lines = _lines(F.col("text"))
     stays = F.filter(lines, lambda line: ~F.array_contains(F.col(drop), line))

@@ -40,6 +40,11 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "text", "n_lines", "n_dropped")
 
 
+def op5_line_dedup_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = line_dedup.drop_boilerplate(table(spark, sf_dir, "documents"), F.col("source"), distinct_texts=True)
+    return cleaned.select("doc_id", "text", "n_lines", "n_dropped")
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 

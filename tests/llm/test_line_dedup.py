@@ -5,7 +5,7 @@ from collections import Counter, defaultdict
 from pyspark.sql import functions as F
 
 from eventmart.llm import line_dedup
-from tests.llm.rows import DOCUMENT, documents, documents_df
+from tests.llm.rows import DOCUMENT, documents, documents_df, prose
 
 
 def _brute(rows, ratio, least):
@@ -35,6 +35,18 @@ def test_small_sites_keep_their_lines(spark):
     assert line_dedup.boilerplate(spark.createDataFrame(rows, DOCUMENT), F.col("source")).collect() == []
 
 
+def test_copies_are_one_page_of_distinct_texts(spark):
+    copy = prose(50, 20) + "\n" + prose(51, 20)
+    rows = [(i, copy if i < 5 else f"menu\n{prose(60 + i, 20)}", "en", "s", 1) for i in range(20)]
+    rows += [(100 + i, None, "en", "s", 1) for i in range(3)]
+    df = documents_df(spark, rows)
+    drop = line_dedup.boilerplate(df, F.col("source"), distinct_texts=True).collect()
+    assert [r["_drop"] for r in drop] == [["menu"]]
+    got = line_dedup.drop_boilerplate(df, F.col("source"), distinct_texts=True).collect()
+    assert [r["text"] for r in got if r["doc_id"] < 5] == [copy] * 5
+    assert Counter((r["doc_id"], r["text"]) for r in line_dedup.drop_boilerplate(df, F.col("source")).collect()) == _brute(rows, 0.05, 3)
+
+
 def test_columns_stay(spark):
     df = documents_df(spark, clashing=True)
     out = line_dedup.drop_boilerplate(df, F.col("source"), counts=None)
