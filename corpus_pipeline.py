@@ -14,15 +14,21 @@ from pyspark.sql import functions as F
 from eventmart.llm import decontamination, language_id, line_dedup, near_duplicates, packing
 from eventmart.llm.common import fresh, stored, table
 
-#: Below even odds for both the family and the language within it, a document has no language.
+#: Below even odds for both the family and the language within it, a document has no language. With two classes each no
+#: score is below, so a language's own least score, from its held-out documents, decides where enough of them are known.
 LEAST_SCORE = 0.25
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of a language that was learned; those without letters and those too uncertain go."""
+    """Documents of a language that was learned; those without letters go, and those that score less than all but 0.005 of
+    the language's held-out documents. Languages with fewer than 200 of these have ``LEAST_SCORE`` alone."""
     lang, score = fresh(docs, "lang_pred", "score")
-    found = language_id.identify(docs, language_id.learn(docs), (lang, score))
-    sure = (F.col(lang) != language_id.UNKNOWN) & (F.col(score) >= LEAST_SCORE)
+    model = language_id.learn(docs)
+    found = language_id.identify(docs, model, (lang, score))
+    least = F.lit(LEAST_SCORE)
+    for name, reached in sorted(language_id.least_scores(docs, model).items()):
+        least = F.when(F.col(lang) == name, max(reached, LEAST_SCORE)).otherwise(least)
+    sure = (F.col(lang) != language_id.UNKNOWN) & (F.col(score) >= least)
     return found.where(sure).select(docs.columns)
 
 

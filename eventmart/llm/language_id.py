@@ -37,10 +37,12 @@ FAMILIES = {
     "semitic": ["am", "ar", "he", "mt"],
 }
 SAMPLE = 4000  # documents that the machines are fitted on, at most
+UNSURE = 0.005  # share of a language's held-out documents that may score less than its least score
 UNKNOWN = "und"
 _DIMS = 4096
 _CHUNK = 1 << 20  # characters at a time
 _ROWS = 512  # texts at a time
+_STEPS = 10_000  # scores are counted by their ten-thousandth
 _LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -194,3 +196,27 @@ def identify(documents: DataFrame, model: Model, names: tuple[str, str] = ("lang
         .withColumn(names[1], F.col(found)["score"])
         .drop(found)
     )
+
+
+def least_scores(documents: DataFrame, model: Model, unsure: float = UNSURE) -> dict[str, float]:
+    """Per language: a score that all but ``unsure`` of its rightly predicted held-out documents reach.
+
+    All held-out documents are scored, and counted by their score's ten-thousandth, so that a language is so many rows at
+    most. A language with fewer than 1 / ``unsure`` of them has no such score and is left out.
+    """
+    held = documents.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & held_out(F.col("doc_id")))
+    right = identify(held.select("lang", "text"), model).where(F.col("lang") == F.col("lang_pred"))
+    counted = right.groupBy("lang", F.floor(F.col("score") * _STEPS).alias("step")).agg(F.count(F.lit(1)).alias("n"))
+    by_lang: dict[str, list[tuple[int, int]]] = {}
+    for lang, step, n in counted.collect():
+        by_lang.setdefault(lang, []).append((step, n))
+    least = {}
+    for lang, steps in by_lang.items():
+        below = int(unsure * sum(n for _, n in steps))
+        if below:
+            for step, n in sorted(steps):
+                below -= n
+                if below < 0:
+                    least[lang] = max(step - 1, 0) / _STEPS
+                    break
+    return least

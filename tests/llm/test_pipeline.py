@@ -1,5 +1,9 @@
 from __future__ import annotations
 
+import random
+
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from eventmart.llm import language_id
 from eventmart.llm.common import table
@@ -69,3 +73,27 @@ def test_stages_of_empty_tables(spark, tmp_path):
 def test_uncertain_documents_are_those_below_even_odds():
     assert corpus_pipeline.LEAST_SCORE == 0.5 * 0.5
     assert language_id.UNKNOWN == "und"
+
+
+def test_unlearned_languages_and_random_letters_go_by_score(spark):
+    r = random.Random(5)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    unlike = [
+        "kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan heille on annettu järki ja omatunto",
+        "wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw są oni obdarzeni rozumem",
+        "все люди рождаются свободными и равными в своем достоинстве и правах они наделены разумом и совестью",
+        *(" ".join("".join(r.choices(letters, k=r.randint(2, 9))) for _ in range(n)) for n in (20, 200)),
+    ]
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    planted = spark.createDataFrame([(-1 - i, t, None, "s", len(t)) for i, t in enumerate(unlike)], docs.schema)
+    found = corpus_pipeline.identify_language(spark, docs.unionByName(planted), "")
+    assert found.where("doc_id < 0").count() == 0
+    lettered = docs.where(language_id.held_out(docs.doc_id) & F.col("text").rlike("[A-Za-z]"))
+    before, after = (dict(d.groupBy("lang").count().collect()) for d in (lettered, found.where(language_id.held_out(found.doc_id))))
+    assert len(before) == 4
+    assert all(after[lang] >= 0.98 * n for lang, n in before.items())
+
+
+def test_few_held_out_documents_give_no_least_score(spark):
+    df = documents_df(spark)
+    assert language_id.least_scores(df, language_id.learn(df)) == {}
