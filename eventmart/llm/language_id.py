@@ -6,7 +6,7 @@ those of every two of its languages decide by votes, then by margin. Learned lan
 list are a family of their own. The score is the winner's mean pairwise confidence, family times language.
 
 The machines are fitted on a bounded sample: ``sample`` documents in all, shared evenly by the languages, those with the
-smallest hash; the documents' lang is read there alone. Texts are scored where they lie, without a shuffle, against
+smallest hash, each id and text once; the documents' lang is read there alone. Texts are scored where they lie, without a shuffle, against
 weights whose size depends on the number of languages only.
 
 Null texts and texts without a letter are ``und`` with score 0, and so is everything if no language could be learned.
@@ -159,10 +159,10 @@ def learn(documents: DataFrame, sample: int = SAMPLE) -> Model:
     per = min(1000, max(2, sample // n_langs))  # up to 1000 Spark keeps only so many rows a task before it shuffles
     first = F.row_number().over(Window.partitionBy("lang").orderBy("hash"))
     last = (
-        hashed.select("lang", "hash").withColumn("_n", first).where(F.col("_n") <= per)
+        hashed.select("lang", "hash").distinct().withColumn("_n", first).where(F.col("_n") <= per)
         .groupBy("lang").agg(F.max("hash").alias("_last"))
     )
-    chosen = hashed.join(stored(last, "languages"), "lang").where(F.col("hash") <= F.col("_last"))
+    chosen = hashed.join(stored(last, "languages"), "lang").where(F.col("hash") <= F.col("_last")).dropDuplicates(["lang", "hash"])
 
     def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -172,7 +172,7 @@ def learn(documents: DataFrame, sample: int = SAMPLE) -> Model:
                 yield pd.DataFrame({"lang": part["lang"].to_numpy(), "hash": part["hash"].to_numpy(), "x": [r.tobytes() for r in x]})
 
     rows = chosen.mapInPandas(vectors, "lang string, hash long, x binary").toPandas()
-    rows = rows.sort_values(["lang", "hash"]).groupby("lang").head(per)  # equal hashes may bring a few more
+    rows = rows.sort_values(["lang", "hash"])
     x = np.stack([np.frombuffer(b, np.float16) for b in rows["x"]]).astype(np.float32)
     return Model(x, rows["lang"].to_numpy(dtype=object))
 

@@ -3,9 +3,11 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
+from pyspark.sql import functions as F
+from pyspark.sql.classic.dataframe import DataFrame
 
 from eventmart.llm import language_id as li
-from tests.llm.rows import documents, documents_df
+from tests.llm.rows import documents, documents_df, prose
 
 SF_DIR = "/root/testdata/sf0.01"
 
@@ -44,3 +46,17 @@ def test_chunks_count_like_the_whole(monkeypatch):
     whole = li._counts(text)
     monkeypatch.setattr(li, "_CHUNK", 7)
     assert np.array_equal(whole, li._counts(text))
+
+
+def test_repeated_rows_teach_once(spark, monkeypatch):
+    texts = documents_df(spark, [(i, prose(i, 30), "en" if i % 2 else "fr", "s", 1) for i in range(200)]).where(~li.held_out(F.col("doc_id")))
+    rows = [tuple(r) for r in texts.orderBy(F.xxhash64("doc_id", "text")).collect()]
+    taught = []
+    monkeypatch.setattr(li, "Model", lambda x, langs: taught.append((x, langs)))
+    collected = []
+    to_pandas = DataFrame.toPandas
+    monkeypatch.setattr(DataFrame, "toPandas", lambda self: collected.append(to_pandas(self)) or collected[-1])
+    li.learn(documents_df(spark, rows + rows[:1] * 500), sample=40)
+    x, langs = taught[0]
+    assert len(collected[0]) == len(x) == len({v.tobytes() for v in x}) == 40
+    assert sorted(langs) == ["en"] * 20 + ["fr"] * 20
