@@ -57,6 +57,21 @@ def small_enough(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
+def join_by_frequency(rows: DataFrame, found: DataFrame, on: str | list[str], uses: str, share: int = 1000) -> DataFrame:
+    """Inner join of ``rows`` with a table of distinct keys that says under ``uses`` how many rows have each.
+
+    Keys of more than one in ``share`` rows are fewer than ``share``: they are broadcast, whatever the size of the tables. No
+    other key is hot, so the rest is shuffled or, if Spark finds it small, broadcast. ``rows`` and ``found`` are read twice.
+    """
+    on = [on] if isinstance(on, str) else on
+    total = found.agg(F.sum(uses)).head()[0] or 0
+    hot = F.col(uses) * share > total
+    often = rows.join(F.broadcast(found.where(hot).drop(uses)), on)
+    others = rows.join(F.broadcast(found.where(hot).select(*on)), on, "left_anti")
+    seldom = others.join(found.where(~hot).drop(uses), on)
+    return often.unionByName(seldom)
+
+
 def gapless(df: DataFrame, by: list[str], order: list[str], name: str) -> DataFrame:
     """Number the rows of each group from 0 without gaps, however large the group.
 

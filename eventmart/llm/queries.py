@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmart.llm import chat, decontamination, language_id, line_dedup, near_duplicates, nearest, personal_data, quality
+from eventmart.llm import (
+    chat, decontamination, language_id, line_dedup, near_duplicates, nearest, personal_data, phrases, quality, spelling, url_filter,
+)
 from eventmart.llm.common import table
 from eventmart.llm.packing import pack_documents
 from eventmart.llm.sharding import shard_documents
@@ -70,6 +72,18 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.report(table(spark, sf_dir, "documents"))
+
+
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     """All of these queries by name."""
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
