@@ -1,0 +1,115 @@
+"""Collocations against plain counting; tries against a dictionary."""
+
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from eventmart.llm import phrases
+from tests.llm.rows import DOCUMENT, documents, documents_df, prose
+
+
+def plain(rows, min_count=10, top=2000):
+    counts, totals = defaultdict(Counter), Counter()
+    for _, text, lang, *_ in rows:
+        lang = "und" if lang is None else lang
+        lowered = "".join(c.lower() if c.isascii() else c for c in text or "")
+        for piece in re.split("[.,;:!?\n-\r]", lowered):
+            words = [w for w in re.split("[ \t]+", piece) if w]
+            totals[lang] += len(words)
+            for k in (1, 2, 3):
+                counts[lang].update(" ".join(words[i:i + k]) for i in range(len(words) - k + 1))
+    result = []
+    for lang, f in counts.items():
+        candidates = {p: a for p, a in f.items() if " " in p and a >= min_count}
+        longer = Counter()
+        for p, a in candidates.items():
+            words = p.split(" ")
+            if len(words) == 3:
+                for part in (words[:2], words[1:]):
+                    longer[" ".join(part)] = max(longer[" ".join(part)], a)
+        kept = []
+        for p, a in candidates.items():
+            if longer[p] and 100 * longer[p] >= 50 * a:
+                continue
+            words, cuts = p.split(" "), []
+            for k in range(1, len(words)):
+                left, right = f[" ".join(words[:k])], f[" ".join(words[k:])]
+                cuts.append((1_000_000 * a * a // (left * right), k, left, right))
+            score, _, left, right = min(cuts)
+            kept.append((-score, -a, p.encode(), (lang, p, a, left, right, totals[lang], score)))
+        for rank, (*_, row) in enumerate(sorted(kept)[:top], 1):
+            result.append((row[0], rank, *row[1:]))
+    return sorted(result)
+
+
+def found(frame):
+    return sorted(map(tuple, frame.select("lang", "rank", "phrase", "a", "l", "r", "n", "score").collect()))
+
+
+def text_rows():
+    r = random.Random(3)
+    words = ["a", "b", "ça", "d-e", "😀", "\x01", "f"]
+    rows = [(i, "".join(r.choice(words) + r.choice([" ", " ", "  ", "\t", ", ", "\n", " .\r"]) for _ in range(r.randint(0, 90))),
+             r.choice(["en", "x\ny", None, "und"]), None, None) for i in range(120)]
+    return rows + documents() + [(1, "New York City", "en", None, None)] * 30 + [(2, "new york", "en", None, None)] * 40
+
+
+def test_against_plain_counting(spark):
+    rows = text_rows()
+    wanted = plain(rows)
+    assert len(wanted) > 100
+    assert found(phrases.collocations(documents_df(spark, rows, clashing=True))) == wanted
+
+
+def test_few_slots_and_small_blocks_change_nothing(spark, monkeypatch):
+    """Many tries a length, texts cut into blocks of a few words, extensions passed on at once."""
+    rows = text_rows()[:60]
+    monkeypatch.setattr(phrases, "TRIE_BYTES", 400)
+    monkeypatch.setattr(phrases, "BLOCK", 40)
+    monkeypatch.setattr(phrases, "_KEPT", 5)
+    assert found(phrases.collocations(documents_df(spark, rows), min_count=3, top=10)) == plain(rows, 3, 10)
+
+
+def test_a_very_long_text_without_pieces(spark, monkeypatch):
+    monkeypatch.setattr(phrases, "BLOCK", 1000)
+    rows = [(1, (prose(1, 40) + " ") * 300, "en", None, None)]
+    assert found(phrases.collocations(documents_df(spark, rows))) == plain(rows)
+
+
+def test_nothing(spark):
+    assert found(phrases.collocations(spark.createDataFrame([], DOCUMENT))) == []
+    assert found(phrases.collocations(documents_df(spark, [(1, None, None, None, None), (2, " ,. ", "en", None, 1)]))) == []
+
+
+@pytest.mark.parametrize("slots", [1, 300, 1 << 20])
+def test_tries_hold_their_keys(slots):
+    r = random.Random(slots)
+    keys = sorted({bytes(r.choices(b"ab \xc3\xa9z", k=r.randint(1, 7))).strip() or b"a" for _ in range(400)} | {b"z" * 3000})
+    held = []
+    for trie in phrases.tries(pa.array(keys, pa.binary()), slots):
+        assert trie.base.size <= max(slots, 4000)
+        mine = trie.keys.to_pylist()
+        held += mine
+        for key in keys:
+            state = trie.after(key)
+            accepted = trie.accepting[state] if state >= 0 else -1
+            assert (mine[accepted] if accepted >= 0 else None) == (key if key in set(mine) else None)
+        assert trie.after(b"q") == -1
+    assert sorted(held) == keys
+
+
+def test_all_positions_advance_together():
+    trie = phrases.Trie(pa.array([b"en\nto be", b"en\nto", b"en\nbe or"], pa.binary()))
+    text = np.frombuffer(b"to be or to be\nto bee\n", np.uint8)
+    ends = np.flatnonzero((text == 32) | (text == 10))
+    starts = np.concatenate([[0], ends[:-1] + 1])
+    hits = Counter()
+    for _, keys in trie.accepted(trie.after(b"en\n"), text, starts):
+        hits.update(trie.keys[k].as_py() for k in keys.tolist())
+    assert hits == {b"en\nto": 3, b"en\nto be": 2, b"en\nbe or": 1}
