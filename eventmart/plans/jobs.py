@@ -1,29 +1,39 @@
 """The three batch jobs: raw logs to events, events to each of the two marts.
 
 Each takes several days and does all of them in one Spark job. Running a job again for days it has
-done before gives the same tables.
+done before gives the same tables. What needs doing is found by comparing small tables: raw files with the ledger of those
+the events were made from, and the events' manifest with the stamps of what the marts were built from.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import datetime as dt
+import logging
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventmart.functions import between_dates
 from eventmart.functions.ranges import Day, as_date
 from eventmart.operators import event_by_user, purchase_by_user, standardize, union_events
-from eventmart.schemas import EVENT_BY_USER, PURCHASE_BY_USER, TIER1_STORED, VENDORS, stored
+from eventmart.schemas import TIER1_STORED, VENDORS
 from eventmart.sources import (
+    Ledger,
+    Manifest,
+    Stamps,
     delivered_days,
-    exists,
-    missing_days,
+    raw_files,
+    read_dates,
     read_raw,
-    read_tier,
+    shared_folder,
+    stale,
     write_tier1,
     write_tier2,
 )
-from eventmart.sources.files import delete
+from eventmart.sources.claims import LEASE, Claims
+
+_LOG = logging.getLogger(__name__)
 
 
 class Lake:
@@ -35,6 +45,7 @@ class Lake:
         self.events = f"{root}/tier1/event"
         self.event_by_user = f"{root}/tier2/eventByUser"
         self.purchase_by_user = f"{root}/tier2/purchaseByUser"
+        self.ledger = f"{root}/ledger"
         self.due = f"{root}/due"
 
 
@@ -43,8 +54,10 @@ def standardize_days(
 ) -> None:
     """Raw logs of some run days, of whichever vendors have any, into the event table.
 
-    A day without any raw folder is left as it is stored.
+    A day without any raw folder is left as it is stored. The ledger gets the files as they were before they were read: one
+    that changes meanwhile differs from it, and its day is done again.
     """
+    files = raw_files(spark, lake.raw, days)
     events, runs = [], set()
     for vendor in VENDORS:
         delivered = delivered_days(spark, vendor, lake.raw, days)
@@ -54,110 +67,112 @@ def standardize_days(
             runs.update(delivered)
     if events:
         write_tier1(union_events(spark, *events), lake.events, runs=sorted(map(as_date, runs)))
+        Ledger(spark, lake.ledger).record(files)
+
+
+Mart = tuple[str, Callable[[DataFrame], DataFrame]]
+
+
+def _marts(lake: Lake) -> list[Mart]:
+    return [(lake.event_by_user, event_by_user), (lake.purchase_by_user, purchase_by_user)]
+
+
+def _kept(spark: SparkSession, rows: DataFrame, purpose: str) -> DataFrame:
+    """Rows as they are now, whatever happens to the tables they come from."""
+    path = shared_folder(spark, purpose)
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+def _build(spark: SparkSession, lake: Lake, mart: Mart, dates: DataFrame) -> None:
+    """Build some dates (date, digest) of a mart from the events; only their folders are read.
+
+    The digests are from before the events are read. So if a write comes in between, the stamp is the older one and the date
+    stays stale. What comes to the driver is a list of days.
+    """
+    root, operator = mart
+    days = [row["date"] for row in dates.select("date").collect()]
+    if days:
+        write_tier2(operator(read_dates(spark, lake.events, days, TIER1_STORED)), root, days)
+    Stamps(spark, root).add(dates)
 
 
-def _dates_in_range(spark: SparkSession, root: str, shape, start: Day, end: Day) -> list[Day]:
-    """Dates that a build of a range stands for: the stored ones in it, all of them without a range."""
-    held = read_tier(spark, root, start, end, stored(shape)).select("date").distinct()
-    return [row["date"] for row in held.collect()]
+def _build_range(spark: SparkSession, lake: Lake, mart: Mart, start: Day, end: Day) -> None:
+    """Dates in range that have events or that the mart holds, all of them (also rows without a date) without a range."""
+    now, then = Manifest(spark, lake.events).digests(), Stamps(spark, mart[0]).latest()
+    gone = then.join(now, then["date"].eqNullSafe(now["date"]), "left_anti").where("digest IS NOT NULL")
+    dates = now.unionByName(gone.select("date", F.lit(None).cast("string").alias("digest")))
+    _build(spark, lake, mart, _kept(spark, dates.where(between_dates("date", start, end)), "dates"))
 
 
 def build_event_by_user(
     spark: SparkSession, lake: Lake, start: Day = None, end: Day = None
 ) -> None:
     """Event mart of all event dates in range."""
-    events = read_tier(spark, lake.events, start, end, TIER1_STORED)
-    days = _dates_in_range(spark, lake.event_by_user, EVENT_BY_USER, start, end)
-    write_tier2(event_by_user(events), lake.event_by_user, days)
+    _build_range(spark, lake, _marts(lake)[0], start, end)
 
 
 def build_purchase_by_user(
     spark: SparkSession, lake: Lake, start: Day = None, end: Day = None
 ) -> None:
     """Purchase mart of all event dates in range."""
-    events = read_tier(spark, lake.events, start, end, TIER1_STORED)
-    days = _dates_in_range(spark, lake.purchase_by_user, PURCHASE_BY_USER, start, end)
-    write_tier2(purchase_by_user(events), lake.purchase_by_user, days)
+    _build_range(spark, lake, _marts(lake)[1], start, end)
 
 
-def _dates_of_runs(spark: SparkSession, lake: Lake, runs: Sequence[Day]) -> set[Day]:
-    """Event dates of which the event table holds rows from some runs; None for rows without a date."""
-    events = read_tier(spark, lake.events, schema=TIER1_STORED)
-    dates = events.where(F.col("run_date").isin(runs)).select("date").distinct()
-    return {row["date"] for row in dates.collect()}
+def refresh_marts(spark: SparkSession, lake: Lake, also: Sequence[Day] = ()) -> None:
+    """Rebuild, in each mart, the event dates that were built from other events than those there are now.
 
-
-_DUE = "run_date DATE, date DATE, undated BOOLEAN"
-
-
-def _due(spark: SparkSession, lake: Lake) -> tuple[set[Day], set[Day]]:
-    """Run days and event dates that an attempt before has begun with and not ended."""
-    if not exists(spark, lake.due):
-        return set(), set()
-    rows = spark.read.schema(_DUE).parquet(lake.due).collect()
-    dates = {row["date"] for row in rows if row["date"] or row["undated"]}
-    return {row["run_date"] for row in rows if row["run_date"]}, dates
+    So late events reach dates whose mart exists already, and a date that no run fills any more loses its rows, whichever job
+    changed the events and however it ended. ``also`` names further dates to rebuild.
+    """
+    now = _kept(spark, Manifest(spark, lake.events).digests(), "digests")
+    named = spark.createDataFrame([(as_date(day),) for day in also], "date DATE")
+    for mart in _marts(lake):
+        dates = stale(now, Stamps(spark, mart[0]).latest())
+        if also:
+            wanted = named.join(now, named["date"].eqNullSafe(now["date"]), "left").select(named["date"], "digest")
+            dates = dates.unionByName(wanted).distinct()
+        _build(spark, lake, mart, _kept(spark, dates, "stale-dates"))
 
 
 def process_runs(
-    spark: SparkSession, lake: Lake, runs: Sequence[Day], tz: str = "UTC", also: Sequence[Day] = ()
-) -> None:
-    """Standardise run days, then rebuild both marts for every event date these runs touch.
-
-    So late events reach dates whose mart exists already, and a date that a repeated run no longer
-    touches loses its rows. ``also`` names further dates to rebuild. What is to be done is stored before
-    any table changes and removed when both marts are written: an attempt that was cut short is made up
-    for by the next one, whichever days that is for. What comes to the driver is a list of days.
+    spark: SparkSession, lake: Lake, runs: Sequence[Day], tz: str = "UTC", also: Sequence[Day] = (), lease: float = LEASE
+) -> list[Day]:
+    """Standardise run days, then rebuild both marts for every event date whose events have changed.
+
+    Each day is claimed for ``lease`` seconds before anything changes, and let go when both marts are written. Days
+    that another job is at are left to it; those an attempt before has begun with and not ended are done as well, so
+    one that was cut short is made up for by the next one, whichever days that is for. ``also`` names further event
+    dates to rebuild. Returns the run days that this job has done.
     """
-    due_runs, due_dates = _due(spark, lake)
-    runs = sorted({as_date(run) for run in runs} | due_runs)
-    before = _dates_of_runs(spark, lake, runs) | due_dates | {as_date(day) for day in also}
-    if not runs and not before:
-        return
-    begun = [(run, None, False) for run in runs] + [(None, day, day is None) for day in before]
-    spark.createDataFrame(begun, _DUE).coalesce(1).write.mode("append").parquet(lake.due)
-    standardize_days(spark, lake, runs, tz)
-    touched = before | _dates_of_runs(spark, lake, runs)
-    if touched:
-        dated = sorted(day for day in touched if day)
-        wanted = F.col("date").isin(dated)
-        if None in touched:
-            wanted = wanted | F.col("date").isNull()
-        events = read_tier(spark, lake.events, schema=TIER1_STORED).where(wanted)
-        write_tier2(event_by_user(events), lake.event_by_user, list(touched))
-        write_tier2(purchase_by_user(events), lake.purchase_by_user, list(touched))
-    delete(spark, lake.due)
-
-
-def _new_runs(spark: SparkSession, lake: Lake, start: str, end: str) -> set[Day]:
-    """Run days for which a vendor has delivered and the event table holds nothing of that vendor."""
-    events = read_tier(spark, lake.events, schema=TIER1_STORED)
-    new = set()
-    for vendor in VENDORS:
-        absent = missing_days(spark, events.where(F.col("tracking") == vendor), start, end, day_column="run_date")
-        new.update(delivered_days(spark, vendor, lake.raw, [row["date"] for row in absent.collect()]))
-    return new
-
-
-def catch_up(spark: SparkSession, lake: Lake, start: str, end: str, tz: str = "UTC") -> None:
-    """Do whatever days of a range are not done yet, in all three tables.
-
-    A run day counts as standardised if the event table holds rows of that run from every vendor that
-    delivered it, an event date as aggregated if both marts hold rows of it; a day without any is cheap to
-    try again. What an attempt before left undone is done as well.
+    claims = Claims(spark, lake.due, lease)
+    wanted = {as_date(run) for run in runs} | set(claims.unfinished())
+    mine = claims.take(wanted)
+    if others := sorted(wanted - set(mine)):
+        _LOG.warning("%d run days are left to other jobs, the first is %s", len(others), others[0])
+    try:
+        standardize_days(spark, lake, mine, tz)
+        refresh_marts(spark, lake, also)
+    except BaseException:
+        claims.let_go()
+        raise
+    claims.end()
+    return mine
+
+
+def new_runs(spark: SparkSession, lake: Lake, start: Day, end: Day) -> list[Day]:
+    """Run days of a range whose raw files are not those their events were made from."""
+    first, last = as_date(start), as_date(end)
+    days = [first + dt.timedelta(days=n) for n in range((last - first).days + 1)]
+    due = Ledger(spark, lake.ledger).due(raw_files(spark, lake.raw, days), days)
+    return sorted(row["run_date"] for row in due.collect())
+
+
+def catch_up(spark: SparkSession, lake: Lake, start: str, end: str, tz: str = "UTC") -> list[Day]:
+    """Bring all three tables up to date with the raw files of a range of run days.
+
+    A day is done again if a file has come, changed or gone since it was done: hours may come one by one, and files be
+    replaced. Event dates are rebuilt if their events changed, also by another job and outside the range. What an attempt before
+    left undone is done as well. Returns the run days that were done.
     """
-    absent = [
-        missing_days(spark, read_tier(spark, root, schema=stored(shape)), start, end)
-        for root, shape in (
-            (lake.event_by_user, EVENT_BY_USER),
-            (lake.purchase_by_user, PURCHASE_BY_USER),
-        )
-    ]
-    to_rebuild = absent[0].union(absent[1]).distinct().collect()
-    process_runs(
-        spark,
-        lake,
-        sorted(_new_runs(spark, lake, start, end)),
-        tz,
-        also=[row["date"] for row in to_rebuild],
-    )
+    return process_runs(spark, lake, new_runs(spark, lake, start, end), tz)

@@ -268,6 +268,12 @@ FROM e"""),
 SELECT CAST(d AS DATE) AS date
 FROM generate_series(TIMESTAMP '2023-12-01', TIMESTAMP '2024-12-31', INTERVAL 1 DAY) AS c(d)
 WHERE CAST(d AS DATE) NOT IN (SELECT CAST(ts AS DATE) FROM events)""",
+        "catch_up_marts": _r(f"""
+SELECT "trackingId" AS app_name, cid AS c_id, "osTypeCode" AS os_typecode, count(*) AS event_count,
+  "trackingEventCode" AS event_typecode, "eventDate" AS event_date, {_parts('"eventDate"')}, "eventHour" AS event_hour,
+  "eventDate" AS date
+FROM kept WHERE cid IS NOT NULL
+GROUP BY "trackingId", cid, "osTypeCode", "trackingEventCode", "eventDate", "eventHour" """),
         "event_by_user": _m(f"SELECT *, {_parts('event_date')} FROM m"),
         "event_by_user_daily": _e(f"""
 SELECT "trackingId" AS app_name, cid AS c_id, "osTypeCode" AS os_typecode, count(*) AS event_count,

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -31,6 +32,43 @@ def delete(spark: SparkSession, path: str) -> None:
     files.delete(location, True)
 
 
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Put a folder in the place of another, which is removed if it is there."""
+    files, location = _located(spark, target)
+    files.delete(location, True)
+    files.mkdirs(location.getParent())
+    if not files.rename(_located(spark, source)[1], location):
+        raise OSError(f"{source} could not be moved to {target}")
+
+
+def create(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file unless there is one of that name; says whether it was written. Only one of several callers succeeds."""
+    files, location = _located(spark, path)
+    try:
+        stream = files.create(location, False)
+    except Py4JJavaError as error:
+        if "AlreadyExists" in error.java_exception.getClass().getName() or files.exists(location):
+            return False
+        raise
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    return True
+
+
+def content(spark: SparkSession, path: str) -> str:
+    """Text of a small file; empty if it is gone or not written to its end."""
+    files, location = _located(spark, path)
+    try:
+        stream = files.open(location)
+    except Py4JJavaError:
+        if files.exists(location):
+            raise
+        return ""
+    text = bytes(stream.readAllBytes()).decode()
+    stream.close()
+    return text
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder all executors can reach, below ``spark.checkpoint.dir``; whoever owns that folder clears it.
 

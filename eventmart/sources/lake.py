@@ -7,6 +7,7 @@ several tasks, and files, and merge small ones.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,24 +18,35 @@ from eventmart.functions import instant
 from eventmart.functions.ranges import Day, as_date
 from eventmart.operators.standardize import with_partition_columns
 from eventmart.schemas import TIER1, TIER1_STORED
-from eventmart.sources.files import delete, matching
+from eventmart.sources.files import delete, matching, move
+from eventmart.sources.manifest import Manifest, folder, value_of
 
 _RUN_FOLDER = r"/(\d{4}-\d{2}-\d{2})/date="
-_NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"  # Spark's name for the partition of NULL
 
 
 def _write_by(
     table: DataFrame, partitions: Sequence[str], sort: Sequence[str], root: str, compression: str
-) -> None:
+) -> list[str]:
+    """Write into a folder of its own and put the partitions it fills in the place of those in ``root``.
+
+    So only what this write holds is listed, however large the table is. Returns these partitions, as
+    paths below ``root``.
+    """
+    spark = table.sparkSession
+    staged = f"{root.rstrip('/')}-staging/{uuid.uuid4().hex}"
     (
         table.hint("rebalance", *(F.col(c) for c in partitions))
         .sortWithinPartitions(*partitions, *sort)
         .write.partitionBy(*partitions)
         .option("compression", compression)
-        .option("partitionOverwriteMode", "dynamic")
-        .mode("overwrite")
-        .parquet(root)
+        .parquet(staged)
     )
+    found = matching(spark, "/".join([staged, *(f"{name}=*" for name in partitions)]))
+    filled = ["/".join(path.rstrip("/").split("/")[-len(partitions):]) for path in found]
+    for partition in filled:
+        move(spark, f"{staged}/{partition}", f"{root.rstrip('/')}/{partition}")
+    delete(spark, staged)
+    return filled
 
 
 def write_tier1(
@@ -50,31 +62,30 @@ def write_tier1(
     and leaves those of other runs. ``run_date`` is a column of ``events`` if not given; ``runs`` then
     names all runs that ``events`` stands for, also those without rows. Partitions an earlier attempt
     of these runs filled and this one does not are removed afterwards.
+
+    The manifest beside the table says which partitions each run has filled, in which version. The named runs' partitions
+    get the new version before anything changes, so that what was made from them is known to be stale even
+    if this write is cut short.
     """
+    spark = events.sparkSession
     if run_date is not None:
         events = events.withColumn("run_date", F.lit(as_date(run_date)))
-    named = [run for run in (run_date, *runs) if run is not None]
-    stored = with_partition_columns(events.where(F.col("trackingId").isNotNull())).select(*TIER1_STORED.names)
-    files = f"{root.rstrip('/')}/date=*/run_date=*/*"
-    before = set(matching(events.sparkSession, files))
-    _write_by(stored, ["date", "run_date"], ["trackingId", "eventTimeStamp"], root, compression)
+    named = {as_date(run) for run in (run_date, *runs) if run is not None}
+    version = uuid.uuid4().hex
+    manifest = Manifest(spark, root)
+    before = manifest.of_runs(named)
+    manifest.replace({run: before[run] for run in named if before[run]}, version)
 
-    filled, old = _by_folder(matching(events.sparkSession, files), before)
-    replaced = {folder.rsplit("/", 1)[-1] for folder in filled} | {f"run_date={_folder(as_date(run))}" for run in named}
-    for folder in sorted(old):
-        if folder.rsplit("/", 1)[-1] in replaced:
-            delete(events.sparkSession, folder)
-
-
-def _by_folder(after: list[str], before: set[str]) -> tuple[set[str], set[str]]:
-    """Folders that a write has put files into, and those whose files are all from before."""
-    filled = {file.rsplit("/", 1)[0] for file in after if file not in before}
-    return filled, {file.rsplit("/", 1)[0] for file in after} - filled
-
-
-def _folder(value: object) -> str:
-    """How Spark names the partition of a value."""
-    return _NULL_FOLDER if value is None else str(value)
+    stored = with_partition_columns(events.where(F.col("trackingId").isNotNull())).select(*TIER1_STORED.names)
+    after: dict[Day, set[Day]] = {run: set() for run in named}
+    for partition in _write_by(stored, ["date", "run_date"], ["trackingId", "eventTimeStamp"], root, compression):
+        day, run = (value_of(part) for part in partition.split("/"))
+        after.setdefault(run, set()).add(day)
+    before |= manifest.of_runs(set(after) - named)
+    for run, days in before.items():
+        for day in days - after[run]:
+            delete(spark, f"{root.rstrip('/')}/{folder('date', day)}/{folder('run_date', run)}")
+    manifest.replace(after, version)
 
 
 def write_tier2(
@@ -88,14 +99,9 @@ def write_tier2(
     """
     order = ["app_name", "os_typecode", "event_hour", "c_id"]
     dated = mart.withColumn("date", F.col("event_date"))
-    files = f"{root.rstrip('/')}/date=*/*"
-    before = set(matching(mart.sparkSession, files)) if days else set()
-    _write_by(dated, ["date"], [c for c in order if c in mart.columns], root, compression)
-
-    computed = {f"date={_folder(as_date(day))}" for day in days}
-    for folder in sorted(_by_folder(matching(mart.sparkSession, files), before)[1]) if days else []:
-        if folder.rsplit("/", 1)[-1] in computed:
-            delete(mart.sparkSession, folder)
+    filled = set(_write_by(dated, ["date"], [c for c in order if c in mart.columns], root, compression))
+    for partition in {folder("date", as_date(day)) for day in days} - filled:
+        delete(mart.sparkSession, f"{root.rstrip('/')}/{partition}")
 
 
 def write_sorted(

@@ -12,10 +12,6 @@ from eventmart.schemas import RAW_DAY_IN_PATH, RAW_FOLDER, raw_schema
 from eventmart.sources.files import matching
 
 
-def _folder(vendor: str, root: str, day: Day) -> str:
-    return f"{root.rstrip('/')}/{RAW_FOLDER.format(vendor=vendor.lower(), day=as_date(day))}"
-
-
 def delivered_days(spark: SparkSession, vendor: str, root: str, days: Sequence[Day]) -> list[Day]:
     """Those of some days for which the vendor has a folder."""
     anywhere = f"{root.rstrip('/')}/{RAW_FOLDER.split('/', 1)[0].format(vendor=vendor.lower())}/*/*"
@@ -23,6 +19,12 @@ def delivered_days(spark: SparkSession, vendor: str, root: str, days: Sequence[D
     return [day for day in days if RAW_FOLDER.format(vendor=vendor.lower(), day=as_date(day)) in there]
 
 
+def delivered_folders(spark: SparkSession, vendor: str, root: str, days: Sequence[Day]) -> list[str]:
+    """The vendor's folders of some days, where there are any."""
+    present = delivered_days(spark, vendor, root, days)
+    return [f"{root.rstrip('/')}/{RAW_FOLDER.format(vendor=vendor.lower(), day=as_date(day))}" for day in present]
+
+
 def read_raw(
     spark: SparkSession, vendor: str, root: str, days: Sequence[Day]
 ) -> DataFrame | None:
@@ -32,7 +34,7 @@ def read_raw(
     inference pass and a field of an unexpected type is NULL instead of changing the column; such
     lines are kept in ``_corrupt_record``. ``run_date`` is the day of the folder.
     """
-    present = [_folder(vendor, root, d) for d in delivered_days(spark, vendor, root, days)]
+    present = delivered_folders(spark, vendor, root, days)
     if not present:
         return None
     path = F.col("_metadata.file_path")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -9,6 +11,7 @@ from pyspark.sql.types import StructType
 from eventmart.functions import between_dates
 from eventmart.functions.ranges import Day, as_date
 from eventmart.sources.files import exists
+from eventmart.sources.manifest import folder
 
 
 def read_tier(
@@ -28,6 +31,15 @@ def read_tier(
     return reader.parquet(root).where(between_dates("date", start, end))
 
 
+def read_dates(spark: SparkSession, root: str, dates: Iterable[Day], schema: StructType) -> DataFrame:
+    """Some dates of a stored table (None: rows without one); only their folders are listed."""
+    root = root.rstrip("/")
+    there = [path for day in dates if exists(spark, path := f"{root}/{folder('date', as_date(day))}")]
+    if not there:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", root).parquet(*there)
+
+
 def calendar(spark: SparkSession, start: str, end: str, step: str = "1 day") -> DataFrame:
     """One row per step from ``start`` to ``end``; dates for steps of days, else timestamps."""
     if step.split()[-1].startswith("day"):

@@ -6,7 +6,8 @@ the batch jobs, which replace exactly its rows. A micro-batch repeated after a f
 changes nothing, and no event is kept in streaming state.
 
 Each trigger lists the raw root; a file's age plays no role. Files that lie under no run day are logged
-with their number. A file replaced under its old name is not noticed: process its day again then.
+with their number. The stream does not notice a file that was replaced under its old name or has vanished; `catch_up` does, by
+the ledger, which the days done here are entered in as well.
 """
 
 from __future__ import annotations
