@@ -20,9 +20,10 @@ def with_next_event(events: DataFrame) -> DataFrame:
     seconds: among a user's events of one second, all but one are followed by that same second, and
     the one left over by the user's next second. So:
 
-    1. events are counted per user, second and content (combined before the shuffle), and a window
-       gives each of a user's seconds the next one; it sees a second once, however many events it
-       holds;
+    1. events are counted per user, second and content (combined before the shuffle), and each of a user's
+       seconds is given the next one in two windows: within an hour, where a second is one row however many
+       events it holds, and from an hour's last second to the next hour with events, where an hour is one
+       row. So the longest window of a user who is always active has an hour's seconds, or all hours;
     2. events are joined to that by user and second, where the adaptive skew join splits a hot key;
        the second's event with the largest content hash takes the next second;
     3. where that event has identical copies, these are counted, one takes the next second and the
@@ -43,8 +44,7 @@ def with_next_event(events: DataFrame) -> DataFrame:
             F.max_by("_copies", "_content").alias("_last_copies"),
         )
     )
-    user = Window.partitionBy(*(f"_{c}" for c in USER_KEYS)).orderBy(f"_{MOMENT}")
-    seconds = seconds.withColumn("nextEventTimeStamp", F.lead(f"_{MOMENT}").over(user))
+    seconds = _with_next_second(seconds)
 
     same_second = F.lit(True)
     for c in key:
@@ -67,6 +67,22 @@ def with_next_event(events: DataFrame) -> DataFrame:
     return single.unionByName(one_of_copies).unionByName(_other_copies(copied, columns))
 
 
+def _with_next_second(seconds: DataFrame) -> DataFrame:
+    """Distinct seconds of users with the user's next second, by hours first and then from hour to hour."""
+    users, moment, following = [f"_{c}" for c in USER_KEYS], f"_{MOMENT}", "nextEventTimeStamp"
+    hour = Window.partitionBy(*users, "_hour")
+    columns = seconds.columns
+    hourly = seconds.withColumn("_hour", F.floor(F.unix_timestamp(moment) / 3600)).withColumns({
+        following: F.lead(moment).over(hour.orderBy(moment)),
+        "_first": F.min(moment).over(hour.orderBy(moment)),
+    })
+    within = hourly.where(F.col(following).isNotNull())
+    # One row per hour is left; events without a time come first, as an hour of their own.
+    to_next_hour = F.lead("_first").over(Window.partitionBy(*users).orderBy("_hour"))
+    last = hourly.where(F.col(following).isNull()).withColumn(following, to_next_hour)
+    return within.select(*columns, following).unionByName(last.select(*columns, following))
+
+
 def _other_copies(copied: DataFrame, columns: list[str]) -> DataFrame:
     """All copies but one, each followed by its own second."""
     others = F.col("_copies") - 1

@@ -6,7 +6,7 @@ import tempfile
 import uuid
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def _located(spark: SparkSession, path: str):
@@ -69,6 +69,12 @@ def content(spark: SparkSession, path: str) -> str:
     return text
 
 
+def listed_files(spark: SparkSession, folders: list[str]) -> DataFrame:
+    """The files below some folders: path, length, modificationTime; their content is not read."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folders)
+    return found.select("path", "length", "modificationTime")
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder all executors can reach, below ``spark.checkpoint.dir``; whoever owns that folder clears it.
 

@@ -7,21 +7,26 @@ several tasks, and files, and merge small ones.
 
 from __future__ import annotations
 
+import functools
+import logging
 import uuid
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, TimestampType
+from pyspark.sql.types import IntegerType, StructField, StructType, TimestampType
 
-from eventmart.functions import instant
+from eventmart.functions import instant, to_int
 from eventmart.functions.ranges import Day, as_date
 from eventmart.operators.standardize import with_partition_columns
 from eventmart.schemas import TIER1, TIER1_STORED
-from eventmart.sources.files import delete, matching, move
+from eventmart.sources.files import delete, listed_files, matching, move
 from eventmart.sources.manifest import Manifest, folder, value_of
 
-_RUN_FOLDER = r"/(\d{4}-\d{2}-\d{2})/date="
+_LOG = logging.getLogger(__name__)
+_RUN_FOLDER = r"/(\d{4}-\d{2}-\d{2})/(?:date=|\d{2}/)"
 
 
 def _write_by(
@@ -135,22 +140,60 @@ def write_sorted(
     )
 
 
+def _by_schema(spark: SparkSession, paths: list[str]) -> list[tuple[StructType, list[str]]]:
+    """Paths grouped so that the files of a group can be read with one schema.
+
+    Spark reads the footers, in tasks; if they contradict each other, either half is tried alone, a folder at last by
+    its files. Formats change from some run on, so with paths in order of runs this takes few steps.
+    """
+    reader = spark.read.option("mergeSchema", "true").option("recursiveFileLookup", "true")
+    try:
+        return [(reader.parquet(*paths).schema, paths)]
+    except (Py4JJavaError, PySparkException) as error:
+        if "CANNOT_MERGE_SCHEMAS" not in str(error):
+            raise
+    if len(paths) == 1:
+        paths = [row["path"] for row in listed_files(spark, paths).select("path").orderBy("path").collect()]
+    half = len(paths) // 2
+    groups: list[tuple[StructType, list[str]]] = []
+    for schema, part in _by_schema(spark, paths[:half]) + _by_schema(spark, paths[half:]):
+        alike = next((known for known in groups if known[0] == schema), None)
+        if alike:
+            alike[1].extend(part)
+        else:
+            groups.append((schema, list(part)))
+    return groups
+
+
 def relayout(
     spark: SparkSession, src: str, dst: str, tz: str = "UTC", compression: str = "zstd"
 ) -> None:
-    """Gather ``src/<run date>/date=<event date>/`` folders into one root by event date.
+    """Gather ``src/<run date>/date=<event date>/`` or ``src/<run date>/<hour>/`` folders into one root by event date.
 
-    All folders are read in one scan, the run date comes from the path, and files that were small in
-    ``src`` are compacted on the way. Times that older files hold as text are local to ``tz``.
+    The run date comes from the path, and files that were small in ``src`` are compacted on the way. Files
+    of different column types are read by a scan for each of their schemas: times that are text are local to ``tz``, numbers that are text give
+    their whole part, columns that a file lacks are NULL. Files that lie in no run folder keep a NULL run date; a
+    warning says how many there are.
     """
+    folders = sorted(matching(spark, f"{src.rstrip('/')}/*"))
     run = F.regexp_extract(F.col("_metadata.file_path"), _RUN_FOLDER, 1)
-    old = spark.read.option("recursiveFileLookup", "true").parquet(src)
-    types = dict(old.dtypes)
 
-    def typed(column: StructField) -> Column:
-        if isinstance(column.dataType, TimestampType) and types[column.name] == "string":
+    def typed(column: StructField, held: dict[str, str]) -> Column:
+        if column.name not in held:
+            return F.lit(None).cast(column.dataType)
+        if isinstance(column.dataType, TimestampType) and held[column.name] == "string":
             return instant(F.col(column.name).try_cast("timestamp_ntz"), tz)
+        if isinstance(column.dataType, IntegerType) and held[column.name] == "string":
+            return to_int(F.col(column.name))
         return F.col(column.name).try_cast(column.dataType)
 
-    events = old.select(*(typed(c).alias(c.name) for c in TIER1), run.try_cast("date").alias("run_date"))
-    write_tier1(events, dst, compression=compression)
+    stray = listed_files(spark, folders).where(F.regexp_extract("path", _RUN_FOLDER, 1) == "")
+    found = stray.agg(F.count(F.lit(1)).alias("files"), F.min("path").alias("first")).head()
+    if found["files"]:
+        _LOG.warning("%d files lie in no run folder, such as %s", found["files"], found["first"])
+    scans = []
+    for schema, paths in _by_schema(spark, folders):
+        old = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(*paths)
+        held = dict(old.dtypes)
+        scans.append(old.select(*(typed(c, held).alias(c.name) for c in TIER1), run.try_cast("date").alias("run_date")))
+    write_tier1(functools.reduce(DataFrame.unionByName, scans), dst, compression=compression)

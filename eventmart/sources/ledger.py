@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from eventmart.functions.ranges import Day, as_date
 from eventmart.schemas import RAW_DAY_IN_PATH, VENDORS
-from eventmart.sources.files import exists, shared_folder
+from eventmart.sources.files import exists, listed_files, shared_folder
 from eventmart.sources.manifest import folder
 from eventmart.sources.raw import delivered_folders
 
@@ -31,8 +31,7 @@ def raw_files(spark: SparkSession, root: str, days: Sequence[Day]) -> DataFrame:
         return spark.createDataFrame([], _FILE)
     path = F.col("path")
     listed = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folders)
-        .select(
+        listed_files(spark, folders).select(
             F.upper(F.regexp_extract(path, r"/thirdparty-([^/]+)/", 1)).alias("vendor"),
             "path",
             "length",

@@ -216,6 +216,34 @@ def test_relayout(spark, tmp_path, times_as_text):
     ]
 
 
+def test_relayout_of_mixed_types_and_hour_folders(spark, ansi, tmp_path, caplog):
+    """Times as text and as timestamps, amounts as text, a missing column, two formats in one folder, hours, a stray file."""
+    src, dst = tmp_path / "old", str(tmp_path / "new")
+    clock = with_partition_columns(events(spark, [{"when": "2021-01-01 05:00:00"}, {"when": "2021-01-02 06:00:00"}]))
+    texts = clock.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("logTimeStamp", "eventTimeStamp")})
+    texts = texts.withColumn("amount", F.lit("12.7")).drop("campaign", "date", "hour")
+    times = with_instants(clock).drop("date", "hour")
+    texts.write.parquet(f"{src}/2021-01-01/05")
+    texts.withColumn("amount", F.lit("many")).write.parquet(f"{src}/2021-01-01/06")
+    times.write.parquet(f"{src}/2021-01-02/date=2021-01-01")
+    texts.write.parquet(f"{src}/2021-01-02/date=2021-01-02")
+    times.write.parquet(f"{src}/2021-01-03/23")
+    times.write.parquet(f"{src}/elsewhere")
+    with caplog.at_level("WARNING"):
+        relayout(spark, str(src), dst)
+    assert any("files lie in no run folder" in message for message in caplog.messages)
+    back = with_wall_clocks(read_tier(spark, dst, schema=TIER1_STORED))
+    found = rows_of(back, "run_date", "date", "eventTimeStamp", "amount", "campaign")
+    dates = [(day("2021-01-01"), at("2021-01-01 05:00:00")), (day("2021-01-02"), at("2021-01-02 06:00:00"))]
+    wanted = []
+    for run, amount, campaign in (
+        (None, 1, ""), ("2021-01-01", 12, None), ("2021-01-01", None, None), ("2021-01-02", 1, ""), ("2021-01-02", 12, None),
+        ("2021-01-03", 1, ""),
+    ):
+        wanted += [(run and day(run), *date, amount, campaign) for date in dates]
+    assert found == sorted(wanted, key=lambda r: [(v is not None, v) for v in r])
+
+
 def test_tier2_removes_days_without_rows(spark, tmp_path):
     root = str(tmp_path / "mart")
     days = ["2021-01-01", "2021-01-02", "2021-01-03"]

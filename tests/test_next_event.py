@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 from collections import Counter, defaultdict
 
 import pytest
@@ -10,7 +11,7 @@ import pytest
 import eventmart.operators.sequence as sequence
 from eventmart.operators import with_next_event
 from eventmart.operators.sequence import USER_KEYS
-from tests.tables import at, events
+from tests.tables import at, events, rows_of
 
 KEYS = (*USER_KEYS, "eventTimeStamp")
 
@@ -70,6 +71,44 @@ def test_many_copies_are_written_back_in_portions(spark, monkeypatch):
     }
 
 
+def test_no_window_task_holds_all_seconds_of_a_user(spark):
+    """An id that is active in every second of a day: a window task has its hours or an hour's seconds."""
+    from pyspark.sql import functions as F
+
+    moment = F.timestamp_seconds(F.col("id") + 1_609_459_200)
+    keys = [F.lit(c).alias(c) for c in USER_KEYS]
+    frame = spark.range(0, 86_400, 1, 4).select(*keys, moment.alias("eventTimeStamp"))
+    result = with_next_event(frame)
+    gap = F.unix_timestamp("nextEventTimeStamp") - F.unix_timestamp("eventTimeStamp")
+    assert rows_of(result.groupBy(gap.alias("gap")).count()) == [(None, 1), (1, 86_399)]
+
+    hourly = sequence._with_next_second(frame.select(*(F.col(c).alias(f"_{c}") for c in KEYS)))
+    plan = hourly._jdf.queryExecution().executedPlan().toString()
+    dealt = re.findall(r"Exchange hashpartitioning\(([^)]*)\d+\)", plan)
+    assert any("_hour" in keys for keys in dealt)
+    settings = {"spark.sql.shuffle.partitions": "24", "spark.sql.adaptive.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        hourly = sequence._with_next_second(frame.select(*(F.col(c).alias(f"_{c}") for c in KEYS)))
+        sizes = [row["count"] for row in hourly.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert max(sizes) < 86_400 / 3
+
+
+def test_hours_nulls_and_days_between(spark, ansi):
+    rng = random.Random(9)
+    rows = [
+        {"when": f"2021-03-{rng.choice((13, 14, 15))} {rng.randrange(24):02d}:{rng.choice((0, 59)):02d}:00", "cid": rng.choice("ab")}
+        for _ in range(120)
+    ]
+    frame = events(spark, rows)
+    assert found(frame) == plain([tuple(r) for r in frame.select(*KEYS).collect()])
+
+
 def test_a_hot_user_and_second_is_split_over_tasks(spark):
     """A third of all events share one id and one second; the join splits them by skew handling."""
     from pyspark.sql import functions as F

@@ -71,7 +71,7 @@ def operators(spark, lake):
         "slice_count": (ops.slice_count(users, "app_1", "00", "Mon"), 1),
         "post_signup_events": (ops.post_signup_events(users), None),
         "signup_retention": (ops.signup_retention(users), None),
-        "next_event": (ops.with_next_event(events), None),
+        "next_event": (ops.with_next_event(events), None),  # see below
         "daily_sales": (ops.daily_sales(purchases), None),
         "moving_avg": (ops.moving_avg(purchases), None),
         "running_total": (ops.running_total(purchases), None),
@@ -97,6 +97,14 @@ def test_number_of_shuffles(spark, lake):
     assert {n: c for n, (c, _) in counted.items()} == {n: e for n, (_, e) in counted.items()}
 
 
+def test_shuffles_that_next_event_runs(spark):
+    """Events by second, seconds by user and hour, hours by user, and events to their second; what is needed twice is reused."""
+    found = ops.with_next_event(standard_events(spark, SF_DIR))
+    found.collect()
+    lines = plan(found).split("== Initial Plan ==")[0].splitlines()
+    assert sum("Exchange hash" in line and "Reused" not in line for line in lines) == 4
+
+
 def test_windows_see_aggregated_rows_only(spark, lake):
     """Below every window there is an aggregation, so no user's or application's raw rows meet in one task."""
     for name, (frame, _) in operators(spark, lake).items():
