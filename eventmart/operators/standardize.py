@@ -139,6 +139,23 @@ def with_process_time(events: DataFrame, moment: Column | None = None, tz: str =
     return events.withColumns({"processDate": moment, "processHour": hour})
 
 
+#: What may be wrong with a raw line: it does not fit the schema and names no application, it fits but names none, or it names
+#: one but not all of its fields could be read.
+FAULTS = ("unreadable", "no_app", "partly_read")
+
+
+def with_faults(raw: DataFrame, vendor: str) -> DataFrame:
+    """Raw lines with ``fault``, NULL for a line without one, and then their text as ``line``.
+
+    Standardising passes both columns on. The text of a line that fits the schema is written anew from what was read.
+    """
+    nameless, unfit = field(_IDENTITY[vendor][0]).isNull(), F.col("_corrupt_record").isNotNull()
+    unreadable, no_app, partly_read = FAULTS
+    fault = F.when(nameless, F.when(unfit, unreadable).otherwise(no_app)).when(unfit, partly_read)
+    text = F.coalesce("_corrupt_record", F.to_json(F.struct("logTimeStamp", "trackingObject")))
+    return raw.withColumns({"fault": fault, "line": F.when(fault.isNotNull(), text)})
+
+
 def raw_quality(raw: DataFrame, vendor: str) -> DataFrame:
     """One row: raw lines, lines that did not fit the schema, lines that name no application."""
     app = _IDENTITY[vendor][0]

@@ -173,15 +173,26 @@ _RAW = {
 }
 
 
-def raw_lines(spark: SparkSession, sf_dir: str, vendor: str) -> DataFrame:
-    """All of ``events`` as the JSON lines one vendor would deliver."""
-    fields = ", ".join(
+def _fields(vendor: str) -> str:
+    return ", ".join(
         f"'{name}', nvl2({value}, array({value}), NULL)"
         for name, value in ((name, _RAW[vendor][name]) for name in RAW_FIELDS[vendor])
     )
+
+
+def raw_lines(spark: SparkSession, sf_dir: str, vendor: str) -> DataFrame:
+    """All of ``events`` as the JSON lines one vendor would deliver."""
     return _keyed_events(spark, sf_dir).selectExpr(f"""
         to_json(named_struct('logTimeStamp', {_EPOCH_MILLI} + 5999,
-          'trackingObject', named_struct({fields}))) AS value""")
+          'trackingObject', named_struct({_fields(vendor)}))) AS value""")
+
+
+def faulty_lines(spark: SparkSession, sf_dir: str, vendor: str) -> DataFrame:
+    """The same lines with faults: one in 50 is cut off, in another the currency is not in an array."""
+    return _keyed_events(spark, sf_dir).selectExpr("event_id", f"""
+        to_json(named_struct('logTimeStamp', {_EPOCH_MILLI}, 'trackingObject', named_struct({_fields(vendor)}))) AS line""").selectExpr(r"""
+        CASE event_id % 50 WHEN 0 THEN left(line, 60)
+          WHEN 1 THEN regexp_replace(line, 'currency":\\["([A-Z]+)"\\]', 'currency":"$1"') ELSE line END AS value""")
 
 
 def raw_logs(spark: SparkSession, sf_dir: str, vendor: str) -> DataFrame:

@@ -8,6 +8,7 @@ the events were made from, and the events' manifest with the stamps of what the
 from __future__ import annotations
 
 import datetime as dt
+import functools
 import logging
 from collections.abc import Callable, Sequence
 
@@ -16,8 +17,8 @@ from pyspark.sql import functions as F
 
 from eventmart.functions import between_dates
 from eventmart.functions.ranges import Day, as_date
-from eventmart.operators import event_by_user, purchase_by_user, standardize, union_events
-from eventmart.schemas import TIER1_STORED, VENDORS
+from eventmart.operators import FAULTS, event_by_user, purchase_by_user, standardize, with_faults
+from eventmart.schemas import RAW_QUALITY, TIER1_STORED, VENDORS
 from eventmart.sources import (
     Ledger,
     Manifest,
@@ -25,13 +26,16 @@ from eventmart.sources import (
     delivered_days,
     raw_files,
     read_dates,
+    read_quarantine,
     read_raw,
+    read_runs,
     shared_folder,
     stale,
     write_tier1,
     write_tier2,
 )
 from eventmart.sources.claims import LEASE, Claims
+from eventmart.sources.files import delete
 
 _LOG = logging.getLogger(__name__)
 
@@ -45,6 +49,8 @@ class Lake:
         self.events = f"{root}/tier1/event"
         self.event_by_user = f"{root}/tier2/eventByUser"
         self.purchase_by_user = f"{root}/tier2/purchaseByUser"
+        self.quarantine = f"{root}/tier1/quarantine"
+        self.raw_quality = f"{root}/tier1/rawQuality"
         self.ledger = f"{root}/ledger"
         self.due = f"{root}/due"
 
@@ -54,7 +60,8 @@ def standardize_days(
 ) -> None:
     """Raw logs of some run days, of whichever vendors have any, into the event table.
 
-    A day without any raw folder is left as it is stored. The ledger gets the files as they were before they were read: one
+    A day without any raw folder is left as it is stored. Lines that name no application are not events; these, and those of
+    which something could not be read, go to the quarantine in the same pass, and ``raw_quality`` counts all of them. The ledger gets the files as they were before they were read: one
     that changes meanwhile differs from it, and its day is done again.
     """
     files = raw_files(spark, lake.raw, days)
@@ -63,13 +70,38 @@ def standardize_days(
         delivered = delivered_days(spark, vendor, lake.raw, days)
         if delivered:
             raw = read_raw(spark, vendor, lake.raw, delivered)
-            events.append(standardize(raw, vendor, tz))
-            runs.update(delivered)
+            events.append(standardize(with_faults(raw, vendor), vendor, tz))
+            runs.update(map(as_date, delivered))
     if events:
-        write_tier1(union_events(spark, *events), lake.events, runs=sorted(map(as_date, runs)))
+        everything = functools.reduce(DataFrame.unionByName, events)
+        write_tier1(everything, lake.events, runs=sorted(runs), quarantine=lake.quarantine)
+        _count_lines(spark, lake, sorted(runs))
         Ledger(spark, lake.ledger).record(files)
 
 
+def _count_lines(spark: SparkSession, lake: Lake, runs: Sequence[Day]) -> None:
+    """Store, per vendor and run day, how many lines became events and how many have which fault.
+
+    Counted from what is stored, without parsing a line again: a line is an event, or unreadable, or without application.
+    Lines read in part are events as well.
+    """
+    manifest = Manifest(spark, lake.events)
+    stored_events = read_runs(spark, lake.events, manifest.of_runs(runs), TIER1_STORED)
+    kinds = stored_events.select("tracking", "run_date", F.lit("events").alias("kind")).unionByName(
+        read_quarantine(spark, lake.quarantine, runs).select("tracking", "run_date", F.col("fault").alias("kind"))
+    )
+    counts = kinds.groupBy("tracking", "run_date").agg(
+        *(F.count_if(F.col("kind") == kind).alias(kind) for kind in ("events", *FAULTS))
+    )
+    lines = F.col("events") + F.col("unreadable") + F.col("no_app")
+    for run in runs:  # a run that has no lines any more has no counts either
+        delete(spark, f"{lake.raw_quality}/run_date={run}")
+    (
+        counts.withColumn("lines", lines).select(*RAW_QUALITY.names).coalesce(1)
+        .write.partitionBy("run_date").mode("append").parquet(lake.raw_quality)
+    )
+
+
 Mart = tuple[str, Callable[[DataFrame], DataFrame]]
 
 

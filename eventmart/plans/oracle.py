@@ -274,6 +274,12 @@ SELECT "trackingId" AS app_name, cid AS c_id, "osTypeCode" AS os_typecode, count
   "eventDate" AS date
 FROM kept WHERE cid IS NOT NULL
 GROUP BY "trackingId", cid, "osTypeCode", "trackingEventCode", "eventDate", "eventHour" """),
+        "raw_quality": _r("""
+SELECT tracking, count(*) AS lines, count(*) FILTER (app IS NOT NULL AND event_id % 50 <> 0) AS events,
+  count(*) FILTER (event_id % 50 = 0 OR event_id % 50 = 1 AND app IS NULL) AS unreadable,
+  count(*) FILTER (app IS NULL AND event_id % 50 > 1) AS no_app,
+  count(*) FILTER (app IS NOT NULL AND event_id % 50 = 1) AS partly_read, DATE '2024-01-30' AS run_date
+FROM r GROUP BY tracking"""),
         "event_by_user": _m(f"SELECT *, {_parts('event_date')} FROM m"),
         "event_by_user_daily": _e(f"""
 SELECT "trackingId" AS app_name, cid AS c_id, "osTypeCode" AS os_typecode, count(*) AS event_count,

@@ -20,6 +20,7 @@ from eventmart.functions import (
 from eventmart.functions.ranges import as_date
 from eventmart.operators.standardize import field
 from eventmart.plans.adapters import (
+    faulty_lines,
     purchase_mart,
     raw_lines,
     raw_logs,
@@ -28,8 +29,8 @@ from eventmart.plans.adapters import (
     with_instants,
     with_wall_clocks,
 )
-from eventmart.plans.jobs import Lake, catch_up
-from eventmart.schemas import EVENT_BY_USER, RAW_FOLDER, TIER1, TIER1_STORED, VENDORS, stored
+from eventmart.plans.jobs import Lake, catch_up, standardize_days
+from eventmart.schemas import EVENT_BY_USER, RAW_FOLDER, RAW_QUALITY, TIER1, TIER1_STORED, VENDORS, stored
 from eventmart.sources import (
     missing_days,
     read_raw,
@@ -273,6 +274,18 @@ def catch_up_marts(spark, sf_dir):
     return read_tier(spark, lake.event_by_user, schema=stored(EVENT_BY_USER))
 
 
+@query("raw_quality")
+def raw_quality(spark, sf_dir):
+    """Stored counts of lines by fault, after a run over lines some of which are faulty."""
+    root = shared_folder(spark, "lake")
+    lake = Lake(f"{root}/raw", f"{root}/warehouse")
+    for vendor in VENDORS:
+        folder = RAW_FOLDER.format(vendor=vendor.lower(), day=as_date(RUN_DAY))
+        faulty_lines(spark, sf_dir, vendor).write.text(f"{lake.raw}/{folder}")
+    standardize_days(spark, lake, [RUN_DAY])
+    return spark.read.schema(RAW_QUALITY).parquet(lake.raw_quality)
+
+
 # --- marts -----------------------------------------------------------------------------------------
 
 

@@ -146,6 +146,16 @@ TIER1_STORED = T.StructType([
     T.StructField("run_date", T.DateType()),
 ])
 
+RAW_QUALITY = T.StructType([
+    T.StructField("tracking", T.StringType()),
+    T.StructField("lines", T.LongType()),
+    T.StructField("events", T.LongType()),
+    T.StructField("unreadable", T.LongType()),
+    T.StructField("no_app", T.LongType()),
+    T.StructField("partly_read", T.LongType()),
+    T.StructField("run_date", T.DateType()),
+])
+
 EVENT_BY_USER = T.StructType([
     T.StructField("app_name", T.StringType()),
     T.StructField("c_id", T.StringType()),

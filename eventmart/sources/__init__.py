@@ -10,9 +10,9 @@ from eventmart.sources.lake import (
 from eventmart.sources.ledger import Ledger, raw_files
 from eventmart.sources.manifest import Manifest, Stamps, stale
 from eventmart.sources.raw import delivered_days, read_raw
-from eventmart.sources.tiers import calendar, missing_days, read_dates, read_tier
+from eventmart.sources.tiers import calendar, missing_days, read_dates, read_quarantine, read_runs, read_tier
 
 __all__ = [
-    "Ledger", "Manifest", "Stamps", "calendar", "delivered_days", "exists", "missing_days", "raw_files", "read_dates", "read_raw",
-    "read_tier", "relayout", "shared_folder", "stale", "write_sorted", "write_tier1", "write_tier2",
+    "Ledger", "Manifest", "Stamps", "calendar", "delivered_days", "exists", "missing_days", "raw_files", "read_dates",
+    "read_quarantine", "read_raw", "read_runs", "read_tier", "relayout", "shared_folder", "stale", "write_sorted", "write_tier1", "write_tier2",
 ]

@@ -25,19 +25,18 @@ from eventmart.schemas import TIER1, TIER1_STORED
 from eventmart.sources.files import delete, listed_files, matching, move
 from eventmart.sources.manifest import Manifest, folder, value_of
 
+_EVENT = "event"  # the target of rows that go to the event table
 _LOG = logging.getLogger(__name__)
 _RUN_FOLDER = r"/(\d{4}-\d{2}-\d{2})/(?:date=|\d{2}/)"
 
 
-def _write_by(
+def _stage(
     table: DataFrame, partitions: Sequence[str], sort: Sequence[str], root: str, compression: str
-) -> list[str]:
-    """Write into a folder of its own and put the partitions it fills in the place of those in ``root``.
+) -> tuple[str, list[str]]:
+    """Write into a folder of its own beside ``root``; returns it and the partitions it has, as paths below it.
 
-    So only what this write holds is listed, however large the table is. Returns these partitions, as
-    paths below ``root``.
+    These are then put in the place of those in ``root``. So only what this write holds is listed, however large the table is.
     """
-    spark = table.sparkSession
     staged = f"{root.rstrip('/')}-staging/{uuid.uuid4().hex}"
     (
         table.hint("rebalance", *(F.col(c) for c in partitions))
@@ -46,12 +45,19 @@ def _write_by(
         .option("compression", compression)
         .parquet(staged)
     )
-    found = matching(spark, "/".join([staged, *(f"{name}=*" for name in partitions)]))
-    filled = ["/".join(path.rstrip("/").split("/")[-len(partitions):]) for path in found]
-    for partition in filled:
-        move(spark, f"{staged}/{partition}", f"{root.rstrip('/')}/{partition}")
-    delete(spark, staged)
-    return filled
+    found = matching(table.sparkSession, "/".join([staged, *(f"{name}=*" for name in partitions)]))
+    return staged, ["/".join(path.rstrip("/").split("/")[-len(partitions):]) for path in found]
+
+
+def _targets(events: DataFrame, quarantine: str | None) -> DataFrame:
+    """Rows for the event table, and for the lines with a fault rows for the quarantine that carry the line's text."""
+    if quarantine is None:
+        return events.where(F.col("trackingId").isNotNull()).withColumn("target", F.lit(_EVENT))
+    stays = F.when(F.col("trackingId").isNotNull(), F.lit(_EVENT))
+    return events.withColumn("target", F.explode(F.array_compact(F.array(stays, F.col("fault"))))).withColumns({
+        "date": F.when(F.col("target") == _EVENT, F.col("date")),
+        "activityParam": F.when(F.col("target") == _EVENT, F.col("activityParam")).otherwise(F.col("line")),
+    })
 
 
 def write_tier1(
@@ -60,6 +66,7 @@ def write_tier1(
     run_date: Day = None,
     runs: Sequence[Day] = (),
     compression: str = "zstd",
+    quarantine: str | None = None,
 ) -> None:
     """Store standard events below ``root/date=<event date>/run_date=<run>``.
 
@@ -68,11 +75,15 @@ def write_tier1(
     names all runs that ``events`` stands for, also those without rows. Partitions an earlier attempt
     of these runs filled and this one does not are removed afterwards.
 
+    Rows without an application are dropped, unless there is a ``quarantine``: in the same pass, lines with a ``fault`` (see
+    ``with_faults``) are then stored there, below ``run_date=<run>/fault=<fault>``, with their text as ``activityParam``
+    and what could be read of them in the other columns.
+
     The manifest beside the table says which partitions each run has filled, in which version. The named runs' partitions
     get the new version before anything changes, so that what was made from them is known to be stale even
     if this write is cut short.
     """
-    spark = events.sparkSession
+    spark, root = events.sparkSession, root.rstrip("/")
     if run_date is not None:
         events = events.withColumn("run_date", F.lit(as_date(run_date)))
     named = {as_date(run) for run in (run_date, *runs) if run is not None}
@@ -81,15 +92,24 @@ def write_tier1(
     before = manifest.of_runs(named)
     manifest.replace({run: before[run] for run in named if before[run]}, version)
 
-    stored = with_partition_columns(events.where(F.col("trackingId").isNotNull())).select(*TIER1_STORED.names)
+    rows = _targets(with_partition_columns(events), quarantine).select("target", *TIER1_STORED.names)
+    staged, partitions = _stage(rows, ["target", "date", "run_date"], ["trackingId", "eventTimeStamp"], root, compression)
+    if quarantine is not None:
+        for run in named:
+            delete(spark, f"{quarantine}/{folder('run_date', run)}")
     after: dict[Day, set[Day]] = {run: set() for run in named}
-    for partition in _write_by(stored, ["date", "run_date"], ["trackingId", "eventTimeStamp"], root, compression):
-        day, run = (value_of(part) for part in partition.split("/"))
-        after.setdefault(run, set()).add(day)
+    for partition in partitions:
+        target, day, run = partition.split("/")
+        if target == f"target={_EVENT}":
+            move(spark, f"{staged}/{partition}", f"{root}/{day}/{run}")
+            after.setdefault(value_of(run), set()).add(value_of(day))
+        else:
+            move(spark, f"{staged}/{partition}", f"{quarantine}/{run}/{target.replace('target', 'fault')}")
+    delete(spark, staged)
     before |= manifest.of_runs(set(after) - named)
     for run, days in before.items():
         for day in days - after[run]:
-            delete(spark, f"{root.rstrip('/')}/{folder('date', day)}/{folder('run_date', run)}")
+            delete(spark, f"{root}/{folder('date', day)}/{folder('run_date', run)}")
     manifest.replace(after, version)
 
 
@@ -104,9 +124,13 @@ def write_tier2(
     """
     order = ["app_name", "os_typecode", "event_hour", "c_id"]
     dated = mart.withColumn("date", F.col("event_date"))
-    filled = set(_write_by(dated, ["date"], [c for c in order if c in mart.columns], root, compression))
-    for partition in {folder("date", as_date(day)) for day in days} - filled:
-        delete(mart.sparkSession, f"{root.rstrip('/')}/{partition}")
+    spark, root = mart.sparkSession, root.rstrip("/")
+    staged, filled = _stage(dated, ["date"], [c for c in order if c in mart.columns], root, compression)
+    for partition in filled:
+        move(spark, f"{staged}/{partition}", f"{root}/{partition}")
+    delete(spark, staged)
+    for partition in {folder("date", as_date(day)) for day in days} - set(filled):
+        delete(spark, f"{root}/{partition}")
 
 
 def write_sorted(

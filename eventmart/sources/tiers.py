@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +40,24 @@ def read_dates(spark: SparkSession, root: str, dates: Iterable[Day], schema: Str
     return spark.read.schema(schema).option("basePath", root).parquet(*there)
 
 
+def read_runs(spark: SparkSession, root: str, dates: Mapping[Day, Iterable[Day]], schema: StructType) -> DataFrame:
+    """What some runs have stored: ``dates`` says, as the manifest does, which dates each has filled."""
+    root = root.rstrip("/")
+    there = [f"{root}/{folder('date', day)}/{folder('run_date', run)}" for run, days in dates.items() for day in days]
+    if not there:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", root).parquet(*there)
+
+
+def read_quarantine(spark: SparkSession, root: str, runs: Iterable[Day]) -> DataFrame:
+    """Raw lines with a fault of some runs: tracking, line, run_date, fault; only their folders are listed."""
+    root = root.rstrip("/")
+    there = [path for run in runs if exists(spark, path := f"{root}/{folder('run_date', as_date(run))}")]
+    schema = "tracking STRING, activityParam STRING, run_date DATE, fault STRING"
+    rows = spark.read.schema(schema).option("basePath", root).parquet(*there) if there else spark.createDataFrame([], schema)
+    return rows.withColumnRenamed("activityParam", "line")
+
+
 def calendar(spark: SparkSession, start: str, end: str, step: str = "1 day") -> DataFrame:
     """One row per step from ``start`` to ``end``; dates for steps of days, else timestamps."""
     if step.split()[-1].startswith("day"):
