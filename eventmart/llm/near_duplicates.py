@@ -99,7 +99,7 @@ def _throw(elements: list[np.ndarray], weights: list[np.ndarray], reach: np.ndar
             state, rank, own, top = state[near], rank[near], own[near], top[near]
             place = _mix(state ^ np.uint64(0xA0761D6478BD642F))
             hit = low + (place >> np.uint64(11)).astype(np.float64) * (2.0**-53 * width) < top
-            slots.append(own[hit] * k + (place[hit] & np.uint64(0x7FF)).astype(np.int64) * k // 2048)
+            slots.append(own[hit] * k + (_mix(place[hit] ^ np.uint64(0x2545F4914F6CDD1D)) % np.uint64(k)).astype(np.int64))
             ranks.append(rank[hit])
             names.append(state[hit])
         low, width, strip = low + width, max(low + width, 1.0), strip + 1
