@@ -23,6 +23,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,12 +35,12 @@ TOP = 2000
 #: A candidate inside a longer one that occurs this many hundredths as often is dropped.
 INSIDE = 50
 
-TRIE_BYTES = 1 << 24
+TRIE_BYTES = 1 << 23
 TRIE_SLOTS = 1 << 25
-BLOCK = 1 << 22
-_KEPT = 200_000
+BLOCK = 1 << 20
+_KEPT = 100_000
 
-_FOUND = "longer boolean, lang string, phrase string, n long"
+_FOUND = "lang string, phrase string, n long"  # a null language: language and phrase, of a key of the trie
 _BLANK, _BREAK = 0x20, 0x0A
 # A-Z to lower case, tab to blank, and what ends a piece to a line feed.
 _PLAIN = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz \n\n\n\n\n\n\n\n\n")
@@ -52,34 +53,27 @@ class Trie:
     smallest to their largest code; the only children of the others fill what these leave free, then slots behind.
     """
 
-    def __init__(self, keys: Iterable[bytes]):
-        keys = list(keys)
-        frequency = np.bincount(np.frombuffer(b"".join(keys), np.uint8), minlength=256)
-        order = np.argsort(-frequency, kind="stable")
-        self.codes = np.zeros(256, np.int32)  # 0: in no key
+    def __init__(self, keys: pa.Array):
+        self.keys = keys = keys.take(pc.sort_indices(keys))
+        lengths = pc.binary_length(keys).to_numpy(zero_copy_only=False).astype(np.int64)
+        text = np.frombuffer(keys.buffers()[2], np.uint8)[: lengths.sum()]
+        frequency = np.bincount(text, minlength=256)
         used = int((frequency > 0).sum())
-        self.codes[order[:used]] = np.arange(1, used + 1)
-        rename = np.where(frequency > 0, self.codes - 1, 0).astype(np.uint8).tobytes()
-        renamed = [key.translate(rename) for key in keys]
-        by_code = sorted(range(len(keys)), key=renamed.__getitem__)
-        parent, code, node_of = self._nodes([renamed[k] for k in by_code])
+        self.codes = np.zeros(256, np.int32)  # 0: in no key
+        self.codes[np.argsort(-frequency, kind="stable")[:used]] = np.arange(1, used + 1)
+        parent, code, node_of = self._nodes(text, lengths)
         slot = self._place(parent, code)
-        accepting = np.full(self.base.size, -1, np.int32)
-        accepting[slot[node_of]] = by_code
-        self.accepting = accepting
-        self.keys = keys
+        self.accepting = np.full(self.base.size, -1, np.int32)
+        self.accepting[slot[node_of]] = np.arange(len(keys))
 
-    @staticmethod
-    def _nodes(keys: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def _nodes(self, text: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Parent and code of every node, the root first, and the node where each of the sorted keys ends."""
-        text = np.frombuffer(b"".join(keys), np.uint8)
-        lengths = np.fromiter(map(len, keys), np.int64, len(keys))
         begin = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-        at = np.zeros(len(keys), np.int64)
-        parents, codes, count, depth = [np.zeros(1, np.int64)], [np.zeros(1, np.int32)], 1, 0
+        at = np.zeros(lengths.size, np.int32)
+        parents, codes, count, depth = [np.zeros(1, np.int32)], [np.zeros(1, np.int32)], 1, 0
         live = np.flatnonzero(lengths > 0)
         while live.size:
-            letters = text[begin[live] + depth].astype(np.int32) + 1
+            letters = self.codes[text[begin[live] + depth]]
             new = np.ones(live.size, bool)
             new[1:] = (at[live[1:]] != at[live[:-1]]) | (letters[1:] != letters[:-1])
             parents.append(at[live[new]])
@@ -94,11 +88,11 @@ class Trie:
         """Slots of all nodes; sets base and check."""
         n = parent.size
         children = np.bincount(parent[1:], minlength=n)
-        # Children of a node lie side by side in the order of their codes.
-        first = np.full(n, -1, np.int64)
-        first[parent[1:][::-1]] = np.arange(n - 1, 0, -1)
         branching = np.flatnonzero(children > 1)
-        low, high = code[first[branching]], code[first[branching] + children[branching] - 1]
+        low, high = np.full(n, 256, np.int32), np.zeros(n, np.int32)
+        np.minimum.at(low, parent[1:], code[1:])
+        np.maximum.at(high, parent[1:], code[1:])
+        low, high = low[branching], high[branching]
         spans = (high - low + 1).astype(np.int64)
         starts = 1 + np.concatenate([[0], np.cumsum(spans)])
         base = np.zeros(n, np.int64)
@@ -151,14 +145,15 @@ class Trie:
             which, place, states = which[inside], place[inside], states[inside]
 
 
-def tries(keys: list[bytes], slots: int = TRIE_SLOTS) -> Iterator[Trie]:
-    """Tries of at most so many slots over all keys; one key alone has as many as it has bytes."""
+def tries(keys: pa.Array, slots: int = TRIE_SLOTS) -> Iterator[Trie]:
+    """Tries of at most so many slots over all keys (binary); one key alone has as many as it has bytes."""
     trie = Trie(keys)
     if trie.base.size <= slots or len(keys) == 1:
         yield trie
     else:
-        yield from tries(keys[::2], slots)
-        yield from tries(keys[1::2], slots)
+        half = len(keys) // 2
+        yield from tries(trie.keys[:half], slots)
+        yield from tries(trie.keys[half:], slots)
 
 
 def _blocks(rows: Iterable[pa.RecordBatch], size: int, further: int) -> Iterator[tuple[str, bytes, int]]:
@@ -192,18 +187,21 @@ def _blocks(rows: Iterable[pa.RecordBatch], size: int, further: int) -> Iterator
 
 def _spaced(text: bytes, own: int) -> tuple[bytes, int]:
     """The text with one blank between the words of a piece and one break between pieces, and how many words are its own."""
-    def tidy(part: bytes) -> bytes:
-        return re.sub(rb" {2,}", b" ", re.sub(rb"[ \n]*\n[ \n]*", b"\n", part)).lstrip(b" \n")
+    own_words = len(text[:own].split()) if own < len(text) else -1
+    for many, one in ((b"  ", b" "), (b" \n", b"\n"), (b"\n ", b"\n"), (b"\n\n", b"\n")):
+        while many in text:
+            text = text.replace(many, one)
+    return text.lstrip(b" \n"), own_words
+
 
-    return tidy(text), len(text[:own].split()) if own < len(text) else -1
+def _table(lang: str | None, phrases: pa.Array, counts) -> pa.RecordBatch:
+    langs = pa.repeat(pa.scalar(lang, pa.string()), len(phrases))
+    return pa.RecordBatch.from_arrays([langs, phrases.cast(pa.string()), pa.array(counts, pa.int64())], ["lang", "phrase", "n"])
 
 
-def _table(longer: bool, lang: str, counted: Iterable[tuple[bytes, int]]) -> pa.RecordBatch:
-    counted = list(counted)
-    phrases = pa.array([phrase for phrase, _ in counted], pa.binary()).cast(pa.string())
-    columns = [pa.array([longer] * len(counted), pa.bool_()), pa.array([lang] * len(counted), pa.string()), phrases,
-               pa.array([n for _, n in counted], pa.int64())]
-    return pa.RecordBatch.from_arrays(columns, ["longer", "lang", "phrase", "n"])
+def _extensions(extended: dict[str, Counter]) -> Iterator[pa.RecordBatch]:
+    for lang, counts in extended.items():
+        yield _table(lang, pa.array(counts.keys(), pa.binary()), list(counts.values()))
 
 
 def _scanner(trie, length: int, extends: bool, block: int, kept: int):
@@ -226,7 +224,7 @@ def _scanner(trie, length: int, extends: bool, block: int, kept: int):
             n_own = ends.size if own_words < 0 else own_words
             longer = extended.setdefault(lang, Counter())
             if known is None:
-                longer.update(text[a:b] for a, b in zip(starts[:n_own].tolist(), ends[:n_own].tolist()))
+                longer.update(text[:-1].replace(b"\n", b" ").split(b" ")[:n_own])
                 longer[b""] += n_own
             elif (state := known.after(_prefix(lang))) >= 0:
                 found = list(known.accepted(state, letters, starts[:n_own]))
@@ -238,15 +236,14 @@ def _scanner(trie, length: int, extends: bool, block: int, kept: int):
                 which = which[letters[ends[which + length - 1]] == _BLANK]
                 longer.update(text[a:b] for a, b in zip(starts[which].tolist(), ends[which + length].tolist()))
             if sum(map(len, extended.values())) > kept:
-                yield from (_table(True, of, counts.items()) for of, counts in extended.items())
+                yield from _extensions(extended)
                 extended = {}
-        yield from (_table(True, of, counts.items()) for of, counts in extended.items())
+        yield from _extensions(extended)
         if known is not None:
-            by_lang: dict[str, list] = {}
-            for key in np.flatnonzero(sums).tolist():
-                lang, _, phrase = known.keys[key].rpartition(b"\n")
-                by_lang.setdefault(lang.decode(), []).append((phrase, int(sums[key])))
-            yield from (_table(False, of, counted) for of, counted in by_lang.items())
+            counted = np.flatnonzero(sums)
+            for first in range(0, counted.size, kept):
+                some = counted[first:first + kept]
+                yield _table(None, known.keys.take(pa.array(some)), sums[some])
 
     return scan
 
@@ -255,48 +252,47 @@ def _prefix(lang: str) -> bytes:
     return lang.encode() + b"\n"
 
 
-def _scan(texts: DataFrame, trie, length: int, extends: bool, min_count: int) -> DataFrame:
-    """Stored sums over all tasks of one scan, from ``min_count`` on."""
+def _scan(texts: DataFrame, trie, length: int, extends: bool, min_count: int) -> tuple[DataFrame, DataFrame]:
+    """The trie's keys with their counts, and the phrases one word longer (lang, phrase, n): sums over all tasks of a scan
+    from ``min_count`` on, stored."""
     found = texts.mapInArrow(_scanner(trie, length, extends, BLOCK, _KEPT), _FOUND)
-    summed = found.groupBy("longer", "lang", "phrase").agg(F.sum("n").alias("n"))
-    return stored(summed.where(F.col("n") >= min_count), f"phrases-{length}")
+    summed = found.groupBy("lang", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
+    summed = stored(summed, f"phrases-{length}")
+    phrase = F.substring_index("phrase", "\n", -1)
+    lang = F.substring(F.col("phrase"), F.lit(1), F.char_length("phrase") - F.char_length(phrase) - 1)
+    counted = summed.where("lang IS NULL").select(lang.alias("lang"), phrase.alias("phrase"), "n")
+    return counted, summed.where("lang IS NOT NULL")
 
 
 def _tries_of(candidates: DataFrame) -> Iterator[Trie]:
     """Tries over all rows of a stored table (lang, phrase), each from a bounded part of them."""
-    size = F.octet_length("lang") + F.octet_length("phrase") + 1
-    total = candidates.agg(F.sum(size)).head()[0] or 0
+    key = F.concat("lang", F.lit("\n"), "phrase").cast("binary")
+    total = candidates.agg(F.sum(F.octet_length(key))).head()[0] or 0
     parts = -(-total // TRIE_BYTES)
     for part in range(parts):
         mine = candidates.where(F.pmod(F.xxhash64("lang", "phrase"), F.lit(parts)) == part)
-        rows = mine.select("lang", "phrase").toArrow()
-        keys = [_prefix(lang) + phrase.encode() for lang, phrase in zip(*(c.to_pylist() for c in rows.columns))]
-        if keys:
+        keys = mine.select(key.alias("key")).toArrow().column("key").combine_chunks()
+        if len(keys):
             yield from tries(keys)
 
 
 def frequent_phrases(docs: DataFrame, longest: int = LONGEST, min_count: int = MIN_COUNT) -> tuple[DataFrame, DataFrame]:
     """Phrases of up to ``longest`` words and how often they occur (lang, phrase, size, n), and all words by language (lang, n)."""
     texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
-    first = _scan(texts, None, 0, True, min_count)
-    totals = first.where("phrase = ''").select("lang", "n")
-    candidates, levels = first.where("phrase != ''"), []
+    _, words = _scan(texts, None, 0, True, min_count)
+    totals, candidates = words.where("phrase = ''").select("lang", "n"), words.where("phrase != ''")
+    counts = candidates.limit(0).select("lang", "phrase", F.lit(1).alias("size"), "n")
     for length in range(1, longest + 1):
-        scans = []
+        extended = None
         for trie in _tries_of(candidates):
             sent = docs.sparkSession.sparkContext.broadcast(trie)
-            scans.append(_scan(texts, sent, length, length < longest, min_count))
+            counted, longer = _scan(texts, sent, length, length < longest, min_count)
             sent.unpersist()
-        if not scans:
+            counts = counts.unionByName(counted.select("lang", "phrase", F.lit(length).alias("size"), "n"))
+            extended = longer if extended is None else extended.unionByName(longer)
+        if extended is None:
             break
-        found = scans[0]
-        for scan in scans[1:]:
-            found = found.unionByName(scan)
-        levels.append(found.where("NOT longer").select("lang", "phrase", F.lit(length).alias("size"), "n"))
-        candidates = found.where("longer")
-    counts = levels[0] if levels else totals.limit(0).select("lang", F.lit("").alias("phrase"), F.lit(1).alias("size"), "n")
-    for level in levels[1:]:
-        counts = counts.unionByName(level)
+        candidates = extended
     return counts, totals
 
 
