@@ -15,8 +15,11 @@ Join. Equal texts are one node. Nodes that agree in a band of coordinates share
 similarity 0.8 meets with probability 0.99997. Within a bucket every node is compared with the smallest one, exactly. Where a
 bucket then holds several components, its nodes are three times more compared with another of its nodes, drawn by hash. The
 nodes of buckets that still do are joined exactly: two linked sets share an element of both their prefixes, the rarest
-elements (a ninth of the lighter set's weight, a fifth of the heavier's), so only pairs of unlike components that do so are compared. No pair
-that meets in a bucket is missed, a group of thousands of copies takes a few comparisons per node and bucket, and a text with
+elements (a ninth of the lighter set's weight, a fifth of the heavier's), so only pairs of unlike components that do so are compared.
+Where an element is shared by more than a few nodes, their sketches are compared first: a byte for each of as many places as
+the set has weight, so that the places that differ are at most the weight that does. Of pairs alike by 0.5 to 0.7, which a large
+group of near copies has very many of, few get through, and none that is linked is left out. The look itself is still at all pairs
+that share such an element: nothing separates these pairs from linked ones by key. No pair that meets in a bucket is missed, a group of thousands of copies takes a few comparisons per node and bucket, and a text with
 many words of its own, whose prefix nobody shares, takes none.
 Nothing is sampled or capped. Signatures and comparisons run in numpy per task; hot buckets and nodes are partial minima
 before the shuffle, and the joins back to them are left to adaptive execution to split.
@@ -45,6 +48,7 @@ BANDS, ROWS = 20, 4
 ROUNDS = 3  # further comparisons of each node with one other per bucket
 _TEXTS = 128  # texts whose darts are thrown together
 _BROADCAST_NODES = 1_000_000  # about 50 bytes each
+_FEW = 32  # nodes that share an element and are compared without a look at their sketches
 
 
 # --- signatures ----------------------------------------------------------------------------------
@@ -113,6 +117,20 @@ def _throw(elements: list[np.ndarray], weights: list[np.ndarray], reach: np.ndar
     return dart.reshape(-1, k), thrown.reshape(-1, k)
 
 
+def sketch(elements: np.ndarray, weights: np.ndarray, places: int) -> np.ndarray:
+    """A set's elements and weights, dealt to so many places, a power of two from 16, of a byte each; eight places are a number.
+
+    The byte is the exclusive or of hashes, so sets that differ in m elements or weights differ in at most m places, and half
+    as many places are the exclusive or of both halves.
+    """
+    hashed = _mix(elements ^ np.uint64(0xE7037ED1A0B428DB)) + weights.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    hashed = _mix(hashed)
+    out = np.zeros(places, np.uint8)
+    at = _mix(elements) & np.uint64(places - 1)
+    np.bitwise_xor.at(out, at.astype(np.int64), (hashed >> np.uint64(32)).astype(np.uint8))
+    return out.view("<i8")
+
+
 def bands(signature: np.ndarray, n: int, rows: int) -> np.ndarray:
     """A number for each band of each signature."""
     parts = signature.reshape(len(signature), n, rows)
@@ -180,6 +198,52 @@ def _elements(documents: DataFrame, nodes: DataFrame, weights: str) -> DataFrame
     return found.mapInArrow(run, "node string, elements binary, weights binary").dropDuplicates(["node"])
 
 
+def _read(e: bytes, w: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Elements and weights from their bytes."""
+    ids = np.frombuffer(e, np.uint64)
+    return ids, np.frombuffer(w, "<i4").astype(np.int64) if w else np.ones(len(ids), np.int64)
+
+
+def _sketched(elements: DataFrame) -> DataFrame:
+    """Per node: a sketch of as many places as the total weight, up to twice that, and the same folded to half of them."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            whole = []
+            for e, w in zip(batch["elements"], batch["weights"], strict=True):
+                ids, weight = _read(e, w)
+                whole.append(sketch(ids, weight, max(16, 1 << (int(weight.sum()) - 1).bit_length())))
+            halves = [x[: len(x) // 2] ^ x[len(x) // 2 :] for x in whole]
+            yield pd.DataFrame({"node": batch["node"], "sketch": whole, "folded": halves})
+
+    return elements.select("node", "elements", "weights").mapInPandas(run, "node string, sketch array<long>, folded array<long>")
+
+
+def _places(a: Column, b: Column) -> Column:
+    """In how many places two sketches of one size differ."""
+
+    def differing(x: Column, y: Column) -> Column:
+        bits = x.bitwiseXOR(y)
+        for by in (4, 2, 1):
+            bits = bits.bitwiseOR(F.shiftrightunsigned(bits, by))
+        return F.bit_count(bits.bitwiseAND(F.lit(0x0101010101010101)))
+
+    return F.aggregate(F.zip_with(a, b, differing), F.lit(0), lambda total, n: total + n)
+
+
+def _can_link(a: str, b: str) -> Column:
+    """Whether two sets of near sizes may be alike enough, by columns total, sketch and folded with ``a`` and ``b`` after their names.
+
+    Linked sets differ by at most a ninth of their weights, and each place where sketches differ is a weight of 1 at least.
+    """
+    (total_a, sketch_a, folded_a), (total_b, sketch_b, folded_b) = (
+        [F.col(name + end) for name in ("total", "sketch", "folded")] for end in (a, b)
+    )
+    most = (total_a + total_b) * ((1 - SIMILARITY) / (1 + SIMILARITY)) + 1e-6
+    less_a, less_b = F.size(sketch_a) < F.size(sketch_b), F.size(sketch_b) < F.size(sketch_a)
+    return _places(F.when(less_b, folded_a).otherwise(sketch_a), F.when(less_a, folded_b).otherwise(sketch_b)) <= most
+
+
 def similarity(a: np.ndarray, wa: np.ndarray, b: np.ndarray, wb: np.ndarray) -> float:
     """Weighted Jaccard similarity of two sets of ascending elements."""
     _, i, j = np.intersect1d(a, b, assume_unique=True, return_indices=True)
@@ -192,11 +256,7 @@ def _compared(pairs: DataFrame, elements: DataFrame) -> DataFrame:
 
     @F.pandas_udf("double")
     def compare(ea: pd.Series, wa: pd.Series, eb: pd.Series, wb: pd.Series) -> pd.Series:
-        def read(e: bytes, w: bytes) -> tuple[np.ndarray, np.ndarray]:
-            ids = np.frombuffer(e, np.uint64)
-            return ids, np.frombuffer(w, "<i4").astype(np.int64) if w else np.ones(len(ids), np.int64)
-
-        return pd.Series([similarity(*read(*x[:2]), *read(*x[2:])) for x in zip(ea, wa, eb, wb, strict=True)], dtype=float)
+        return pd.Series([similarity(*_read(*x[:2]), *_read(*x[2:])) for x in zip(ea, wa, eb, wb, strict=True)], dtype=float)
 
     def side(name: str) -> DataFrame:
         return elements.select(F.col("node").alias(name), F.col("elements").alias(f"e{name}"), F.col("weights").alias(f"w{name}"))
@@ -241,7 +301,7 @@ def _mixed(shared: DataFrame, found: DataFrame) -> DataFrame:
 def _rest(mixed: DataFrame, elements: DataFrame) -> DataFrame:
     """All links between nodes of unlike components, among the nodes of the given buckets."""
     nodes = stored(mixed.select("node", "component").distinct(), "open-nodes")
-    rows = stored(_exploded(elements.join(nodes, "node")), "open-elements")
+    rows = stored(_exploded(elements.select("node", "elements", "weights").join(nodes, "node")), "open-elements")
     rarity = rows.groupBy("element").agg(
         F.count(F.lit(1)).alias("df"), F.min("component").alias("x"), F.max("component").alias("y")
     )
@@ -253,16 +313,23 @@ def _rest(mixed: DataFrame, elements: DataFrame) -> DataFrame:
         .withColumn("before", F.coalesce(F.sum("weight").over(rarest_first), F.lit(0)))
         .withColumn("left", (F.col("total") - F.col("before")) / F.col("total") + 1e-9)
         .where((F.col("left") >= SIMILARITY) & (F.col("x") != F.col("y")))
-        .select("element", "node", "component", "total", (F.col("left") >= 2 * SIMILARITY / (1 + SIMILARITY)).alias("short"))
+        .select("element", "df", "node", "component", "total", (F.col("left") >= 2 * SIMILARITY / (1 + SIMILARITY)).alias("short"))
     )
     prefix = stored(prefix, "prefixes")
-    other = prefix.select("element", F.col("node").alias("b"), F.col("component").alias("other"), F.col("total").alias("also"))
-    pairs = prefix.where("short").withColumnRenamed("node", "a").join(other, "element").where(
-        (F.col("component") != F.col("other")) & (F.col("total") <= F.col("also"))
-        & (F.col("total") >= F.lit(SIMILARITY - 1e-9) * F.col("also"))
-    )
-    pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    return _compared(pairs.distinct(), elements).where(F.col("similarity") >= SIMILARITY).select("a", "b")
+    few, many = prefix.where(F.col("df") <= _FEW), prefix.where(F.col("df") > _FEW)
+    sketches = _sketched(elements.join(many.select("node").distinct(), "node", "left_semi"))
+    found = _sharing(few, F.lit(True)).unionByName(_sharing(stored(many.join(sketches, "node"), "sketches"), _can_link("a", "b")))
+    return _compared(found.distinct(), elements).where(F.col("similarity") >= SIMILARITY).select("a", "b")
+
+
+def _sharing(prefix: DataFrame, also: Column) -> DataFrame:
+    """Pairs (a, b) of nodes that share an element of the prefixes, of unlike components and near sizes."""
+    carried = [c for c in prefix.columns if c not in ("element", "df", "short")]
+    one, other = (prefix.select("element", "short", *(F.col(c).alias(c + end) for c in carried)) for end in ("a", "b"))
+    near_sizes = (F.col("totala") <= F.col("totalb")) & (F.col("totala") >= F.lit(SIMILARITY - 1e-9) * F.col("totalb"))
+    pairs = one.where("short").drop("short").join(other.drop("short"), "element")
+    pairs = pairs.where((F.col("componenta") != F.col("componentb")) & near_sizes & also)
+    return pairs.select(F.greatest("nodea", "nodeb").alias("a"), F.least("nodea", "nodeb").alias("b"))
 
 
 def _exploded(elements: DataFrame) -> DataFrame:

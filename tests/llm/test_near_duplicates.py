@@ -93,6 +93,32 @@ def test_coordinates_agree_as_often_as_sets_are_alike():
     assert abs(alike - np.minimum(a, b).sum() / np.maximum(a, b).sum()) < 0.03
 
 
+def test_sketches_differ_in_no_more_places_than_sets():
+    rng = np.random.default_rng(4)
+    for n in (1, 5, 40, 700):
+        a = np.unique(rng.integers(0, 2**60, n).astype(np.uint64))
+        for changed in range(0, n + 1, max(1, n // 6)):
+            b = np.unique(np.concatenate([a[changed:], rng.integers(0, 2**60, changed // 2).astype(np.uint64)]))
+            wa, wb = np.ones(len(a), np.int64), np.ones(len(b), np.int64)
+            wb[: changed // 3] = 3
+            weight_a, weight_b = dict(zip(a.tolist(), wa, strict=True)), dict(zip(b.tolist(), wb, strict=True))
+            apart = sum(abs(weight_a.get(e, 0) - weight_b.get(e, 0)) for e in weight_a | weight_b)
+            for places in (16, 64, 1024):
+                x, y = nd.sketch(a, wa, places), nd.sketch(b, wb, places)
+                assert (x.view(np.uint8) != y.view(np.uint8)).sum() <= apart
+                wide = nd.sketch(a, wa, 2 * places)
+                assert (wide[: len(x)] ^ wide[len(x) :] == x).all()
+
+
+def test_places_are_counted_by_bytes(spark):
+    rng = np.random.default_rng(5)
+    rows = [(rng.integers(-(2**63), 2**63 - 1, 4), rng.integers(-(2**63), 2**63 - 1, 4)) for _ in range(20)]
+    rows = [(a, np.where(rng.random(4) < 0.5, a, b)) for a, b in rows] + [(np.full(4, -1), np.zeros(4, np.int64))]
+    df = spark.createDataFrame([(a.tolist(), b.tolist()) for a, b in rows], "a array<long>, b array<long>")
+    got = [r["n"] for r in df.select(nd._places(df["a"], df["b"]).alias("n")).collect()]
+    assert got == [int((a.view(np.uint8) != b.view(np.uint8)).sum()) for a, b in rows]
+
+
 def test_counts_as_weights(spark):
     rows = [(1, "of the " * 300 + prose(1, 20), "en", "s", 1), (2, "of the " * 300 + prose(2, 20), "en", "s", 1)]
     df = documents_df(spark, rows)
