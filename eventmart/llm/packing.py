@@ -23,12 +23,14 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventmart.llm.common import gapless, stored
 
-_KEPT_WORDS = 1_000_000  # encoded words a worker remembers, at most; when full it starts afresh
+_KEPT_WORDS = 150_000  # encoded words a worker remembers, at most, about 40 MB; when full it starts afresh
+_TEXTS = 256  # texts that are Python objects at a time
 _KEPT_LENGTH = 40  # longer words are encoded each time
 _RANK_BITS = 48
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?*#$%&|]*)")
@@ -103,21 +105,24 @@ def pieces(documents: DataFrame, tokenizer: str, capacity: int, end_id: int, wit
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<long>" * with_ids
     end = np.array([end_id], "<u4").tobytes()
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    names = [field.split()[0] for field in schema.split(", ")]
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer)
+        types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())][: len(names)]
         for batch in batches:
-            rows = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-                ids = encode(text or "") + end
-                for i, at in enumerate(range(0, len(ids) // 4, capacity)):
-                    part = ids[4 * at : 4 * (at + capacity)]
-                    row = (None if pd.isna(doc_id) else int(doc_id), i, at, len(part) // 4, zlib.crc32(part))
-                    rows.append(row + (np.frombuffer(part, "<u4").astype(np.int64),) if with_ids else row)
-            names = [field.split()[0] for field in schema.split(", ")]
-            out = pd.DataFrame(rows, columns=names)
-            yield out.astype({"doc_id": "Int64", "piece": "int32"})
-
-    return documents.select("doc_id", "text").mapInPandas(cut, schema)
+            for first in range(0, batch.num_rows, _TEXTS):
+                part = batch.slice(first, _TEXTS)
+                rows = []
+                for doc_id, text in zip(part.column("doc_id").to_pylist(), part.column("text"), strict=True):
+                    ids = encode(text.as_py() or "") + end
+                    for i, at in enumerate(range(0, len(ids) // 4, capacity)):
+                        piece = ids[4 * at : 4 * (at + capacity)]
+                        row = (doc_id, i, at, len(piece) // 4, zlib.crc32(piece))
+                        rows.append(row + (np.frombuffer(piece, "<u4").astype(np.int64),) if with_ids else row)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types, strict=True)], names)
+
+    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(cut, schema)
 
 
 def fullest(available: list[tuple[int, int]], room: int) -> list[int]:
