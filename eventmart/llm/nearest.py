@@ -2,13 +2,16 @@
 
 One more coordinate, sqrt(M^2 - |x|^2), 0 for a query, makes the largest inner product the smallest distance. Vectors so
 lengthened are rotated at random and put in lists, by the nearest of some centres fitted on a bounded sample. A query
-visits the ``probes`` lists nearest to it. In a list the distance grows by blocks of columns; after each block a candidate
-is abandoned if the hypothesis that it lies within the query's present radius is rejected by the distance so far, which
-estimates the whole one as rotated columns are alike. What survives all blocks is scored exactly, in double precision
-on the original vectors, and equal scores are ordered by vec_id.
-
-Every vector is in exactly one list. Lists are cut into parts of about ``_PART`` vectors and the queries of a list into
-parts of about ``_QUERIES``; each pair of parts is a group of bounded size, however large a list is. A query that finds
+visits the ``probes`` lists nearest to it, the very nearest first: its ``k``-th best score there is the radius that it takes along
+to the others. In a list the distance grows by blocks of columns; after each block a candidate is abandoned if the
+hypothesis that it lies within the query's present radius is rejected by the distance so far, which estimates the whole
+one as rotated columns are alike: of d columns, c hold about c/d of a distance, with a relative error of its root near
+sqrt((1 - c/d) / 2c). What survives all blocks is scored exactly, in double precision on the original vectors, and equal
+scores are ordered by vec_id.
+
+Every vector is in exactly one list. Lists are cut by numbers of stored rows into parts of about ``_PART`` vectors, and the queries
+of a list into parts of about ``_QUERIES``; each pair of parts is a group of bounded size, however large a list is and
+however often a row is repeated. A query that finds
 fewer neighbours than there are, as its lists hold too few, visits all lists.
 
 Null vectors, zero vectors, vectors with a null or non-finite component or of another than the most frequent dimension, and
@@ -34,7 +37,9 @@ _LEAST_PROBES = 24
 SAMPLE_BYTES = 32 << 20  # of the vectors that the centres are fitted on
 _PART, _QUERIES = 4096, 2048
 _BLOCK = 16  # columns
-_CONFIDENCE = 2.1  # of the test: an error that a true neighbour's estimate exceeds rarely
+_CONFIDENCE = 2.0  # of the test, in standard errors of the estimate: a true neighbour's exceeds it rarely
+_FIRST = 2  # lists that a query visits to find its radius
+_ROWS, _ASKED = 1024, 64  # candidates and queries tested at a time
 
 
 @dataclass
@@ -51,10 +56,9 @@ class Lists:
         return (np.hstack([x, rest[:, None]]) @ self.rotation).astype(np.float32)
 
     def nearest(self, turned: np.ndarray, n: int) -> np.ndarray:
-        """Numbers of the ``n`` lists nearest to each vector."""
+        """Numbers of the ``n`` lists nearest to each vector, the nearest first."""
         away = (self.centres**2).sum(axis=1) - 2 * turned @ self.centres.T
-        n = min(n, len(self.centres))
-        return np.argpartition(away, n - 1, axis=1)[:, :n] if n < len(self.centres) else np.argsort(away, axis=1)
+        return np.argsort(away, axis=1, kind="stable")[:, :n]
 
 
 def usable(vectors: DataFrame, column: str = "embedding") -> DataFrame:
@@ -98,7 +102,7 @@ def fit(good: DataFrame) -> Lists | None:
 
 
 def index(good: DataFrame, lists: Lists) -> DataFrame:
-    """Every vector with its list: vec_id, vector, turned, list."""
+    """Every vector with its list: vec_id, vector, turned, list, and a number of its row in the stored table."""
     shared = good.sparkSession.sparkContext.broadcast(lists)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -109,11 +113,12 @@ def index(good: DataFrame, lists: Lists) -> DataFrame:
                 batch["list"] = shared.value.nearest(turned, 1)[:, 0].astype(np.int32)
                 yield batch
 
-    return stored(good.mapInPandas(run, "vec_id long, vector array<double>, turned binary, list int"), "vectors")
+    listed = good.mapInPandas(run, "vec_id long, vector array<double>, turned binary, list int")
+    return stored(listed.withColumn("row", F.monotonically_increasing_id()), "vectors")
 
 
 def _visits(queries: DataFrame, lists: Lists, probes: int) -> DataFrame:
-    """Each query once for each list that it visits."""
+    """Each query once for each list that it visits, with the list's place in the order of nearness."""
     shared = queries.sparkSession.sparkContext.broadcast(lists)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -126,70 +131,125 @@ def _visits(queries: DataFrame, lists: Lists, probes: int) -> DataFrame:
                 yield part
 
     visiting = queries.mapInPandas(run, "query_id long, vector array<double>, turned binary, list array<int>")
-    return visiting.withColumn("list", F.explode("list"))
+    return visiting.select("query_id", "vector", "turned", F.posexplode("list").alias("place", "list"))
 
 
-def scan(x: np.ndarray, turned: np.ndarray, ids: np.ndarray, q: np.ndarray, q_turned: np.ndarray, own: int, norm: float, k: int):
-    """The ``k`` best of a part for one query: ids and scores."""
-    best_ids, best = np.zeros(0, np.int64), np.zeros(0)
-    d = turned.shape[1]
-    base = float(q @ q) + norm**2
-    rows = np.flatnonzero(ids != own)
-    for at in range(0, len(rows), 512):
-        left = rows[at : at + 512]
-        if len(best) == k:
-            radius = max(base - 2 * best[-1], 0) * (1 + 1e-4) + 1e-6 * base
-            so_far = np.zeros(len(left), np.float32)
-            for begin in range(0, d, _BLOCK):
-                end = min(begin + _BLOCK, d)
-                gap = turned[left, begin:end] - q_turned[begin:end]
-                so_far += np.einsum("ij,ij->i", gap, gap)
-                slack = 1.0 if end == d else (1 + _CONFIDENCE / end**0.5) ** 2 * end / d
-                stays = so_far <= radius * slack
-                left, so_far = left[stays], so_far[stays]
-                if not len(left):
-                    break
-        if len(left):
-            found_ids = np.concatenate([best_ids, ids[left]])
-            found = np.concatenate([best, (x[left] * q).sum(axis=1)])
-            order = np.lexsort((found_ids, -found))[:k]
-            best_ids, best = found_ids[order], found[order]
-    return best_ids, best
+@dataclass
+class Found:
+    """The best candidates of some queries: number of the query, id and score; and how many pairs were scored whole."""
 
+    query: np.ndarray
+    ids: np.ndarray
+    scores: np.ndarray
+    scored: int = 0
 
-def _search(vectors: DataFrame, queries: DataFrame, lists: Lists, probes: int, k: int) -> DataFrame:
-    """The ``k`` best of each query among the lists it visits: query_id, vec_id, score, rank."""
-    visits = stored(_visits(queries, lists, probes), "visits")
+
+def _best(found: Found, k: int) -> Found:
+    """The ``k`` best of each query, best first."""
+    order = np.lexsort((found.ids, -found.scores, found.query))
+    query = found.query[order]
+    first = np.searchsorted(query, query)  # where each query begins
+    order = order[np.arange(len(order)) - first < k]
+    return Found(found.query[order], found.ids[order], found.scores[order], found.scored)
+
+
+def _survivors(turned: np.ndarray, q_turned: np.ndarray, radius: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of queries and candidates, among those ``left``, that no block of columns rejects."""
+    d = turned.shape[1]
+    so_far = query = row = None
+    for begin in range(0, d, _BLOCK):
+        end = min(begin + _BLOCK, d)
+        some, asked = turned[:, begin:end], q_turned[:, begin:end]
+        if query is None:  # all pairs at once; later blocks are for those that are left
+            so_far = (asked**2).sum(axis=1)[:, None] + (some**2).sum(axis=1) - 2 * asked @ some.T
+            query, row = np.nonzero(left)
+            so_far = so_far[query, row]
+        else:
+            gap = some[row] - asked[query]
+            so_far = so_far + np.einsum("ij,ij->i", gap, gap)
+        error = _CONFIDENCE * ((1 - end / d) / (2 * end)) ** 0.5
+        stays = so_far <= radius[query] * ((1 + error) ** 2 * end / d)
+        query, row, so_far = query[stays], row[stays], so_far[stays]
+    return query, row
+
+
+def scan(
+    x: np.ndarray, turned: np.ndarray, ids: np.ndarray, q: np.ndarray, q_turned: np.ndarray, own: np.ndarray,
+    least: np.ndarray, norm: float, k: int,
+) -> Found:
+    """The ``k`` best of a part for each of some queries, as far as they reach the ``least`` score known to be among its best."""
+    least = least.copy()
+    base = (q * q).sum(axis=1) + norm**2
+    held = Found(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+    for at in range(0, len(ids), _ROWS):
+        rows = slice(at, at + _ROWS)
+        radius = np.maximum(base - 2 * least, 0) * (1 + 1e-4) + 1e-6 * base
+        query, row = _survivors(turned[rows], q_turned, radius, own[:, None] != ids[rows])
+        if not len(query):
+            continue
+        held = _best(Found(
+            np.concatenate([held.query, query]),
+            np.concatenate([held.ids, ids[rows][row]]),
+            np.concatenate([held.scores, (x[rows][row] * q[query]).sum(axis=1)]),
+            held.scored + len(query),
+        ), k)
+        last = np.flatnonzero(np.bincount(held.query, minlength=len(q)) == k)
+        ends = np.searchsorted(held.query, last, side="right") - 1
+        least[last] = np.maximum(least[last], held.scores[ends])
+    return held
+
+
+def _scanned(vectors: DataFrame, visits: DataFrame, norm: float, k: int) -> DataFrame:
+    """The best of each visited part, as far as they reach the query's ``least``: query_id, vec_id, score."""
     parts = vectors.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / _PART).cast("int").alias("parts"))
     asked = visits.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / _QUERIES).cast("int").alias("asked"))
     sizes = stored(parts.join(asked, "list"), "list-sizes")  # a row per list
     cut = lambda column, parts: F.pmod(F.xxhash64(column), F.col(parts)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     left = vectors.join(sizes, "list").select(
-        "list", cut("vec_id", "parts").alias("part"), every("asked").alias("ask"), "vec_id", "vector", "turned"
+        "list", cut("row", "parts").alias("part"), every("asked").alias("ask"), "vec_id", "vector", "turned"
     )
     right = visits.join(sizes, "list").select(
-        "list", every("parts").alias("part"), cut("query_id", "asked").alias("ask"), "query_id", "vector", "turned"
+        "list", every("parts").alias("part"), cut("query_id", "asked").alias("ask"), "query_id", "vector", "turned", "least"
     )
-    norm = lists.norm
 
     def run(some: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        out = []
+        out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
         if len(some) and len(queries):
             x, ids = np.stack(some["vector"].to_list()), some["vec_id"].to_numpy(np.int64)
             turned = np.stack([np.frombuffer(b, np.float32) for b in some["turned"]])
-            for query_id, vector, also in zip(queries["query_id"], queries["vector"], queries["turned"], strict=True):
-                found = scan(x, turned, ids, vector, np.frombuffer(also, np.float32), query_id, norm, k)
-                out.append((np.full(len(found[0]), query_id), *found))
-        columns = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [[], [], []]
+            for at in range(0, len(queries), _ASKED):
+                few = queries.iloc[at : at + _ASKED]
+                own = few["query_id"].to_numpy(np.int64)
+                q_turned = np.stack([np.frombuffer(b, np.float32) for b in few["turned"]])
+                found = scan(
+                    x, turned, ids, np.stack(few["vector"].to_list()), q_turned, own, few["least"].to_numpy(float), norm, k
+                )
+                out.append((own[found.query], found.ids, found.scores))
+        columns = [np.concatenate(c) for c in zip(*out, strict=True)]
         return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), columns, strict=True)))
 
     keys = ["list", "part", "ask"]
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(run, "query_id long, vec_id long, score double")
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(run, "query_id long, vec_id long, score double")
+
+
+def _ranked(found: DataFrame, k: int) -> DataFrame:
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
 
 
+def _search(vectors: DataFrame, queries: DataFrame, lists: Lists, probes: int, k: int) -> DataFrame:
+    """The ``k`` best of each query among the lists it visits: query_id, vec_id, score, rank."""
+    visits = stored(_visits(queries, lists, probes), "visits")
+    nothing = F.lit(float("-inf"))
+    near = visits.where(F.col("place") < _FIRST).withColumn("least", nothing)
+    first = stored(_ranked(_scanned(vectors, near, lists.norm, k), k), "first-neighbours")
+    reached = first.where(F.col("rank") == k).select("query_id", F.col("score").alias("least"))
+    far = visits.where(F.col("place") >= _FIRST).join(reached, "query_id", "left")
+    far = stored(far.withColumn("least", F.coalesce("least", nothing)), "further-visits")
+    return _ranked(first.drop("rank").unionByName(_scanned(vectors, far, lists.norm, k)), k)
+
+
 def search(vectors: DataFrame, queries: DataFrame, k: int, column: str = "embedding") -> DataFrame:
     """The ``k`` nearest of ``vectors`` for each query (rows of the same vec_id excluded): query_id, rank, vec_id, score."""
     good = stored(usable(vectors, column), "usable")

@@ -3,6 +3,7 @@ from __future__ import annotations
 from collections import defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from eventmart.llm import nearest
@@ -64,3 +65,31 @@ def test_a_large_list_is_cut(spark, monkeypatch):
 
 def test_empty(spark):
     assert nearest.search(spark.createDataFrame([], SCHEMA), spark.createDataFrame([], SCHEMA), 5).collect() == []
+
+
+def test_most_candidates_are_abandoned_early_and_none_of_the_nearest():
+    x = np.stack(pd.read_parquet("/root/testdata/sf0.1/embeddings.parquet")["embedding"].to_list()).astype(float)
+    ids, norm, d = np.arange(len(x)), np.linalg.norm(x, axis=1).max(), x.shape[1]
+    rotation = np.linalg.qr(np.random.default_rng(1).standard_normal((d + 1, d + 1)))[0]
+    lists = nearest.Lists(norm, rotation, np.zeros((1, d + 1), np.float32))
+    turned, asked = lists.turned(x, is_query=False), np.arange(0, len(x), 20)
+    q_turned = lists.turned(x[asked], is_query=True)
+    truth = {a: np.lexsort((ids, -(x @ x[a]) + 9 * (ids == a)))[:20] for a in asked}
+    # The radius of a query from a tenth of the candidates, as its nearest lists would give it.
+    first = nearest.scan(x[::10], turned[::10], ids[::10], x[asked], q_turned, asked, np.full(len(asked), -np.inf), norm, 20)
+    least = first.scores.reshape(len(asked), 20)[:, -1]
+    found = nearest.scan(x, turned, ids, x[asked], q_turned, asked, least, norm, 20)
+    pairs = len(asked) * (len(x) - 1)
+    assert found.scored < 0.2 * pairs
+    got = {a: set(found.ids[found.query == n]) for n, a in enumerate(asked)}
+    assert sum(len(got[a] & set(truth[a])) for a in asked) >= 0.97 * 20 * len(asked)
+
+
+def test_one_row_is_a_third_of_the_table(spark, monkeypatch):
+    monkeypatch.setattr(nearest, "_PART", 16)
+    rows = [(i, [1.0 + i / 64, 1.0]) for i in range(80)] + [(7, [3.0, 4.0])] * 40
+    df = spark.createDataFrame([(i, v, 0) for i, v in rows], SCHEMA)
+    vector = np.array([1.0 + 20 / 64, 1.0])
+    scored = sorted((-float(np.array(v) @ vector), i) for i, v in rows if i != 20)[:45]
+    assert _found(df, "vec_id = 20", 45)[20] == [(i, -s) for s, i in scored]
+    assert 7 not in {i for i, _ in _found(df, "vec_id = 7", 45)[7]}
