@@ -77,7 +77,8 @@ def _means(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     rng = np.random.default_rng(7)
     centres = x[rng.choice(len(x), k, replace=False)].copy()
     for _ in range(rounds):
-        near = np.argmin((centres**2).sum(axis=1) - 2 * x @ centres.T, axis=1)
+        own = (centres**2).sum(axis=1)
+        near = np.concatenate([np.argmin(own - 2 * x[at : at + _ROWS] @ centres.T, axis=1) for at in range(0, len(x), _ROWS)])
         held = np.bincount(near, minlength=k)
         sums = np.zeros_like(centres)
         np.add.at(sums, near, x)
@@ -92,11 +93,11 @@ def fit(good: DataFrame) -> Lists | None:
     if not known["n"]:
         return None
     d, sample = known["d"], max(64, SAMPLE_BYTES // (8 * known["d"]))
-    rows = good.orderBy(F.xxhash64("vec_id", "vector"), "vec_id").limit(sample).select("vector").toPandas()
+    rows = good.orderBy(F.xxhash64("vec_id", "vector"), "vec_id").limit(sample).select("vector").toArrow()
     rotation = np.linalg.qr(np.random.default_rng(11).standard_normal((d + 1, d + 1)))[0]
     lists = Lists(known["norm"] * (1 + 1e-9), rotation, np.zeros((1, d + 1), np.float32))
-    x = lists.turned(np.stack(rows["vector"].to_list()), is_query=False)
-    x = np.unique(x, axis=0)
+    values = rows["vector"].combine_chunks().flatten().to_numpy().reshape(-1, d)
+    x = np.unique(lists.turned(values, is_query=False), axis=0)
     lists.centres = _means(x, max(1, min(LISTS, int(known["n"] ** 0.5), len(x) // 8)))
     return lists
 
