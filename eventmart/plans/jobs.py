@@ -18,16 +18,19 @@ from pyspark.sql import functions as F
 from eventmart.functions import between_dates
 from eventmart.functions.ranges import Day, as_date
 from eventmart.operators import FAULTS, event_by_user, purchase_by_user, standardize, with_faults
-from eventmart.schemas import RAW_QUALITY, TIER1_STORED, VENDORS
+from eventmart.schemas import RAW_QUALITY, TIER1_STORED, VENDORS, stored
 from eventmart.sources import (
     Ledger,
     Manifest,
     Stamps,
+    add_tier1,
     delivered_days,
+    other_partitions,
     raw_files,
     read_dates,
     read_quarantine,
     read_raw,
+    read_raw_paths,
     read_runs,
     shared_folder,
     stale,
@@ -55,6 +58,10 @@ class Lake:
         self.due = f"{root}/due"
 
 
+Mart = tuple[str, Callable[[DataFrame], DataFrame]]
+_SUMS = ("event_count", "quantity_total", "amount_total")  # columns of the marts that add up
+
+
 def standardize_days(
     spark: SparkSession, lake: Lake, days: Sequence[Day], tz: str = "UTC"
 ) -> None:
@@ -74,11 +81,64 @@ def standardize_days(
             runs.update(map(as_date, delivered))
     if events:
         everything = functools.reduce(DataFrame.unionByName, events)
+        Ledger(spark, lake.ledger).forget(sorted(runs))
         write_tier1(everything, lake.events, runs=sorted(runs), quarantine=lake.quarantine)
         _count_lines(spark, lake, sorted(runs))
         Ledger(spark, lake.ledger).record(files)
 
 
+def add_files(spark: SparkSession, lake: Lake, days: Sequence[Day], tz: str = "UTC") -> list[Day]:
+    """Those of some run days that have only got more files: the new files' events into all three tables.
+
+    No line that was read before is read again. The marts hold sums, so those of the new events are added to the dates
+    that were built from the events as they were; other dates stay stale, for ``refresh_marts``. Sums are added up before the
+    events are stored, from the mart that belongs to the events of then, and stamped with what the manifest then says and
+    this change: if another job changes the same dates meanwhile, they are stale and built as a whole. The ledger forgets the
+    days until all is stored, so a day of which the attempt is cut short is done as a whole. Returns the days that were done.
+    """
+    ledger, manifest = Ledger(spark, lake.ledger), Manifest(spark, lake.events)
+    files = raw_files(spark, lake.raw, days)
+    new = _kept(spark, ledger.more(files, days), "new-files")
+    paths: dict[str, list[str]] = {}
+    runs = set()
+    for row in new.select("vendor", "path", "run_date").collect():
+        paths.setdefault(row["vendor"], []).append(row["path"])
+        runs.add(row["run_date"])
+    if not runs:
+        return []
+    parsed = [
+        standardize(with_faults(read_raw_paths(spark, vendor, found), vendor), vendor, tz) for vendor, found in paths.items()
+    ]
+    events = _kept(spark, functools.reduce(DataFrame.unionByName, parsed), "new-events")
+    before = _kept(spark, manifest.rows(), "manifest")
+    named = events.where(F.col("trackingId").isNotNull())
+    sums = [_added(spark, mart, named, manifest.digests(before)) for mart in _marts(lake)]
+
+    ledger.forget(sorted(runs))
+    grown = add_tier1(events, lake.events, lake.quarantine)
+    after = manifest.digests(other_partitions(before, grown).unionByName(grown))
+    for (root, _), (merged, dates) in zip(_marts(lake), sums, strict=True):
+        write_tier2(merged, root)
+        Stamps(spark, root).add(dates.join(after, "date"))
+    _count_lines(spark, lake, sorted(runs))
+    ledger.record(files.where(F.col("run_date").isin(sorted(runs))))
+    return sorted(runs)
+
+
+def _added(spark: SparkSession, mart: Mart, events: DataFrame, digests: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """A mart's rows with those of further events, for the dates that have such and are up to date; and these dates."""
+    root, operator = mart
+    current = Stamps(spark, root).latest().join(digests, ["date", "digest"]).select("date")
+    dates = _kept(spark, events.select(F.col("eventDate").alias("date")).distinct().join(current, "date"), "grown-dates")
+    more = operator(events.join(dates, events["eventDate"] == dates["date"], "left_semi"))
+    days = [row["date"] for row in dates.collect()]
+    held = read_dates(spark, root, days, stored(more.schema)).select(more.columns)
+    keys = [name for name in more.columns if name not in _SUMS]
+    totals = [F.sum(name).alias(name) for name in more.columns if name in _SUMS]
+    merged = held.unionByName(more).groupBy(*keys).agg(*totals).select(more.columns)
+    return _kept(spark, merged, "merged"), dates
+
+
 def _count_lines(spark: SparkSession, lake: Lake, runs: Sequence[Day]) -> None:
     """Store, per vendor and run day, how many lines became events and how many have which fault.
 
@@ -102,7 +162,6 @@ def _count_lines(spark: SparkSession, lake: Lake, runs: Sequence[Day]) -> None:
     )
 
 
-Mart = tuple[str, Callable[[DataFrame], DataFrame]]
 
 
 def _marts(lake: Lake) -> list[Mart]:
@@ -168,22 +227,26 @@ def refresh_marts(spark: SparkSession, lake: Lake, also: Sequence[Day] = ()) ->
 
 
 def process_runs(
-    spark: SparkSession, lake: Lake, runs: Sequence[Day], tz: str = "UTC", also: Sequence[Day] = (), lease: float = LEASE
+    spark: SparkSession, lake: Lake, runs: Sequence[Day], tz: str = "UTC", also: Sequence[Day] = (), lease: float = LEASE,
+    only_new: bool = False,
 ) -> list[Day]:
     """Standardise run days, then rebuild both marts for every event date whose events have changed.
 
     Each day is claimed for ``lease`` seconds before anything changes, and let go when both marts are written. Days
     that another job is at are left to it; those an attempt before has begun with and not ended are done as well, so
     one that was cut short is made up for by the next one, whichever days that is for. ``also`` names further event
-    dates to rebuild. Returns the run days that this job has done.
+    dates to rebuild. With ``only_new``, days that have only got more files since they were stored take in just these;
+    ``tz`` should then be what it was. Returns the run days that this job has done.
     """
     claims = Claims(spark, lake.due, lease)
-    wanted = {as_date(run) for run in runs} | set(claims.unfinished())
+    unfinished = set(claims.unfinished())
+    wanted = {as_date(run) for run in runs} | unfinished
     mine = claims.take(wanted)
     if others := sorted(wanted - set(mine)):
         _LOG.warning("%d run days are left to other jobs, the first is %s", len(others), others[0])
     try:
-        standardize_days(spark, lake, mine, tz)
+        added = add_files(spark, lake, [run for run in mine if run not in unfinished], tz) if only_new else []
+        standardize_days(spark, lake, [run for run in mine if run not in added], tz)
         refresh_marts(spark, lake, also)
     except BaseException:
         claims.let_go()
@@ -203,8 +266,8 @@ def new_runs(spark: SparkSession, lake: Lake, start: Day, end: Day) -> list[Day]
 def catch_up(spark: SparkSession, lake: Lake, start: str, end: str, tz: str = "UTC") -> list[Day]:
     """Bring all three tables up to date with the raw files of a range of run days.
 
-    A day is done again if a file has come, changed or gone since it was done: hours may come one by one, and files be
-    replaced. Event dates are rebuilt if their events changed, also by another job and outside the range. What an attempt before
+    A day is done again if a file has changed or gone since it was done; if files have only come, such as further hours, just
+    these are read, and their sums added to the marts. Event dates are rebuilt if their events changed, also by another job and outside the range. What an attempt before
     left undone is done as well. Returns the run days that were done.
     """
-    return process_runs(spark, lake, new_runs(spark, lake, start, end), tz)
+    return process_runs(spark, lake, new_runs(spark, lake, start, end), tz, only_new=True)

@@ -41,6 +41,16 @@ def move(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"{source} could not be moved to {target}")
 
 
+def add(spark: SparkSession, source: str, target: str) -> None:
+    """Put the files of a folder beside those of another; their names must differ."""
+    files, location = _located(spark, target)
+    files.mkdirs(location)
+    for status in files.listStatus(_located(spark, source)[1]):
+        path = status.getPath()
+        if not files.rename(path, location.suffix(f"/{path.getName()}")):
+            raise OSError(f"{path} could not be moved to {target}")
+
+
 def create(spark: SparkSession, path: str, text: str) -> bool:
     """Write a small file unless there is one of that name; says whether it was written. Only one of several callers succeeds."""
     files, location = _located(spark, path)

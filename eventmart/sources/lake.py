@@ -22,7 +22,7 @@ from eventmart.functions import instant, to_int
 from eventmart.functions.ranges import Day, as_date
 from eventmart.operators.standardize import with_partition_columns
 from eventmart.schemas import TIER1, TIER1_STORED
-from eventmart.sources.files import delete, listed_files, matching, move
+from eventmart.sources.files import add, delete, listed_files, matching, move
 from eventmart.sources.manifest import Manifest, folder, value_of
 
 _EVENT = "event"  # the target of rows that go to the event table
@@ -113,6 +113,29 @@ def write_tier1(
     manifest.replace(after, version)
 
 
+def add_tier1(events: DataFrame, root: str, quarantine: str, compression: str = "zstd") -> DataFrame:
+    """Store further events beside those that their runs have stored; as ``write_tier1`` does, but nothing is replaced.
+
+    Doing it twice stores the rows twice: whoever calls it must know a run that was cut short, and write that as a whole. The
+    grown partitions get a new version before they change; those are returned as rows of the manifest.
+    """
+    spark, root = events.sparkSession, root.rstrip("/")
+    rows = _targets(with_partition_columns(events), quarantine).select("target", *TIER1_STORED.names)
+    staged, partitions = _stage(rows, ["target", "date", "run_date"], ["trackingId", "eventTimeStamp"], root, compression)
+    cut = [partition.split("/") for partition in partitions]
+    version = uuid.uuid4().hex
+    grown = spark.createDataFrame(
+        [(value_of(day), version, value_of(run)) for target, day, run in cut if target == f"target={_EVENT}"],
+        "date DATE, version STRING, run_date DATE",
+    )
+    Manifest(spark, root).renew(grown)
+    for target, day, run in cut:
+        into = f"{root}/{day}/{run}" if target == f"target={_EVENT}" else f"{quarantine}/{run}/{target.replace('target', 'fault')}"
+        add(spark, f"{staged}/{target}/{day}/{run}", into)
+    delete(spark, staged)
+    return grown
+
+
 def write_tier2(
     mart: DataFrame, root: str, days: Sequence[Day] = (), compression: str = "zstd"
 ) -> None:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from eventmart.functions.ranges import Day, as_date
 from eventmart.schemas import RAW_DAY_IN_PATH, VENDORS
-from eventmart.sources.files import exists, listed_files, shared_folder
+from eventmart.sources.files import delete, exists, listed_files, shared_folder
 from eventmart.sources.manifest import folder
 from eventmart.sources.raw import delivered_folders
 
@@ -66,6 +66,18 @@ class Ledger:
             .write.partitionBy("run_date").option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(self.path)
         )
 
+    def forget(self, runs: Sequence[Day]) -> None:
+        """Say that some runs are made from no files as yet: while they are written, and if that is cut short, they are due."""
+        for run in runs:
+            delete(self._spark, f"{self.path}/{folder('run_date', as_date(run))}")
+
+    def more(self, files: DataFrame, runs: Sequence[Day]) -> DataFrame:
+        """Files that have come to runs that still have all they were made from, unchanged; none of other runs."""
+        known = self.of_runs(runs)
+        changed = known.join(files, files.columns, "left_anti").select("run_date")
+        new = files.join(known, files.columns, "left_anti")
+        return new.join(known.select("run_date"), "run_date", "left_semi").join(changed, "run_date", "left_anti").select(files.columns)
+
     def due(self, files: DataFrame, runs: Sequence[Day]) -> DataFrame:
         """Run days, of those with files, whose files are not the ledger's: run_date."""
         known = self.of_runs(runs)

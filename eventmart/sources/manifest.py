@@ -60,12 +60,34 @@ class Manifest:
             if not days:
                 delete(self._spark, f"{self.path}/{folder('run_date', run)}")
 
-    def digests(self) -> DataFrame:
-        """One row per event date that has partitions: date and digest, a text that changes with any of them."""
+    def renew(self, grown: DataFrame) -> None:
+        """Say that some partitions (date, version, run_date) have grown; the others of their runs stay as they are."""
+        runs = [row["run_date"] for row in grown.select("run_date").distinct().collect()]
+        self._take_stock()
+        kept = [path for run in runs if exists(self._spark, path := f"{self.path}/{folder('run_date', run)}")]
+        rows = grown
+        if kept:
+            held = self._spark.read.schema(_SCHEMA).option("basePath", self.path).parquet(*kept)
+            rows = grown.unionByName(other_partitions(held, grown))
+        rows = self._spark.createDataFrame(rows.collect(), _SCHEMA)  # a list of days; its files are replaced below
+        (
+            rows.coalesce(1)
+            .write.partitionBy("run_date").option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(self.path)
+        )
+
+    def rows(self) -> DataFrame:
+        """The whole manifest: date, version, run_date."""
         self._take_stock()
         if not exists(self._spark, self.path):
-            return self._spark.createDataFrame([], "date DATE, digest STRING")
-        rows = self._spark.read.schema(_SCHEMA).parquet(self.path)
+            return self._spark.createDataFrame([], _SCHEMA)
+        return self._spark.read.schema(_SCHEMA).parquet(self.path)
+
+    def digests(self, rows: DataFrame | None = None) -> DataFrame:
+        """One row per event date that has partitions: date and digest, a text that changes with any of them.
+
+        Of the manifest as it is, or of ``rows`` like its own.
+        """
+        rows = self.rows() if rows is None else rows
         hashed = F.bit_xor(F.xxhash64(F.coalesce(F.col("run_date").cast("string"), F.lit("")), "version"))
         return rows.groupBy("date").agg(
             F.concat_ws(":", F.count(F.lit(1)).cast("string"), hashed.cast("string")).alias("digest")
@@ -82,6 +104,12 @@ class Manifest:
         self.replace(held, "before")
 
 
+def other_partitions(rows: DataFrame, grown: DataFrame) -> DataFrame:
+    """Rows of a manifest that speak of other partitions than ``grown`` does."""
+    same = rows["date"].eqNullSafe(grown["date"]) & rows["run_date"].eqNullSafe(grown["run_date"])
+    return rows.join(grown, same, "left_anti")
+
+
 class Stamps:
     """From which digest of the events each date of a mart was built, in a folder beside the mart; each build appends."""
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,8 +36,11 @@ def read_raw(
     lines are kept in ``_corrupt_record``. ``run_date`` is the day of the folder.
     """
     present = delivered_folders(spark, vendor, root, days)
-    if not present:
-        return None
+    return read_raw_paths(spark, vendor, present) if present else None
+
+
+def read_raw_paths(spark: SparkSession, vendor: str, paths: Sequence[str]) -> DataFrame:
+    """The same of some of a vendor's folders or files, whatever characters their names have."""
     path = F.col("_metadata.file_path")
     month = F.regexp_extract(path, RAW_DAY_IN_PATH, 1)
     day_of_month = F.regexp_extract(path, RAW_DAY_IN_PATH, 2)
@@ -45,6 +49,6 @@ def read_raw(
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", "_corrupt_record")
         .option("recursiveFileLookup", "true")
-        .json(present)
+        .json([re.sub(r"([\\*?\[\]{}])", r"\\\1", path) for path in paths])
         .withColumn("run_date", F.concat_ws("-", month, day_of_month).try_cast("date"))
     )

@@ -77,6 +77,68 @@ def test_hours_replaced_and_vanished_files(spark, tmp_path, lake):
     assert tables(spark, lake) == held
 
 
+def test_each_hour_is_read_once_and_its_sums_are_added(spark, tmp_path, lake, monkeypatch):
+    read, wrote = [], []
+    read_paths, write = jobs.read_raw_paths, jobs.write_tier1
+    monkeypatch.setattr(jobs, "read_raw_paths", lambda spark, vendor, paths: read.extend(paths) or read_paths(spark, vendor, paths))
+    monkeypatch.setattr(jobs, "write_tier1", lambda *args, **more: wrote.append(more["runs"]) or write(*args, **more))
+
+    deliver(tmp_path, "00", "2021-01-02 00:10:00", "2021-01-01 23:59:00")
+    catch_up(spark, lake, *RANGE)
+    assert len(wrote) == 1 and read == []
+    for hour in range(1, 4):
+        users = [{"event_time": [seconds(f"2021-01-02 {h:02}:10:00")]} for h in (0, hour, hour)] + [{"event_time": [seconds("2021-01-01 23:59:00")]}]
+        lines = [raw_line("ADBRIX", **user) for user in users] + ["no json", raw_line("ADBRIX", package_name=None)]
+        write_lines(tmp_path / FOLDER / f"{hour:02}", lines)
+        (tmp_path / FOLDER / f"{hour:02}/part.json").rename(tmp_path / FOLDER / f"{hour:02}/part[{hour}]{{a}}.json")
+        assert catch_up(spark, lake, *RANGE) == [day("2021-01-02")]
+        assert len(read) == hour and f"/{hour:02}/" in read[-1]
+    assert len(wrote) == 1
+    held = tables(spark, lake)
+    assert len(held[0]) == 2 + 3 * 4 and held == from_scratch(spark, lake, tmp_path)
+    counts = rows_of(spark.read.parquet(lake.raw_quality), "events", "unreadable", "no_app", "lines")
+    assert counts == [(14, 3, 3, 20)]
+    assert catch_up(spark, lake, *RANGE) == [] and len(read) == 3
+
+
+@pytest.mark.parametrize("step", ["add_tier1", "write_tier2", "_count_lines"])
+def test_an_hour_cut_short_is_made_up_for(spark, tmp_path, lake, monkeypatch, step):
+    deliver(tmp_path, "00", "2021-01-02 00:10:00", "2021-01-01 23:59:00")
+    catch_up(spark, lake, *RANGE)
+    deliver(tmp_path, "01", "2021-01-02 01:10:00", "2021-01-02 00:10:00")
+    done = getattr(jobs, step)
+
+    def cut_short(*args, **more):
+        done(*args, **more)
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(jobs, step, cut_short)
+    with pytest.raises(KeyboardInterrupt):
+        catch_up(spark, lake, *RANGE)
+    monkeypatch.setattr(jobs, step, done)
+    assert catch_up(spark, lake, *RANGE) == [day("2021-01-02")]
+    assert tables(spark, lake) == from_scratch(spark, lake, tmp_path)
+
+
+def test_sums_are_added_only_to_dates_that_no_other_job_changes(spark, tmp_path, lake, monkeypatch):
+    deliver(tmp_path, "00", "2021-01-02 00:10:00", "2021-01-01 23:59:00")
+    catch_up(spark, lake, *RANGE)
+    deliver(tmp_path, "01", "2021-01-02 01:10:00")
+    other = "raw/thirdparty-adbrix/2021-01/01"
+    deliver(tmp_path, "00", "2021-01-02 00:10:00", folder=other)
+    add = jobs.add_tier1
+
+    def and_another_job(*args, **more):
+        monkeypatch.setattr(jobs, "add_tier1", add)
+        grown = add(*args, **more)
+        assert process_runs(spark, lake, ["2021-01-01"]) == [day("2021-01-01")]
+        return grown
+
+    monkeypatch.setattr(jobs, "add_tier1", and_another_job)
+    assert process_runs(spark, lake, ["2021-01-02"], only_new=True) == [day("2021-01-02")]
+    assert tables(spark, lake) == from_scratch(spark, lake, tmp_path)
+
+
 def test_marts_follow_events_that_another_job_changed(spark, tmp_path, lake):
     deliver(tmp_path, "00", "2021-01-02 00:10:00", "2021-01-01 23:59:00")
     catch_up(spark, lake, *RANGE)
