@@ -34,14 +34,14 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM docs LEFT JOIN hit USING (r) LEFT JOIN which USING (r)
 """
 
-_LINE_DEDUP = r"""
+_LINE_DEDUP_OF = r"""
 WITH docs AS (
     SELECT row_number() OVER () AS r, doc_id, text, coalesce('=' || source, 'null') AS site,
            string_split(text, chr(10)) AS lines FROM documents
 ), pages AS (
-    SELECT site, count(*) AS pages FROM docs GROUP BY site
+    SELECT site, {pages} AS pages FROM docs GROUP BY site
 ), counted AS (
-    SELECT site, line, count(*) AS n FROM (SELECT site, unnest(list_distinct(lines)) AS line FROM docs)
+    SELECT site, line, {pages} AS n FROM (SELECT site, text, unnest(list_distinct(lines)) AS line FROM docs)
     WHERE trim(line, ' ') <> '' GROUP BY ALL
 ), bad AS (
     SELECT site, list(line) AS bad FROM counted JOIN pages USING (site)
@@ -55,6 +55,9 @@ SELECT doc_id, array_to_string(kept, chr(10)) AS text, coalesce(len(lines), 0)::
 FROM cleaned
 """
 
+_LINE_DEDUP = _LINE_DEDUP_OF.format(pages="count(*)")
+_LINE_DEDUP_TEXTS = _LINE_DEDUP_OF.format(pages="count(DISTINCT coalesce('=' || text, 'null'))")
+
 
 _CHAT = r"""
 WITH turns AS (
@@ -230,4 +233,5 @@ def oracle_sql() -> dict[str, str]:
         "op1_decontamination": _DECONTAMINATION,
         "op3_chat": _CHAT,
         "op5_line_dedup": _LINE_DEDUP,
+        "op5_line_dedup_texts": _LINE_DEDUP_TEXTS,
     }
