@@ -6,7 +6,8 @@ scores best, so nothing moves between the shards that were there. No shuffle pla
 records of a shard shuffles their keys, in many parts a shard.
 
 Null keys count as one key; equal keys share a shard; ties between shards go to the smaller number. Empty tables
-give empty results; further columns are kept. Rows of a shard are numbered in no meaningful order.
+give empty results; further columns are kept, and what is added gets underscores before its name where a column has that
+name. Long texts are only measured. Rows of a shard are numbered in no meaningful order.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventmart.llm.common import gapless, stored
+from eventmart.llm.common import fresh, gapless, stored
 
 _HEX = 13  # hex digits of the hash: 52 bits, exact in a double
 
@@ -46,27 +47,29 @@ def shard_of(key: Column, weights: Sequence[float]) -> Column:
 
 
 def assign(df: DataFrame, key: str, weights: Sequence[float], new_weight: float = 1.0) -> DataFrame:
-    """``df`` with ``shard`` and ``grown_shard``, the shard if one more of ``new_weight`` joined."""
+    """``df`` with ``shard`` and ``grown_shard``, the shard if one more of ``new_weight`` joined, as its last columns."""
     n = len(weights)
+    shard, grown, pair = fresh(df, "shard", "grown_shard", "both")
     # The lambda keeps the scores in one projection, so that hashing happens once per shard and record.
     both = F.transform(
         F.array(scores(F.col(key), [*weights, new_weight])),
         lambda s: F.struct(best(F.slice(s, 1, n)).alias("shard"), best(s).alias("grown_shard")),
     )
     return (
-        df.withColumn("_both", F.get(both, F.lit(0)))
-        .withColumn("shard", F.col("_both.shard"))
-        .withColumn("grown_shard", F.col("_both.grown_shard"))
-        .drop("_both")
+        df.withColumn(pair, F.get(both, F.lit(0)))
+        .withColumn(shard, F.col(pair)["shard"])
+        .withColumn(grown, F.col(pair)["grown_shard"])
+        .drop(pair)
     )
 
 
 def write_shards(df: DataFrame, key: str, weights: Sequence[float], path: str) -> None:
     """Write whole records to one folder per shard; a large shard is cut into several files."""
+    shard = fresh(df, "shard")[0]
     (
-        df.withColumn("shard", shard_of(F.col(key), weights))
-        .hint("rebalance", "shard")
-        .write.partitionBy("shard").parquet(path)
+        df.withColumn(shard, shard_of(F.col(key), weights))
+        .hint("rebalance", shard)
+        .write.partitionBy(shard).parquet(path)
     )
 
 

@@ -48,5 +48,24 @@ def test_whole_records_are_written(spark, tmp_path):
     assert set(back.columns) == {*df.columns, "shard"}
 
 
+def test_columns_of_the_same_names_are_kept(spark, tmp_path):
+    names = ("shard", "grown_shard", "_both", "_shard", "both")
+    df = documents_df(spark).selectExpr("*", *(f"concat('{n}', doc_id) AS `{n}`" for n in names))
+    placed = sharding.assign(df, "doc_id", [1.0] * 4)
+    assert placed.columns == [*df.columns, "__shard", "_grown_shard"]
+    assert Counter((r["doc_id"], r["shard"], r["_both"], r["__shard"], r["_grown_shard"]) for r in placed.collect()) == Counter(
+        (i, None if i is None else f"shard{i}", None if i is None else f"_both{i}", _best(i, 4), _best(i, 5)) for i, *_ in documents()
+    )
+    sharding.write_shards(df, "doc_id", [1.0] * 4, str(tmp_path / "shards"))
+    back = spark.read.parquet(str(tmp_path / "shards"))
+    assert set(back.columns) == {*df.columns, "__shard"} and back.count() == df.count()
+
+
+def test_a_very_long_text(spark):
+    text = "ñ" * 3_000_000
+    row, = sharding.shard_documents(documents_df(spark, [(5, text, "es", "s", 1)]), 40).collect()
+    assert (row["size"], row["text_crc32"], row["slot"]) == (6_000_016, zlib.crc32(text.encode()), 0)
+
+
 def test_empty(spark):
     assert sharding.shard_documents(documents_df(spark, []), 40).collect() == []
