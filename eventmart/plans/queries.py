@@ -202,6 +202,13 @@ def partition_columns(spark, sf_dir):
 # --- stored tables ---------------------------------------------------------------------------------
 
 
+def _made_once(spark, rows: DataFrame, purpose: str) -> DataFrame:
+    """Rows that are written several times, stored, so that the JSON they come from is made and parsed once."""
+    path = shared_folder(spark, purpose)
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 @query("tier1_write")
 def tier1_write(spark, sf_dir):
     """Written, and written again as a re-run would: the rows are there once."""
@@ -263,12 +270,17 @@ def catch_up_marts(spark, sf_dir):
     """The event mart after half of the lines have come in one hour and, that half again in new files, the rest in the next."""
     root = shared_folder(spark, "lake")
     lake = Lake(f"{root}/raw", f"{root}/warehouse")
+    # The hour is a column, not a filter on the line: that would be pushed down and make each line twice.
+    made = [
+        raw_lines(spark, sf_dir, vendor).select(F.lit(vendor).alias("vendor"), "value", F.pmod(F.xxhash64("value"), F.lit(2)).alias("hour"))
+        for vendor in VENDORS
+    ]
+    lines = _made_once(spark, functools.reduce(DataFrame.unionByName, made), "lines")
     for hours in (1, 2):
         for vendor in VENDORS:
-            lines = raw_lines(spark, sf_dir, vendor)
             folder = f"{lake.raw}/{RAW_FOLDER.format(vendor=vendor.lower(), day=as_date(RUN_DAY))}"
             for hour in range(hours):
-                part = lines.where(F.pmod(F.xxhash64("value"), F.lit(2)) == hour)
+                part = lines.where((F.col("vendor") == vendor) & (F.col("hour") == hour)).select("value")
                 part.write.mode("overwrite").text(f"{folder}/{hour:02d}")
         catch_up(spark, lake, RUN_DAY, RUN_DAY)
     return read_tier(spark, lake.event_by_user, schema=stored(EVENT_BY_USER))
