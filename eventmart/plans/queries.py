@@ -213,7 +213,7 @@ def _made_once(spark, rows: DataFrame, purpose: str) -> DataFrame:
 def tier1_write(spark, sf_dir):
     """Written, and written again as a re-run would: the rows are there once."""
     root = shared_folder(spark, "tier1")
-    events = standardized_logs(spark, sf_dir)
+    events = _made_once(spark, standardized_logs(spark, sf_dir), "standardized")
     write_tier1(events, root, RUN_DAY)
     write_tier1(events, root, RUN_DAY)
     return with_wall_clocks(read_tier(spark, root, schema=TIER1_STORED))

@@ -20,6 +20,18 @@ def folder(spark, tmp_path):
     return str(tmp_path)
 
 
+def plan(frame) -> str:
+    return frame._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_run_written_again_is_parsed_once(spark, folder, monkeypatch):
+    written, write = [], queries.write_tier1
+    monkeypatch.setattr(queries, "write_tier1", lambda events, *rest: (written.append(plan(events)), write(events, *rest)))
+    assert queries.tier1_write(spark, folder).count() == 108  # of 120 lines one in ten names no application
+    assert len(written) == 2
+    assert not any("from_json" in text for text in written)
+
+
 def test_lines_of_a_delivery_are_made_once(spark, folder, monkeypatch):
     made, lines = [], queries.raw_lines
     monkeypatch.setattr(queries, "raw_lines", lambda *args: (made.append(args[2]), lines(*args))[1])
