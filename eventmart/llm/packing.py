@@ -29,7 +29,11 @@ from pyspark.sql import functions as F
 
 from eventmart.llm.common import gapless, stored
 
-_KEPT_WORDS = 150_000  # encoded words a worker remembers, at most, about 40 MB; when full it starts afresh
+# Words, and their letters alone, that a worker has encoded or used since it last forgot some; as many are kept from before that.
+# At most about 60 MB together.
+_KEPT_WORDS = 50_000
+_KEPT_STEMS = 90_000
+_KEPT_MARKS = 10_000
 _TEXTS = 256  # texts that are Python objects at a time
 _KEPT_LENGTH = 40  # longer words are encoded each time
 _RANK_BITS = 48
@@ -38,11 +42,13 @@ _PROBES = ["the", "The,", "été", "Über!!", "ÇÀ.", "straße", "x?", "ñ$$$",
 
 
 class WordEncoder:
-    """Token ids of a text, as bytes of little-endian unsigned 32-bit numbers, from those of its words.
+    """Token ids of texts, as bytes of little-endian unsigned 32-bit numbers, from those of their words.
 
     For tokenizers that drop white space and never merge across it: a text cut at spaces and line feeds has the
     ids of its parts, in order. Other white space stays within the parts, for the tokenizer. Words of Latin
-    letters and punctuation go straight to the tokenizer's model; that is tried out on a few words first.
+    letters and punctuation have the ids of their letters in lower case and of their marks, which go straight to the
+    tokenizer's model; that is tried out on a few words first. What was not used for long is forgotten, so
+    frequent words are learned once.
     """
 
     def __init__(self, path: str):
@@ -54,8 +60,11 @@ class WordEncoder:
         to_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         letters = [chr(c) for c in range(0x80, 0x100) if _PLAIN.fullmatch(chr(c))]
         self.bytes = {ord(c): to_bytes.pre_tokenize_str(c)[0][0] for c in letters}
-        self.marks: dict[str, list[int]] = {"": []}
+        self.marks: dict[str, bytes] = {"": b""}
         self.kept: dict[str, bytes] = {}
+        self.kept_before: dict[str, bytes] = {}
+        self.stems: dict[str, bytes] = {}
+        self.stems_before: dict[str, bytes] = {}
         if self._by_tokenizer(["to be"]) != [b"".join(self._by_tokenizer(["to", "be"]))]:
             raise ValueError(f"the tokenizer of {path} does not drop white space")
         self.direct = self._by_tokenizer(_PROBES) == [self._by_model(*_PLAIN.fullmatch(p).groups()) for p in _PROBES]
@@ -64,11 +73,21 @@ class WordEncoder:
         encoded = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in encoded]
 
+    def _modelled(self, token: str) -> bytes:
+        return array("I", [t.id for t in self.model.tokenize(token)]).tobytes()
+
     def _by_model(self, letters: str, marks: str) -> bytes:
-        ids = [t.id for t in self.model.tokenize(letters.lower().translate(self.bytes))]
+        stem = letters.lower()
+        ids = self.stems.get(stem)
+        if ids is None:
+            ids = self.stems_before.get(stem) or self._modelled(stem if stem.isascii() else stem.translate(self.bytes))
+            if len(stem) <= _KEPT_LENGTH:
+                self.stems[stem] = ids
         if marks not in self.marks:
-            self.marks[marks] = [t.id for t in self.model.tokenize(marks)]
-        return array("I", ids + self.marks[marks]).tobytes()
+            if len(marks) > _KEPT_LENGTH or len(self.marks) > _KEPT_MARKS:
+                return ids + self._modelled(marks)
+            self.marks[marks] = self._modelled(marks)
+        return ids + self.marks[marks]
 
     def _learn(self, words: set[str]) -> None:
         rest = []
@@ -77,20 +96,23 @@ class WordEncoder:
                 self.kept[word] = self._by_model(*plain.groups())
             else:
                 rest.append(word)
-        self.kept.update(zip(rest, self._by_tokenizer(rest), strict=True))
+        if rest:
+            self.kept.update(zip(rest, self._by_tokenizer(rest), strict=True))
+        if len(self.stems) > _KEPT_STEMS:
+            self.stems_before, self.stems = self.stems, {}
 
     def __call__(self, text: str) -> bytes:
         parts = text.replace("\n", " ").split(" ")
-        missing = set(parts).difference(self.kept)
-        if len(self.kept) + len(missing) > _KEPT_WORDS:
-            self.kept.clear()
-            missing = set(parts)
-        if missing:
-            self._learn(missing)
+        if missing := set(parts).difference(self.kept):
+            known = {word: self.kept_before[word] for word in missing if word in self.kept_before}
+            self.kept.update(known)
+            self._learn(missing.difference(known))
         ids = b"".join(map(self.kept.__getitem__, parts))
         for word in missing:
             if len(word) > _KEPT_LENGTH:
-                del self.kept[word]
+                self.kept.pop(word)
+        if len(self.kept) > _KEPT_WORDS:
+            self.kept_before, self.kept = self.kept, {}
         return ids
 
 

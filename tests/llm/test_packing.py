@@ -92,3 +92,17 @@ def test_pieces_and_places(spark, tokenizer):
 
 def test_empty(spark):
     assert packing.pack_documents(documents_df(spark, []), PATH).collect() == []
+
+
+def test_what_is_in_use_is_not_learned_again(monkeypatch):
+    monkeypatch.setattr(packing, "_KEPT_WORDS", 20)
+    encode, learned = packing.WordEncoder(PATH), []
+    learn = encode._learn
+    monkeypatch.setattr(encode, "_learn", lambda words: (learned.extend(words), learn(words)))
+    letters = "abcdefghijklmnop"
+    for first, second in itertools.product(letters, letters):
+        text = f"always there, {first}x{second}"
+        assert encode(text) == packing.encoder(PATH)(text)
+    assert learned.count("always") == learned.count("there,") == 1
+    assert len(learned) == 2 + len(letters) ** 2
+    assert len(encode.kept) + len(encode.kept_before) <= 2 * 20 + 3
