@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventmart.llm import decontamination, language_id, line_dedup, near_duplicates, packing
-from eventmart.llm.common import fresh, stored, table
+from eventmart.llm.common import fresh, small_batches, stored, table
 
 #: Below even odds for both the family and the language within it, a document has no language. With two classes each no
 #: score is below, so a language's own least score, from its held-out documents, decides where enough of them are known.
@@ -22,6 +22,7 @@ LEAST_SCORE = 0.25
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of a language that was learned; those without letters go, and those that score less than all but 0.005 of
     the language's held-out documents. Languages with fewer than 200 of these have ``LEAST_SCORE`` alone."""
+    small_batches(spark)
     lang, score = fresh(docs, "lang_pred", "score")
     model = language_id.learn(docs)
     found = language_id.identify(docs, model, (lang, score))
@@ -40,6 +41,7 @@ def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates."""
+    small_batches(spark)
     return near_duplicates.keep_one(docs)
 
 
@@ -50,6 +52,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents, packed into sequences of 4096 tokens."""
+    small_batches(spark)
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
     return packing.pack_documents(docs, tokenizer, capacity=4096, end_id=1)
 

@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import random
 
+import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -97,3 +99,19 @@ def test_unlearned_languages_and_random_letters_go_by_score(spark):
 def test_few_held_out_documents_give_no_least_score(spark):
     df = documents_df(spark)
     assert language_id.least_scores(df, language_id.learn(df)) == {}
+
+
+@pytest.mark.parametrize(("before", "after"), [("10000", 1024), ("0", 1024), ("100", 100)])
+def test_workers_get_small_batches_of_texts(spark, monkeypatch, before, after):
+    name, sizes = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    kept = spark.conf.get(name)
+    spark.conf.set(name, before)
+    try:
+        docs = spark.range(0, 3000, 1, 1).selectExpr("id AS doc_id", "'some text' AS text")
+        monkeypatch.setattr(corpus_pipeline.near_duplicates, "keep_one", lambda docs: docs)
+        found = corpus_pipeline.keep_one_of_near_duplicates(spark, docs, "")
+        sizes = [r["n"] for r in found.mapInPandas(lambda ps: (pd.DataFrame({"n": [len(p)]}) for p in ps), "n long").collect()]
+    finally:
+        spark.conf.set(name, kept)
+    assert sum(sizes) == 3000
+    assert max(sizes) == after
