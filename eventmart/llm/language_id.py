@@ -77,13 +77,13 @@ def features(texts: list[str | None]) -> np.ndarray:
 
 def fit(x: np.ndarray, y: np.ndarray, strength: float = 1e-4, rounds: int = 200) -> np.ndarray:
     """Weights and intercept of a linear machine with squared hinge loss; ``y`` is 1 or -1."""
-    x = np.hstack([x, np.ones((len(x), 1), np.float32)])
+    x = np.hstack([x, np.ones((len(x), 1), np.float32)])  # single precision, also of halves
     share = np.where(y > 0, 0.5 / max((y > 0).sum(), 1), 0.5 / max((y < 0).sum(), 1)).astype(np.float32)
     w = np.zeros(x.shape[1], np.float32)
     ahead, step = w, 1 / (2 * 2 + strength)  # rows have length sqrt(2) and shares sum to 1
     for i in range(rounds):
         lack = np.maximum(0, 1 - y * (x @ ahead))
-        new = ahead - step * (strength * ahead - 2 * x.T @ (share * lack * y))
+        new = ahead - step * (strength * ahead - 2 * (x.T @ (share * lack * y)))
         ahead, w = new + (i / (i + 3)) * (new - w), new
     return w
 
@@ -173,8 +173,10 @@ def learn(documents: DataFrame, sample: int = SAMPLE) -> Model:
 
     rows = chosen.mapInPandas(vectors, "lang string, hash long, x binary").toPandas()
     rows = rows.sort_values(["lang", "hash"])
-    x = np.stack([np.frombuffer(b, np.float16) for b in rows["x"]]).astype(np.float32)
-    return Model(x, rows["lang"].to_numpy(dtype=object))
+    langs = np.array(rows["lang"].tolist(), dtype=object)  # no view, which would keep the whole frame
+    x = np.frombuffer(b"".join(rows["x"]), np.float16).reshape(-1, _DIMS)  # half of what ``fit`` makes of it
+    del rows
+    return Model(x, langs)
 
 
 def identify(documents: DataFrame, model: Model, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
@@ -205,8 +207,9 @@ def least_scores(documents: DataFrame, model: Model, unsure: float = UNSURE) ->
     most. A language with fewer than 1 / ``unsure`` of them has no such score and is left out.
     """
     held = documents.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & held_out(F.col("doc_id")))
-    right = identify(held.select("lang", "text"), model).where(F.col("lang") == F.col("lang_pred"))
-    counted = right.groupBy("lang", F.floor(F.col("score") * _STEPS).alias("step")).agg(F.count(F.lit(1)).alias("n"))
+    steps = identify(held.select("lang", "text"), model).groupBy("lang", F.floor(F.col("score") * _STEPS).alias("step"))
+    # Spark would move a filter on lang_pred below the prediction, with a prediction of its own in a worker of its own.
+    counted = steps.agg(F.count_if(F.col("lang") == F.col("lang_pred")).alias("n")).where("n > 0")
     by_lang: dict[str, list[tuple[int, int]]] = {}
     for lang, step, n in counted.collect():
         by_lang.setdefault(lang, []).append((step, n))

@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import tracemalloc
 import zlib
+from collections import defaultdict
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -60,3 +62,31 @@ def test_repeated_rows_teach_once(spark, monkeypatch):
     x, langs = taught[0]
     assert len(collected[0]) == len(x) == len({v.tobytes() for v in x}) == 40
     assert sorted(langs) == ["en"] * 20 + ["fr"] * 20
+
+
+def test_held_out_texts_are_scored_once(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    model = li.learn(docs)
+    docs = docs.withColumn("lang", F.when(F.crc32("text") % 3 == 0, "en").otherwise(F.col("lang")))  # some of them wrong
+    scores = defaultdict(list)
+    for r in li.identify(docs.where(li.held_out(docs.doc_id)), model).where("lang = lang_pred").collect():
+        scores[r["lang"]].append(int(r["score"] * 10_000))
+    expected = {lang: max(sorted(s)[len(s) // 10] - 1, 0) / 10_000 for lang, s in scores.items() if len(s) >= 10}
+    plans = []
+    collect = DataFrame.collect
+    monkeypatch.setattr(DataFrame, "collect", lambda self: plans.append(self._jdf.queryExecution().executedPlan().toString()) or collect(self))
+    assert li.least_scores(docs, model, unsure=0.1) == expected
+    assert len(expected) > 1
+    assert [p.count("ArrowEvalPython") for p in plans] == [1]
+
+
+def test_machines_are_fitted_in_few_copies_of_the_sample(spark):
+    docs = documents_df(spark, [(i, prose(i, 30), "en" if i % 2 else "fr", "s", 1) for i in range(2000)])
+    li.learn(docs, sample=10)
+    tracemalloc.start()
+    try:
+        li.learn(docs, sample=1000)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert most < 5 * 1000 * 2 * li._DIMS
