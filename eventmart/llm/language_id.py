@@ -16,6 +16,7 @@ Repeated rows get a row each. Rows without lang or text teach nothing. Empty tab
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import combinations
@@ -71,13 +72,20 @@ def _counts(text: str) -> np.ndarray:
 
 def features(texts: list[str | None]) -> np.ndarray:
     """Per text: square roots of the features' shares, a vector of length 1; zeros where there is nothing."""
-    out = np.stack([_counts(t) if t else np.zeros(_DIMS) for t in texts]) if texts else np.zeros((0, _DIMS))
-    return np.sqrt(out / np.maximum(out.sum(axis=1, keepdims=True), 1)).astype(np.float32)
+    out = np.zeros((len(texts), _DIMS), np.float32)
+    for row, text in zip(out, texts, strict=True):
+        if text:
+            counts = _counts(text)
+            row[:] = np.sqrt(counts / max(counts.sum(), 1))
+    return out
 
 
 def fit(x: np.ndarray, y: np.ndarray, strength: float = 1e-4, rounds: int = 200) -> np.ndarray:
-    """Weights and intercept of a linear machine with squared hinge loss; ``y`` is 1 or -1."""
-    x = np.hstack([x, np.ones((len(x), 1), np.float32)])  # single precision, also of halves
+    """Weights and intercept of a linear machine with squared hinge loss; ``y`` is 1 or -1, rows where it is 0 don't count."""
+    known = np.flatnonzero(y)
+    whole, x, y = x, np.ones((len(known), x.shape[1] + 1), np.float32), y[known]
+    for at in range(0, len(known), _ROWS):
+        x[at : at + _ROWS, :-1] = whole[known[at : at + _ROWS]]
     share = np.where(y > 0, 0.5 / max((y > 0).sum(), 1), 0.5 / max((y < 0).sum(), 1)).astype(np.float32)
     w = np.zeros(x.shape[1], np.float32)
     ahead, step = w, 1 / (2 * 2 + strength)  # rows have length sqrt(2) and shares sum to 1
@@ -97,7 +105,7 @@ class Duel:
         weights = []
         for a, b in self.pairs:
             first, second = labels == self.names[a], labels == self.names[b]
-            weights.append(fit(x[first | second], np.where(first[first | second], 1, -1).astype(np.float32)))
+            weights.append(fit(x, first.astype(np.float32) - second.astype(np.float32)))
         self.weights = np.stack(weights) if weights else np.zeros((0, _DIMS + 1), np.float32)
 
     def __call__(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -169,12 +177,15 @@ def learn(documents: DataFrame, sample: int = SAMPLE) -> Model:
             for at in range(0, len(batch), _ROWS):
                 part = batch.iloc[at : at + _ROWS]
                 x = features(part["text"].tolist()).astype(np.float16)
-                yield pd.DataFrame({"lang": part["lang"].to_numpy(), "hash": part["hash"].to_numpy(), "x": [r.tobytes() for r in x]})
+                packed = [zlib.compress(r.tobytes(), 1) for r in x]  # most features are 0, and all goes through the driver
+                yield pd.DataFrame({"lang": part["lang"].to_numpy(), "hash": part["hash"].to_numpy(), "x": packed})
 
     rows = chosen.mapInPandas(vectors, "lang string, hash long, x binary").toPandas()
     rows = rows.sort_values(["lang", "hash"])
     langs = np.array(rows["lang"].tolist(), dtype=object)  # no view, which would keep the whole frame
-    x = np.frombuffer(b"".join(rows["x"]), np.float16).reshape(-1, _DIMS)  # half of what ``fit`` makes of it
+    x = np.empty((len(rows), _DIMS), np.float16)  # half of what ``fit`` makes of it
+    for row, packed in zip(x, rows["x"], strict=True):
+        row[:] = np.frombuffer(zlib.decompress(packed), np.float16)
     del rows
     return Model(x, langs)
 

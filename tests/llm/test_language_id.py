@@ -89,4 +89,18 @@ def test_machines_are_fitted_in_few_copies_of_the_sample(spark):
         most = tracemalloc.get_traced_memory()[1]
     finally:
         tracemalloc.stop()
-    assert most < 5 * 1000 * 2 * li._DIMS
+    assert most < 4 * 1000 * 2 * li._DIMS
+
+
+def test_features_are_made_in_one_copy():
+    texts = [prose(i, 40) for i in range(400)] + [None, "", "12 34"]
+    li.features(texts[:2])
+    tracemalloc.start()
+    try:
+        x = li.features(texts)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    counts = np.stack([li._counts(t) if t else np.zeros(li._DIMS) for t in texts])
+    assert np.array_equal(x, np.sqrt(counts / np.maximum(counts.sum(axis=1, keepdims=True), 1)).astype(np.float32))
+    assert most < 2 * x.nbytes
