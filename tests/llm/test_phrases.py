@@ -113,3 +113,51 @@ def test_all_positions_advance_together():
     for _, keys in trie.accepted(trie.after(b"en\n"), text, starts):
         hits.update(trie.keys[k].as_py() for k in keys.tolist())
     assert hits == {b"en\nto": 3, b"en\nto be": 2, b"en\nbe or": 1}
+
+
+def test_texts_are_read_twice_however_many_phrases_there_are(spark, monkeypatch):
+    """Tries of words are sent together; phrases are dealt to parts instead of one scan for each of their tries."""
+    rows = text_rows()[:60]
+    monkeypatch.setattr(phrases, "TRIE_BYTES", 400)
+    read = spark.sparkContext.accumulator(0)
+    docs = documents_df(spark, rows).rdd.map(lambda row: (read.add(1), row)[1]).toDF(DOCUMENT)
+    assert found(phrases.collocations(docs, min_count=3, top=10)) == plain(rows, 3, 10)
+    assert read.value == 2 * len(rows)
+
+
+@pytest.mark.parametrize("slots", [1, 3000])
+def test_several_scans_and_many_parts_change_nothing(spark, monkeypatch, slots):
+    """More words than one scan takes; few words held, many parts, texts cut into blocks of a few words."""
+    rows = text_rows()[:60] + [(99, "a b f " * 40, "x", None, None), (99, "y b f " * 40, "x\ny", None, None)]
+    for name, value in {"SCAN_SLOTS": slots, "TRIE_BYTES": 200, "BLOCK": 40, "_HELD": 30, "_PART": 20, "_CUTS": 3}.items():
+        monkeypatch.setattr(phrases, name, value)
+    assert found(phrases.collocations(documents_df(spark, rows), min_count=3, top=10)) == plain(rows, 3, 10)
+
+
+@pytest.mark.parametrize("longest", [1, 2, 5])
+def test_phrases_of_other_lengths(spark, longest):
+    rows = [(1, "to be or not to be, that is", "en", None, None)] * 3 + [(2, "not to be or not TO BE or", None, None, None)] * 300
+    counts, words, totals, width = phrases.frequent_phrases(documents_df(spark, rows), longest, 3)
+    spelled = phrases._spelled(counts, words, width).select("lang", "size", "phrase", "n").collect()
+    wanted = Counter()
+    for _, text, lang, *_ in rows:
+        for piece in text.lower().split(","):
+            parts = piece.split()
+            wanted.update((lang or "und", k, " ".join(parts[i:i + k])) for k in range(1, longest + 1) for i in range(len(parts) - k + 1))
+    assert {(r.lang, r.size, r.phrase): r.n for r in spelled} == wanted
+    assert len(spelled) == len(wanted)
+    assert {tuple(r) for r in totals.collect()} == {("en", 24), ("und", 2400)}
+
+
+def test_columns_of_bytes_advance_together():
+    trie = phrases.Trie(pa.array([b"\x00\x20\x0a", b"\x00\x20\x00", b"\xff\x00\x20"], pa.binary()))
+    levels = np.frombuffer(b"\x00\x20\x0a\xff\x00\x20\xff\x00\x21\x01\x20\x0a\x00\x20\x00", np.uint8).reshape(-1, 3).T
+    assert [trie.keys[n].as_py() if n >= 0 else None for n in trie.found(levels).tolist()] == [
+        b"\x00\x20\x0a", b"\xff\x00\x20", None, None, b"\x00\x20\x00"
+    ]
+
+
+def test_the_best_keep_all_that_share_the_last_place(spark):
+    rows = [("en", bytes([i]), i // 10, 5) for i in range(100)] + [("de", b"x", 1, 1)]
+    best = phrases._best(spark.createDataFrame(rows, "lang string, phrase binary, score long, a long"), 12)
+    assert sorted((r.lang, r.phrase[0]) for r in best.collect()) == [("de", 120)] + [("en", i) for i in range(80, 100)]
